@@ -9,7 +9,9 @@ which the suite checks (``unique`` on every dimension key).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions.calendar import calendar_columns
@@ -139,16 +141,18 @@ def dim_staffs(stg_staffs: DataFrame) -> DataFrame:
     )
 
 
+def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """One row per day from ``start`` (inclusive) to ``end`` (exclusive) with
+    its attributes; the size is known on the driver: ``(end - start).days``."""
+    days = spark.range(0, (end - start).days, numPartitions=1)
+    spine = days.select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date_day"))
+    return spine.select("date_day", *calendar_columns("date_day"))
+
+
 @dataset("dim_date", "marts", [], ["date_day"], TABLE)
 def dim_date(env: Env) -> DataFrame:
-    """Day spine from ``calendar_start`` (inclusive) to ``calendar_end``
-    (exclusive), generated in parallel by ``range``."""
-    cfg = env.cfg
-    days = env.spark.range(0, cfg.calendar_days, numPartitions=1)
-    spine = days.select(
-        F.date_add(F.lit(cfg.calendar_start), F.col("id").cast("int")).alias("date_day")
-    )
-    return spine.select("date_day", *calendar_columns("date_day"))
+    """Calendar over the configured range (M6)."""
+    return calendar(env.spark, env.cfg.calendar_start, env.cfg.calendar_end)
 
 
 @dataset(

@@ -9,7 +9,7 @@ written table.
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +50,11 @@ def dataset(
     return register
 
 
+RAW_PREFIX = "raw_"
+
+
 def raw_name(table: str) -> str:
-    return f"raw_{table}"
+    return f"{RAW_PREFIX}{table}"
 
 
 @dataclass
@@ -63,12 +66,15 @@ class Env:
 class Workspace:
     """Lazy resolution of datasets over a given set of raw DataFrames."""
 
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], cfg: Config):
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], cfg: Config):
         _load_definitions()
         self.env = Env(spark, cfg)
-        self.frames: dict[str, DataFrame] = {raw_name(k): v for k, v in raw.items()}
+        self.raw = raw
+        self.frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.frames and name.startswith(RAW_PREFIX) and name not in REGISTRY:
+            self.frames[name] = self.raw[name[len(RAW_PREFIX):]]
         if name not in self.frames:
             ds = REGISTRY[name]
             inputs = {dep: self[dep] for dep in ds.deps}

@@ -7,14 +7,22 @@ Catalyst plan from parquet scans to result.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cadence.config import Config
-from cadence.operators import kpi
+from cadence.catalog import TABLES_BY_NAME
+from cadence.config import DEFAULT_CALENDAR_END, DEFAULT_CALENDAR_START, Config, default_config
+from cadence.functions import calendar_columns, columns as fn
+from cadence.operators import kpi, quality
+from cadence.operators.marts import calendar
+from cadence.plans.build import build
 from cadence.plans.datasets import Workspace
+from cadence.sources import fixtures, ingest, reconcile, store
 from cadence.sources.fixtures import raw_tables
+from cadence.sources.testdata import TestData
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -113,7 +121,266 @@ KPI_QUERIES: dict[str, QueryFn] = {
 }
 
 
+# --- ingestion and reconciliation (I4-I12) -------------------------------------
+
+# Fixed values that results depend on: the day the first load ran, how far
+# back the second load's extraction window reaches, and the load id used
+# where lineage must be reproducible.
+FIRST_LOAD_DAY = dt.date(1998, 1, 1)
+EXTRACT_OVERLAP_DAYS = 30
+FIXED_LOAD_ID = "load-0001"
+
+
+def run_config(spark: SparkSession, tag: str) -> Config:
+    """A fresh folder in the shared storage for one query run."""
+    return default_config(spark, run_name=f"{tag}-{dt.datetime.now():%Y%m%d%H%M%S%f}")
+
+
+def _window_start() -> dt.date:
+    return FIRST_LOAD_DAY - dt.timedelta(days=EXTRACT_OVERLAP_DAYS)
+
+
+def load_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: stocks replaced twice (two runs); the table holds one copy."""
+    cfg = run_config(spark, "load_replace")
+    table = TABLES_BY_NAME["stocks"]
+    src = raw_tables(spark, sf_dir)
+    for run in ("run-1", "run-2"):
+        ingest.load_table(spark, src["stocks"], table, cfg, run)
+    return ingest.read_raw(spark, cfg, "stocks")
+
+
+def _incremental_orders_batch(src: TestData) -> DataFrame:
+    """Second extraction: orders changed since the overlap window began,
+    sent twice (an earlier and a later extract, ``_seq`` 1 and 2)."""
+    early = fixtures.orders_changed_since(src, _window_start()).withColumn("_seq", F.lit(1))
+    late = fixtures.orders_changed_since(src, FIRST_LOAD_DAY).withColumn("_seq", F.lit(2))
+    return early.unionByName(late)
+
+
+def load_merge_single_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 on orders: first load on FIRST_LOAD_DAY, then an incremental
+    batch with duplicate keys upserted on order_id."""
+    cfg = run_config(spark, "load_merge_single_pk")
+    table = TABLES_BY_NAME["orders"]
+    src = TestData(spark, sf_dir)
+    ingest.load_table(spark, fixtures.orders_as_of(src, FIRST_LOAD_DAY), table, cfg, "day-1")
+    ingest.load_table(spark, _incremental_orders_batch(src), table, cfg, "day-2")
+    return ingest.read_raw(spark, cfg, "orders")
+
+
+def load_merge_composite_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 on order_items, key (order_id, item_id): lines of the orders
+    placed by FIRST_LOAD_DAY, then the lines of the orders placed in the
+    overlap window or later."""
+    cfg = run_config(spark, "load_merge_composite_pk")
+    table = TABLES_BY_NAME["order_items"]
+    src = TestData(spark, sf_dir)
+    first = fixtures.order_items_as_of(src, FIRST_LOAD_DAY)
+    batch = fixtures.order_items_placed_after(src, _window_start())
+    ingest.load_table(spark, first, table, cfg, "day-1")
+    ingest.load_table(spark, batch, table, cfg, "day-2")
+    return ingest.read_raw(spark, cfg, "order_items")
+
+
+def load_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded stocks with their load id and deterministic row id."""
+    cfg = run_config(spark, "load_lineage")
+    table = TABLES_BY_NAME["stocks"]
+    ingest.load_table(spark, raw_tables(spark, sf_dir)["stocks"], table, cfg, FIXED_LOAD_ID)
+    return store.read_current(spark, cfg.dataset_dir("raw", cfg.raw_table_name("stocks")))
+
+
+def load_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first load comes from a source without ``required_date``;
+    the second, with it, is merged: rows it did not touch keep NULL."""
+    cfg = run_config(spark, "load_schema_evolution")
+    table = TABLES_BY_NAME["orders"]
+    src = TestData(spark, sf_dir)
+    old_schema = fixtures.orders_as_of(src, FIRST_LOAD_DAY).drop("required_date")
+    ingest.load_table(spark, old_schema, table, cfg, "day-1")
+    ingest.load_table(spark, _incremental_orders_batch(src), table, cfg, "day-2")
+    return ingest.read_raw(spark, cfg, "orders")
+
+
+def recon_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I8: COUNT(*) per source table, one union of aggregates."""
+    return reconcile.source_counts(spark, raw_tables(spark, sf_dir), Config())
+
+
+def recon_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all nine tables, then source = emitted = stored."""
+    cfg = run_config(spark, "recon_checks")
+    src = raw_tables(spark, sf_dir)
+    results = ingest.ingest(spark, src, cfg)
+    return reconcile.reconcile(spark, src, cfg, results)
+
+
+# --- build and suite (I15, D11) -----------------------------------------------------
+
+
+def _ingested(spark: SparkSession, sf_dir: str, tag: str) -> tuple[Config, ingest.LoadedRaw]:
+    cfg = run_config(spark, tag).with_fixture_calendar()
+    ingest.ingest(spark, raw_tables(spark, sf_dir), cfg)
+    return cfg, ingest.LoadedRaw(spark, cfg)
+
+
+def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest, then the gated build with tests after each dataset."""
+    cfg, raw = _ingested(spark, sf_dir, "build_report")
+    return build(spark, raw, cfg).report(spark)
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared and singular test over the built tables."""
+    cfg, raw = _ingested(spark, sf_dir, "dq_report")
+    result = build(spark, raw, cfg, run_tests=False, gate=False)
+    return quality.evaluate(result.workspace)
+
+
+# --- single operators on the whole fixture build (D1-D9) -----------------------------
+
+
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 on order_id of the order lines: orders with several lines."""
+    return quality.unique(workspace(spark, sf_dir)["stg_order_items"], "order_id")
+
+
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2 on shipped_date: orders not shipped."""
+    return quality.not_null(workspace(spark, sf_dir)["fct_orders"], "shipped_date")
+
+
+def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: order dates of the lines against the default 2016-2019 calendar."""
+    default_calendar = calendar(spark, DEFAULT_CALENDAR_START, DEFAULT_CALENDAR_END)
+    lines = workspace(spark, sf_dir)["fct_order_items"]
+    return quality.relationships(lines, "order_date", default_calendar, "date_day")
+
+
+def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 on the order status codes."""
+    return quality.accepted_values(
+        workspace(spark, sf_dir)["fct_orders"], "order_status", quality.STATUSES
+    )
+
+
+def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipping days must be >= 0."""
+    return quality.accepted_range(workspace(spark, sf_dir)["fct_orders"], "shipping_days", 0)
+
+
+def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6 on the source's (order, line number) pair."""
+    line = TestData(spark, sf_dir).table("lineitem")
+    return quality.unique_combination(line, ["l_orderkey", "l_linenumber"])
+
+
+def dq_shipped_after_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.shipped_before_ordered(workspace(spark, sf_dir)["fct_orders"])
+
+
+def dq_revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ws = workspace(spark, sf_dir)
+    return quality.revenue_reconciliation(ws["fct_orders"], ws["fct_order_items"])
+
+
+def dq_revenue_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.revenue_formula(workspace(spark, sf_dir)["fct_order_items"])
+
+
+# --- scalar functions (F1-F24) ---------------------------------------------------
+
+
+def scalar_staging_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, F4, F6, F7 on the raw staff table, raw text beside the result."""
+    raw = raw_tables(spark, sf_dir)["staffs"]
+    return raw.select(
+        fn.to_long("staff_id").alias("staff_id"),
+        F.col("email").alias("email_text"),
+        fn.null_text("email").alias("email"),
+        F.col("active").alias("active_code"),
+        fn.flag_is_one("active").alias("active"),
+        F.col("manager_id").alias("manager_text"),
+        fn.safe_long(fn.null_text("manager_id")).alias("manager_id"),
+    )
+
+
+def scalar_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F14 with and without NULL parts."""
+    orders = workspace(spark, sf_dir)["stg_orders"]
+    return orders.select(
+        "order_id",
+        fn.surrogate_key(["order_id"]).alias("order_key"),
+        fn.surrogate_key(["order_id", "shipped_date"]).alias("shipment_key"),
+    )
+
+
+def scalar_status_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F11."""
+    orders = workspace(spark, sf_dir)["stg_orders"]
+    return orders.select(
+        "order_id", "order_status", fn.status_label("order_status").alias("order_status_label")
+    )
+
+
+def scalar_delivery_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F12, F13, F20, F21."""
+    o = workspace(spark, sf_dir)["stg_orders"]
+    shipped = F.col("shipped_date")
+    return o.select(
+        "order_id",
+        fn.day_diff("required_date", "order_date").alias("days_to_required"),
+        fn.day_diff("shipped_date", "order_date").alias("shipping_days"),
+        shipped.isNull().alias("is_not_shipped"),
+        F.coalesce(shipped > F.col("required_date"), F.lit(False)).alias("is_late"),
+    )
+
+
+def scalar_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F15-F19 on every order date."""
+    o = workspace(spark, sf_dir)["stg_orders"]
+    return o.select("order_id", F.col("order_date").alias("date_day")).select(
+        "order_id", "date_day", *calendar_columns("date_day")
+    )
+
+
+def scalar_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line revenue and stock value."""
+    lines = workspace(spark, sf_dir)["order_lines"]
+    return lines.select("order_id", "item_id", "quantity", "list_price", "discount", "revenue")
+
+
+OPERATOR_QUERIES: dict[str, QueryFn] = {
+    "load_replace": load_replace,
+    "load_merge_single_pk": load_merge_single_pk,
+    "load_merge_composite_pk": load_merge_composite_pk,
+    "load_lineage": load_lineage,
+    "load_schema_evolution": load_schema_evolution,
+    "recon_source_counts": recon_source_counts,
+    "recon_checks": recon_checks,
+    "build_report": build_report,
+    "dq_unique": dq_unique,
+    "dq_not_null": dq_not_null,
+    "dq_relationships": dq_relationships,
+    "dq_accepted_values": dq_accepted_values,
+    "dq_accepted_range": dq_accepted_range,
+    "dq_unique_combination": dq_unique_combination,
+    "dq_shipped_after_order": dq_shipped_after_order,
+    "dq_revenue_reconciliation": dq_revenue_reconciliation,
+    "dq_revenue_formula": dq_revenue_formula,
+    "dq_report": dq_report,
+    "scalar_staging_casts": scalar_staging_casts,
+    "scalar_surrogate_key": scalar_surrogate_key,
+    "scalar_status_label": scalar_status_label,
+    "scalar_delivery_delays": scalar_delivery_delays,
+    "scalar_calendar": scalar_calendar,
+    "scalar_revenue": scalar_revenue,
+}
+
+
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {name: _dataset_query(name) for name in DATASET_QUERIES}
     out.update(KPI_QUERIES)
+    out.update(OPERATOR_QUERIES)
     return out

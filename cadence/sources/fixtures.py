@@ -9,13 +9,14 @@ a built-in Spark expression; the mapping is written out in FIXTURES.md §2.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cadence.functions.columns import MONEY, NULL_TEXT, RATE
-from cadence.sources.testdata import read_table
+from cadence.sources.testdata import TestData
 
 # Fixed values that results depend on: category codes by part type.
 CATEGORY_CODES = {
@@ -56,24 +57,24 @@ def _date_text(c: F.Column) -> F.Column:
     return c.cast("date").cast("string")
 
 
-def brands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part")
+def brands(src: TestData) -> DataFrame:
+    part = src.table("part")
     return part.select(
         F.substring("p_brand", 7, 1 << 20).cast("bigint").alias("brand_id"),
         F.col("p_brand").alias("brand_name"),
     ).distinct()
 
 
-def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part")
+def categories(src: TestData) -> DataFrame:
+    part = src.table("part")
     return part.select(
         _code("p_type", CATEGORY_CODES).alias("category_id"),
         F.col("p_type").alias("category_name"),
     ).distinct()
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read_table(spark, sf_dir, "part")
+def products(src: TestData) -> DataFrame:
+    part = src.table("part")
     return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
@@ -84,9 +85,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
+def stores(src: TestData) -> DataFrame:
+    nation = src.table("nation")
+    region = src.table("region")
     key = F.col("n_nationkey")
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         key.cast("bigint").alias("store_id"),
@@ -102,8 +103,8 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = read_table(spark, sf_dir, "supplier")
+def staffs(src: TestData) -> DataFrame:
+    supplier = src.table("supplier")
     key = F.col("s_suppkey")
     return supplier.select(
         key.alias("staff_id"),
@@ -119,10 +120,10 @@ def staffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = read_table(spark, sf_dir, "customer")
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
+def customers(src: TestData) -> DataFrame:
+    customer = src.table("customer")
+    nation = src.table("nation")
+    region = src.table("region")
     key = F.col("c_custkey")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         "n_nationkey", "n_name", "r_name"
@@ -142,13 +143,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items(src: TestData) -> DataFrame:
     """Order lines; ``item_id`` numbers the lines of one order 1, 2, ...
 
     The window is partitioned by order: hash-partitioned on ``l_orderkey``,
     which is also the partitioning the downstream joins on ``order_id`` need.
     """
-    line = read_table(spark, sf_dir, "lineitem")
+    line = src.table("lineitem")
     w = Window.partitionBy("l_orderkey").orderBy(*ITEM_ORDER[1:])
     return line.select(
         F.col("l_orderkey").alias("order_id"),
@@ -160,21 +161,21 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_line_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_line_summary(src: TestData) -> DataFrame:
     """Per order: last ship date and lowest supplier (partial + final agg)."""
-    line = read_table(spark, sf_dir, "lineitem")
+    line = src.table("lineitem")
     return line.groupBy(F.col("l_orderkey").alias("order_key")).agg(
         F.max("l_shipdate").alias("last_ship"),
         F.min("l_suppkey").alias("first_supplier"),
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = read_table(spark, sf_dir, "orders")
-    supplier = read_table(spark, sf_dir, "supplier").select(
+def orders(src: TestData) -> DataFrame:
+    order = src.table("orders")
+    supplier = src.table("supplier").select(
         F.col("s_suppkey").alias("first_supplier"), F.col("s_nationkey")
     )
-    lines = _order_line_summary(spark, sf_dir)
+    lines = _order_line_summary(src)
     joined = order.join(lines, order.o_orderkey == lines.order_key, "left").join(
         supplier, "first_supplier", "left"
     )
@@ -194,14 +195,14 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stocks(src: TestData) -> DataFrame:
     """Stock snapshot per (store, product) a supplier has delivered.
 
     Lines are reduced to distinct (supplier, part) pairs before the join, so
     the join and the final distinct see pairs, not lines.
     """
-    line = read_table(spark, sf_dir, "lineitem")
-    supplier = read_table(spark, sf_dir, "supplier")
+    line = src.table("lineitem")
+    supplier = src.table("supplier")
     pairs = line.select("l_suppkey", "l_partkey").distinct()
     located = pairs.join(supplier, pairs.l_suppkey == supplier.s_suppkey, "inner")
     store = F.col("s_nationkey").cast("bigint")
@@ -226,51 +227,66 @@ RAW_BUILDERS = {
 }
 
 
-def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return RAW_BUILDERS[table](spark, sf_dir)
+class RawTables(Mapping):
+    """The nine source tables, each built on first access."""
 
+    def __init__(self, src: TestData):
+        self.src = src
+        self._frames: dict[str, DataFrame] = {}
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._frames:
+            self._frames[table] = RAW_BUILDERS[table](self.src)
+        return self._frames[table]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(RAW_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(RAW_BUILDERS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """Current state of the nine source tables, keyed by table name."""
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+    return RawTables(TestData(spark, sf_dir))
 
 
-def orders_as_of(spark: SparkSession, sf_dir: str, day: dt.date) -> DataFrame:
+def orders_as_of(src: TestData, day: dt.date) -> DataFrame:
     """Orders as the source held them at the end of ``day``: later orders
     do not exist, later shipments have not happened."""
     cutoff = F.lit(day)
-    current = orders(spark, sf_dir)
+    current = orders(src)
     shipped_later = F.col("shipped_date").try_cast("date") > cutoff
     return current.where(F.col("order_date").cast("date") <= cutoff).withColumn(
         "shipped_date", F.when(shipped_later, F.lit(NULL_TEXT)).otherwise(F.col("shipped_date"))
     )
 
 
-def order_items_as_of(spark: SparkSession, sf_dir: str, day: dt.date) -> DataFrame:
+def order_items_as_of(src: TestData, day: dt.date) -> DataFrame:
     """Lines of the orders placed up to ``day``."""
     placed = (
-        read_table(spark, sf_dir, "orders")
+        src.table("orders")
         .where(F.col("o_orderdate").cast("date") <= F.lit(day))
         .select(F.col("o_orderkey").alias("order_id"))
     )
-    return order_items(spark, sf_dir).join(placed, "order_id", "left_semi")
+    return order_items(src).join(placed, "order_id", "left_semi")
 
 
-def orders_changed_since(spark: SparkSession, sf_dir: str, day: dt.date) -> DataFrame:
+def orders_changed_since(src: TestData, day: dt.date) -> DataFrame:
     """Incremental extract: orders placed or shipped after ``day``."""
     cutoff = F.lit(day)
-    current = orders(spark, sf_dir)
+    current = orders(src)
     return current.where(
         (F.col("order_date").cast("date") > cutoff)
         | (F.col("shipped_date").try_cast("date") > cutoff)
     )
 
 
-def order_items_placed_after(spark: SparkSession, sf_dir: str, day: dt.date) -> DataFrame:
+def order_items_placed_after(src: TestData, day: dt.date) -> DataFrame:
     """Incremental extract: lines of the orders placed after ``day``."""
     placed = (
-        read_table(spark, sf_dir, "orders")
+        src.table("orders")
         .where(F.col("o_orderdate").cast("date") > F.lit(day))
         .select(F.col("o_orderkey").alias("order_id"))
     )
-    return order_items(spark, sf_dir).join(placed, "order_id", "left_semi")
+    return order_items(src).join(placed, "order_id", "left_semi")
