@@ -83,17 +83,11 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: Sequence[str],
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
-def _observed_write(df: DataFrame, table_dir: str, name: str) -> tuple[str, int]:
-    obs = Observation(f"emitted_{name}")
-    version = store.write_version(df.observe(obs, F.count(F.lit(1)).alias("rows")), table_dir)
-    return version, int(obs.get["rows"])
-
-
 def replace_load(df: DataFrame, table_dir: str, key: Sequence[str], load_id: str,
                  name: str = "table") -> tuple[str, int]:
     """Full refresh: the new version holds exactly ``df``."""
     spark = df.sparkSession
-    version, emitted = _observed_write(add_lineage(df, key, load_id), table_dir, name)
+    version, emitted = store.write_counted(add_lineage(df, key, load_id), table_dir, name)
     store.publish(spark, table_dir, version)
     return version, emitted
 
@@ -104,13 +98,15 @@ def merge_load(batch: DataFrame, table_dir: str, key: Sequence[str], load_id: st
     next version. Returns the version and the number of batch rows emitted
     (after de-duplication)."""
     spark = batch.sparkSession
-    current = store.read_current(spark, table_dir) if store.exists(spark, table_dir) else None
-    if current is not None:
+    current_version = store.current_version(spark, table_dir)
+    current = None
+    if current_version is not None:
+        current = store.read_version(spark, table_dir, current_version)
         current = current.withColumn("_from_batch", F.lit(0))
     fresh = add_lineage(batch, key, load_id)
     marked = fresh.withColumn("_from_batch", F.lit(1))
     merged = upsert(current, marked, key, seq)
-    obs = Observation(f"emitted_{name}")
+    obs = Observation(f"emitted_{name}_{load_id}")
     counted = merged.observe(obs, F.sum("_from_batch").alias("rows")).drop("_from_batch")
     version = store.write_version(counted, table_dir)
     store.publish(spark, table_dir, version)

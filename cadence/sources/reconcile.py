@@ -61,14 +61,13 @@ def emitted_counts(spark: SparkSession, results: Iterable[LoadResult]) -> DataFr
 
 
 def stored_counts(spark: SparkSession, cfg: Config,
-                  only: Sequence[str] | None = None) -> DataFrame:
-    """Rows in the current version of each raw table."""
+                  results: Sequence[LoadResult]) -> DataFrame:
+    """Rows in the version each load published, re-read from storage
+    (the count comes from the parquet footers)."""
     parts = []
-    for t in select_tables(only):
-        name = cfg.raw_table_name(t.name)
-        table_dir = cfg.dataset_dir("raw", name)
-        if store.exists(spark, table_dir):
-            parts.append(_count(store.read_current(spark, table_dir), name))
+    for r in results:
+        table_dir = cfg.dataset_dir("raw", r.table)
+        parts.append(_count(store.read_version(spark, table_dir, r.version), r.table))
     return _union(parts, spark)
 
 
@@ -109,6 +108,6 @@ def reconcile(spark: SparkSession, source: Mapping[str, DataFrame], cfg: Config,
     return checks(
         source_counts(spark, source, cfg, only),
         emitted_counts(spark, results),
-        stored_counts(spark, cfg, only),
+        stored_counts(spark, cfg, results),
         strategy_labels(spark, cfg),
     )
