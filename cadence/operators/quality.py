@@ -12,7 +12,7 @@ Scale notes:
   rows costs one partial row per map task, never one huge group;
 * ``relationships`` reduces the child to (key, count) before the anti join,
   so the join sees distinct keys only and cannot be skewed;
-* the suite (``run_suite``) folds all row-level checks of one dataset
+* the suite (``evaluate`` / ``run_suite``) folds all row-level checks of one dataset
   (not_null, accepted_range, accepted_values) into a single aggregation
   pass instead of one scan per check.
 """
@@ -432,3 +432,34 @@ def evaluate(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | Non
     for p in parts[1:]:
         report = report.unionByName(p)
     return _finish(report)
+
+
+REPORT_SCHEMA = (
+    "dataset string, test_name string, test_type string, column_name string, "
+    "severity string, n_violations bigint, passed boolean"
+)
+
+
+def run_suite(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | None = None,
+              singular: Iterable[str] | None = None, workers: int = 8) -> list:
+    """Evaluate the suite as one Spark job per dataset, submitted
+    concurrently; returns the report rows (one per test)."""
+    from cadence.plans.concurrent import run_all
+
+    tests = list(DECLARED if tests is None else tests)
+    singular = list(SINGULAR_TESTS if singular is None else singular)
+    groups: dict[str, tuple[list[Expectation], list[str]]] = {}
+    for e in tests:
+        groups.setdefault(e.dataset, ([], []))[0].append(e)
+    for name in singular:
+        groups.setdefault(SINGULAR_TESTS[name][0][0], ([], []))[1].append(name)
+    done = run_all(
+        {ds: (lambda g=g: evaluate(frames, g[0], g[1]).collect()) for ds, g in groups.items()},
+        workers,
+    )
+    return [row for ds in groups for row in done[ds]]
+
+
+def report_frame(spark, rows: list) -> DataFrame:
+    """The report rows as a DataFrame (one row per test: bounded)."""
+    return spark.createDataFrame([tuple(r) for r in rows], REPORT_SCHEMA)

@@ -9,6 +9,7 @@ written table.
 from __future__ import annotations
 
 import inspect
+import threading
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
@@ -71,20 +72,23 @@ class Workspace:
         self.env = Env(spark, cfg)
         self.raw = raw
         self.frames: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self.frames and name.startswith(RAW_PREFIX) and name not in REGISTRY:
-            self.frames[name] = self.raw[name[len(RAW_PREFIX):]]
-        if name not in self.frames:
-            ds = REGISTRY[name]
-            inputs = {dep: self[dep] for dep in ds.deps}
-            if ds.wants_env():
-                inputs["env"] = self.env
-            self.frames[name] = ds.fn(**inputs)
-        return self.frames[name]
+        with self._lock:
+            if name not in self.frames and name.startswith(RAW_PREFIX) and name not in REGISTRY:
+                self.frames[name] = self.raw[name[len(RAW_PREFIX):]]
+            if name not in self.frames:
+                ds = REGISTRY[name]
+                inputs = {dep: self[dep] for dep in ds.deps}
+                if ds.wants_env():
+                    inputs["env"] = self.env
+                self.frames[name] = ds.fn(**inputs)
+            return self.frames[name]
 
     def put(self, name: str, df: DataFrame) -> None:
-        self.frames[name] = df
+        with self._lock:
+            self.frames[name] = df
 
 
 def topological_order(names: Iterable[str] | None = None) -> list[str]:

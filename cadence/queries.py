@@ -235,7 +235,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every declared and singular test over the built tables."""
     cfg, raw = _ingested(spark, sf_dir, "dq_report")
     result = build(spark, raw, cfg, run_tests=False, gate=False)
-    return quality.evaluate(result.workspace)
+    return quality.report_frame(spark, quality.run_suite(result.workspace))
 
 
 # --- single operators on the whole fixture build (D1-D9) -----------------------------

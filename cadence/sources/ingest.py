@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from cadence.catalog import MERGE, SourceTable, select_tables
 from cadence.config import Config
+from cadence.plans.concurrent import DEFAULT_WORKERS, run_all
 from cadence.sources import store
 
 LOAD_ID = "_load_id"
@@ -115,14 +116,20 @@ def merge_load(batch: DataFrame, table_dir: str, key: Sequence[str], load_id: st
 
 
 def ingest(spark: SparkSession, source: Mapping[str, DataFrame], cfg: Config,
-           only: Sequence[str] | None = None, load_id: str | None = None) -> list[LoadResult]:
+           only: Sequence[str] | None = None, load_id: str | None = None,
+           workers: int = DEFAULT_WORKERS) -> list[LoadResult]:
     """Load the selected source tables into ``<root>/<raw_prefix>_raw``:
-    merge tables are upserted on their key, the others replaced."""
+    merge tables are upserted on their key, the others replaced. Tables are
+    loaded as concurrent Spark jobs; results come in catalogue order."""
     load_id = load_id or new_load_id()
-    results = []
-    for table in select_tables(only):
-        results.append(load_table(spark, source[table.name], table, cfg, load_id))
-    return results
+    tables = select_tables(only)
+    frames = {t.name: source[t.name] for t in tables}
+    done = run_all(
+        {t.name: (lambda t=t: load_table(spark, frames[t.name], t, cfg, load_id))
+         for t in tables},
+        workers,
+    )
+    return [done[t.name] for t in tables]
 
 
 def load_table(spark: SparkSession, df: DataFrame, table: SourceTable, cfg: Config,
