@@ -203,6 +203,25 @@ def load_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_raw(spark, cfg, "orders")
 
 
+def load_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 as a stream: the first-day extract and the incremental extract
+    land as change files; a file-source stream upserts them on order_id."""
+    from cadence.streaming import change_stream, start_upsert_stream
+
+    cfg = run_config(spark, "load_merge_stream")
+    src = TestData(spark, sf_dir)
+    landing = f"{cfg.root}/landing/orders"
+    first = fixtures.orders_as_of(src, FIRST_LOAD_DAY).withColumn("_seq", F.lit(0))
+    first.write.parquet(f"{landing}/extract-1")
+    _incremental_orders_batch(src).write.parquet(f"{landing}/extract-2")
+    table_dir = cfg.dataset_dir("raw", cfg.raw_table_name("orders"))
+    changes = change_stream(spark, f"{landing}/*", first.schema)
+    query = start_upsert_stream(changes, table_dir, TABLES_BY_NAME["orders"].key,
+                                f"{cfg.root}/_checkpoints/orders", name="orders")
+    query.awaitTermination()
+    return store.read_current(spark, table_dir).drop(*ingest.LINEAGE)
+
+
 def recon_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I8: COUNT(*) per source table, one union of aggregates."""
     return reconcile.source_counts(spark, raw_tables(spark, sf_dir), Config())
@@ -357,6 +376,7 @@ OPERATOR_QUERIES: dict[str, QueryFn] = {
     "load_merge_composite_pk": load_merge_composite_pk,
     "load_lineage": load_lineage,
     "load_schema_evolution": load_schema_evolution,
+    "load_merge_stream": load_merge_stream,
     "recon_source_counts": recon_source_counts,
     "recon_checks": recon_checks,
     "build_report": build_report,
