@@ -13,9 +13,9 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cadence.functions.columns import MONEY, NULL_TEXT, RATE
+from cadence.operators.numbering import number_within_key
 from cadence.sources.testdata import TestData
 
 # Fixed values that results depend on: category codes by part type.
@@ -146,14 +146,17 @@ def customers(src: TestData) -> DataFrame:
 def order_items(src: TestData) -> DataFrame:
     """Order lines; ``item_id`` numbers the lines of one order 1, 2, ...
 
-    The window is partitioned by order: hash-partitioned on ``l_orderkey``,
-    which is also the partitioning the downstream joins on ``order_id`` need.
+    Numbered by ``number_within_key``: a window partitioned by order while
+    the largest order is proven small, range partitions otherwise.
     """
-    line = src.table("lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy(*ITEM_ORDER[1:])
-    return line.select(
+    line = src.table("lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_shipdate",
+    )
+    numbered = number_within_key(line, "l_orderkey", ITEM_ORDER[1:], "item_id")
+    return numbered.select(
         F.col("l_orderkey").alias("order_id"),
-        F.row_number().over(w).cast("bigint").alias("item_id"),
+        F.col("item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("list_price"),
