@@ -12,9 +12,12 @@ Scale notes:
   rows costs one partial row per map task, never one huge group;
 * ``relationships`` reduces the child to (key, count) before the anti join,
   so the join sees distinct keys only and cannot be skewed;
-* the suite (``evaluate`` / ``run_suite``) folds all row-level checks of one dataset
-  (not_null, accepted_range, accepted_values) into a single aggregation
-  pass instead of one scan per check.
+* the suite (``evaluate`` / ``run_suite``) reads each dataset twice, not
+  once per test: one aggregation for all row-level tests (not_null,
+  accepted_range, accepted_values), one grouping-sets aggregation for all
+  key tests (unique, unique_combination, relationships); each result is
+  turned into one row per test by a single ``unpivot``, so no per-test
+  branch re-runs the aggregation.
 """
 
 from __future__ import annotations
@@ -347,15 +350,39 @@ def _finish(df: DataFrame) -> DataFrame:
     )
 
 
+def _unpivot(one_row: DataFrame, tests: list[tuple[str, Expectation]], dataset: str) -> DataFrame:
+    """One row per test from the one-row result of an aggregation, with a
+    single ``unpivot`` (no per-test branch, so the aggregation runs once)."""
+    aliases = [alias for alias, _ in tests]
+    meta = {alias: e for alias, e in tests}
+
+    def lookup(field_of) -> Column:
+        pairs = []
+        for alias in aliases:
+            pairs += [F.lit(alias), F.lit(field_of(meta[alias])).cast("string")]
+        return F.create_map(*pairs)[F.col("_test")]
+
+    long = one_row.select(*[F.col(a).cast("bigint").alias(a) for a in aliases]).unpivot(
+        [], aliases, "_test", "n_violations"
+    )
+    return long.select(
+        F.lit(dataset).alias("dataset"),
+        lookup(lambda e: e.name).alias("test_name"),
+        lookup(lambda e: e.kind).alias("test_type"),
+        lookup(lambda e: e.column).alias("column_name"),
+        lookup(lambda e: e.severity).alias("severity"),
+        "n_violations",
+    )
+
+
 def _folded(dataset: str, df: DataFrame, tests: list[Expectation]) -> DataFrame | None:
     """One aggregation pass for every row-level test of a dataset: a count
     of violating rows per not_null / accepted_range test, a count of
-    distinct bad values per accepted_values test. The one-row result is
-    unpivoted into one row per test."""
+    distinct bad values per accepted_values test."""
     aggs = []
     names = []
     for i, e in enumerate(tests):
-        alias = f"t{i}"
+        alias = f"r{i}"
         cond = _row_level_violation(e)
         if cond is not None:
             aggs.append(F.count(F.when(cond, F.lit(1))).alias(alias))
@@ -368,15 +395,7 @@ def _folded(dataset: str, df: DataFrame, tests: list[Expectation]) -> DataFrame
         names.append((alias, e))
     if not aggs:
         return None
-    one_row = df.agg(*aggs)
-    rows = None
-    for alias, e in names:
-        part = one_row.select(
-            *_literal_cols(dataset, e.name, e.kind, e.column, e.severity),
-            F.col(alias).alias("n_violations"),
-        )
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    return _unpivot(df.agg(*aggs), names, dataset)
 
 
 def _count_rows(dataset: str, name: str, kind: str, column: str | None, severity: str,
@@ -386,12 +405,71 @@ def _count_rows(dataset: str, name: str, kind: str, column: str | None, severity
     )
 
 
-def _sum_records(dataset: str, name: str, kind: str, column: str | None, severity: str,
-                 violations: DataFrame) -> DataFrame:
-    total = F.coalesce(F.sum(N_RECORDS), F.lit(0))
-    return violations.agg(total.alias("n_violations")).select(
-        *_literal_cols(dataset, name, kind, column, severity), "n_violations"
-    )
+KEY_KINDS = ("unique", "unique_combination", "relationships")
+_GID = "_grouping_id"
+
+
+def _key_tests(dataset: str, df: DataFrame, group: list[Expectation],
+               frames: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """unique, unique_combination and relationships tests of one dataset in
+    one linear plan: grouping sets over every key they use (one scan,
+    partial counts before one shuffle), one left join of the reduced
+    (key, count) rows with the parents' distinct keys, one aggregation with
+    a column per test."""
+    tests = [e for e in group if e.kind in KEY_KINDS]
+    if not tests:
+        return []
+    sets = list(dict.fromkeys(e.columns for e in tests))
+    cols = list(dict.fromkeys(c for key in sets for c in key))
+    n = F.count(F.lit(1)).alias(N_RECORDS)
+    if len(sets) == 1:
+        counts = df.groupBy(*cols).agg(n).withColumn(_GID, F.lit(0).cast("bigint"))
+        gid = {sets[0]: 0}
+    else:
+        counts = df.groupingSets([list(key) for key in sets], *cols).agg(
+            n, F.grouping_id().cast("bigint").alias(_GID)
+        )
+        # grouping_id: one bit per grouping column, first column most significant,
+        # set when the column is not part of the grouping set.
+        width = len(cols)
+        gid = {key: sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in key)
+               for key in sets}
+
+    fks = [e for e in tests if e.kind == "relationships"]
+    if fks:
+        # Parent keys of every relationship test, tagged with the child's
+        # grouping set and compared as text after a cast to the parent's type.
+        parents = None
+        key_expr = None
+        for e in fks:
+            col, parent = e.columns[0], frames[e.params["to"]]
+            field_type = parent.schema[e.params["field"]].dataType
+            g = gid[e.columns]
+            tagged = parent.select(
+                F.lit(g).cast("bigint").alias(_GID),
+                F.col(e.params["field"]).cast("string").alias("_key"),
+            ).where(F.col("_key").isNotNull())
+            parents = tagged if parents is None else parents.unionByName(tagged)
+            as_text = F.col(col).cast(field_type).cast("string")
+            key_expr = (F.when if key_expr is None else key_expr.when)(F.col(_GID) == g, as_text)
+        parents = parents.distinct().withColumn("_has_parent", F.lit(True))
+        counts = counts.withColumn("_key", key_expr).join(parents, [_GID, "_key"], "left")
+
+    aggs, names = [], []
+    for i, e in enumerate(tests):
+        alias = f"k{i}"
+        mine = F.col(_GID) == gid[e.columns]
+        many = F.col(N_RECORDS) > 1
+        if e.kind == "unique":
+            hit = mine & F.col(e.columns[0]).isNotNull() & many
+            aggs.append(F.count(F.when(hit, F.lit(1))).alias(alias))
+        elif e.kind == "unique_combination":
+            aggs.append(F.count(F.when(mine & many, F.lit(1))).alias(alias))
+        else:
+            orphan = mine & F.col(e.columns[0]).isNotNull() & F.col("_has_parent").isNull()
+            aggs.append(F.coalesce(F.sum(F.when(orphan, F.col(N_RECORDS))), F.lit(0)).alias(alias))
+        names.append((alias, e))
+    return [_unpivot(counts.agg(*aggs), names, dataset)]
 
 
 def evaluate(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | None = None,
@@ -413,17 +491,7 @@ def evaluate(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | Non
         folded = _folded(dataset, df, group)
         if folded is not None:
             parts.append(folded)
-        for e in group:
-            if e.kind == "unique":
-                v = unique(df, e.columns[0])
-                parts.append(_count_rows(dataset, e.name, e.kind, e.column, e.severity, v))
-            elif e.kind == "unique_combination":
-                v = unique_combination(df, e.columns)
-                parts.append(_count_rows(dataset, e.name, e.kind, e.column, e.severity, v))
-            elif e.kind == "relationships":
-                parent = frames[e.params["to"]]
-                v = relationships(df, e.columns[0], parent, e.params["field"])
-                parts.append(_sum_records(dataset, e.name, e.kind, e.column, e.severity, v))
+        parts.extend(_key_tests(dataset, df, group, frames))
     for name in singular:
         inputs, fn = SINGULAR_TESTS[name]
         v = fn(*(frames[i] for i in inputs))
