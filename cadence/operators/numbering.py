@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
+from cadence.config import shared_dir
+
 DEFAULT_MAX_WINDOW_ROWS = 5_000_000
 _PID = "_range_pid"
 
@@ -59,6 +61,7 @@ def number_by_ranges(
     df: DataFrame, key: str, order: Sequence[str], out: str, partitions: int | None = None
 ) -> DataFrame:
     spark = df.sparkSession
+    shared_dir(spark)  # checkpoints go to the cluster's shared folder
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.repartitionByRange(n, key, *order)
