@@ -115,7 +115,7 @@ KPI_QUERIES: dict[str, QueryFn] = {
     "kpi_stockouts": _stocks_kpi(kpi.stockout_rate),
     "kpi_stockout_list": _stocks_kpi(kpi.stockout_list),
     "kpi_turnover": kpi_turnover,
-    "kpi_revenue_state_filtered": _sales_kpi(
+    "kpi_revenue_store_month_filtered": _sales_kpi(
         lambda s: kpi.revenue_store_month(s, {"store_state": "EUROPE"})
     ),
 }
@@ -219,7 +219,7 @@ def load_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = start_upsert_stream(changes, table_dir, TABLES_BY_NAME["orders"].key,
                                 f"{cfg.root}/_checkpoints/orders", name="orders")
     query.awaitTermination()
-    return store.read_current(spark, table_dir).drop(*ingest.LINEAGE)
+    return store.read_current(spark, table_dir).drop(*ingest.TRACE)
 
 
 def recon_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

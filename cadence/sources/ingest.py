@@ -3,7 +3,9 @@
 * ``replace_load``: full refresh, idempotent (I4).
 * ``merge_load``: upsert on a single or composite primary key (I5): the
   batch is made key-unique (latest ``_seq`` wins), current rows whose key
-  is in the batch are dropped by a left-anti join, the batch is appended.
+  is in the batch are dropped by a left-anti join, the batch is appended;
+  when rows carry ``_seq`` the stored ``_seq`` is kept and a late, older
+  change does not overwrite a newer one.
   Rows missing from the batch stay: source deletions are not propagated.
   Columns new in the batch are added, NULL in older rows (I7).
 * every raw row carries ``_load_id`` and a deterministic ``_row_id`` (I6).
@@ -34,6 +36,8 @@ LOAD_ID = "_load_id"
 ROW_ID = "_row_id"
 SEQ = "_seq"
 LINEAGE = (LOAD_ID, ROW_ID)
+# Load-trace columns, dropped when the raw layer is read by staging.
+TRACE = (LOAD_ID, ROW_ID, SEQ)
 
 
 @dataclass(frozen=True)
@@ -59,11 +63,16 @@ def add_lineage(df: DataFrame, key: Sequence[str], load_id: str) -> DataFrame:
     )
 
 
-def latest_per_key(batch: DataFrame, key: Sequence[str], seq: str | None = SEQ) -> DataFrame:
-    """One row per key: the one with the highest ``seq`` (ties broken by the
-    other columns, so the choice is deterministic)."""
-    payload = [c for c in batch.columns if c not in key and c != seq]
-    order = ([seq] if seq and seq in batch.columns else []) + payload
+def latest_per_key(batch: DataFrame, key: Sequence[str], seq: str | None = SEQ,
+                   tiebreak: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the one with the highest ``seq``, then the highest
+    ``tiebreak`` columns, then the other columns (so the choice is
+    deterministic)."""
+    first = ([seq] if seq and seq in batch.columns else []) + [
+        c for c in tiebreak if c in batch.columns
+    ]
+    rest = [c for c in batch.columns if c not in key and c not in first]
+    order = first + rest
     if not order:
         return batch.select(*key).distinct()
     best = F.max(F.struct(*[F.col(c) for c in order])).alias("_best")
@@ -72,15 +81,20 @@ def latest_per_key(batch: DataFrame, key: Sequence[str], seq: str | None = SEQ)
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, key: Sequence[str],
-           seq: str | None = SEQ) -> DataFrame:
-    """Merge ``batch`` into ``current`` on ``key`` (insert new keys, replace
-    existing ones, keep the rest)."""
-    latest = latest_per_key(batch, key, seq)
-    if seq and seq in latest.columns:
-        latest = latest.drop(seq)
+           seq: str | None = SEQ, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Merge ``batch`` into ``current`` on ``key``: new keys are inserted,
+    keys not in the batch are kept. For a key in both, the batch row wins,
+    unless both carry ``seq`` and the stored row's is higher (a late,
+    older change does not overwrite a newer one)."""
+    latest = latest_per_key(batch, key, seq, tiebreak)
     if current is None:
         return latest
-    kept = current.join(latest.select(*key), list(key), "left_anti")
+    batch_keys = latest.select(*key)
+    kept = current.join(batch_keys, list(key), "left_anti")
+    if seq and seq in latest.columns and seq in current.columns:
+        rivals = current.join(batch_keys, list(key), "left_semi")
+        both = rivals.unionByName(latest, allowMissingColumns=True)
+        latest = latest_per_key(both, key, seq, tiebreak)
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
@@ -106,7 +120,7 @@ def merge_load(batch: DataFrame, table_dir: str, key: Sequence[str], load_id: st
         current = current.withColumn("_from_batch", F.lit(0))
     fresh = add_lineage(batch, key, load_id)
     marked = fresh.withColumn("_from_batch", F.lit(1))
-    merged = upsert(current, marked, key, seq)
+    merged = upsert(current, marked, key, seq, tiebreak=["_from_batch"])
     obs = Observation(f"emitted_{name}_{load_id}")
     counted = merged.observe(obs, F.sum("_from_batch").alias("rows")).drop("_from_batch")
     version = store.write_version(counted, table_dir)
@@ -146,7 +160,7 @@ def load_table(spark: SparkSession, df: DataFrame, table: SourceTable, cfg: Conf
 def read_raw(spark: SparkSession, cfg: Config, table: str) -> DataFrame:
     """The current raw table, without its load-trace columns."""
     df = store.read_current(spark, cfg.dataset_dir("raw", cfg.raw_table_name(table)))
-    return df.drop(*LINEAGE)
+    return df.drop(*TRACE)
 
 
 class LoadedRaw(Mapping):
