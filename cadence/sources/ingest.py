@@ -30,11 +30,14 @@ from pyspark.sql import functions as F
 from cadence.catalog import MERGE, SourceTable, select_tables
 from cadence.config import Config
 from cadence.plans.concurrent import DEFAULT_WORKERS, run_all
+from cadence.plans.joins import broadcast_if_bounded
 from cadence.sources import store
 
 LOAD_ID = "_load_id"
 ROW_ID = "_row_id"
 SEQ = "_seq"
+# Most batch keys broadcast to the anti join of an upsert.
+MAX_BROADCAST_KEYS = 5_000_000
 LINEAGE = (LOAD_ID, ROW_ID)
 # Load-trace columns, dropped when the raw layer is read by staging.
 TRACE = (LOAD_ID, ROW_ID, SEQ)
@@ -81,7 +84,8 @@ def latest_per_key(batch: DataFrame, key: Sequence[str], seq: str | None = SEQ,
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, key: Sequence[str],
-           seq: str | None = SEQ, tiebreak: Sequence[str] = ()) -> DataFrame:
+           seq: str | None = SEQ, tiebreak: Sequence[str] = (),
+           broadcast_keys: bool = False) -> DataFrame:
     """Merge ``batch`` into ``current`` on ``key``: new keys are inserted,
     keys not in the batch are kept. For a key in both, the batch row wins,
     unless both carry ``seq`` and the stored row's is higher (a late,
@@ -90,6 +94,11 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: Sequence[str],
     if current is None:
         return latest
     batch_keys = latest.select(*key)
+    if broadcast_keys:
+        # A daily batch is small next to the table: with its key count
+        # proven under the bound, the stored table streams through a
+        # map-side anti join instead of being shuffled on every load.
+        batch_keys = broadcast_if_bounded(batch_keys, max_rows=MAX_BROADCAST_KEYS)
     kept = current.join(batch_keys, list(key), "left_anti")
     if seq and seq in latest.columns and seq in current.columns:
         rivals = current.join(batch_keys, list(key), "left_semi")
@@ -120,7 +129,7 @@ def merge_load(batch: DataFrame, table_dir: str, key: Sequence[str], load_id: st
         current = current.withColumn("_from_batch", F.lit(0))
     fresh = add_lineage(batch, key, load_id)
     marked = fresh.withColumn("_from_batch", F.lit(1))
-    merged = upsert(current, marked, key, seq, tiebreak=["_from_batch"])
+    merged = upsert(current, marked, key, seq, tiebreak=["_from_batch"], broadcast_keys=True)
     obs = Observation(f"emitted_{name}_{load_id}")
     counted = merged.observe(obs, F.sum("_from_batch").alias("rows")).drop("_from_batch")
     version = store.write_version(counted, table_dir)

@@ -46,3 +46,17 @@ def test_warn_does_not_block_and_selection(spark, tmp_root):
     again = build(spark, raw, cfg, select=["reporting"], suite=[], singular=False)
     assert [d.dataset for d in again.datasets] == ["rpt_sales", "rpt_orders", "rpt_stocks"]
     assert all(d.status == SUCCESS for d in again.datasets)
+
+
+def test_tests_only_rerun_reads_published_tables(spark, tmp_root):
+    cfg = Config(root=tmp_root).with_fixture_calendar()
+    raw = _loaded(spark, tmp_root, cfg)
+    marts = ["dim_stores", "dim_customers"]
+    first = build(spark, raw, cfg, select=marts)
+    assert all(d.status == SUCCESS for d in first.datasets)
+    version = store.current_version(spark, cfg.dataset_dir("marts", "dim_stores"))
+    again = build(spark, raw, cfg, select=marts, tests_only=True)
+    assert [d.n_tests for d in again.datasets] == [2, 2]
+    assert all(d.status == SUCCESS for d in again.datasets)
+    # Nothing was written: the published version is unchanged.
+    assert store.current_version(spark, cfg.dataset_dir("marts", "dim_stores")) == version
