@@ -76,7 +76,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * cpus),
+    spark = local_session(cores=cpus, shuffle_partitions=cpus,
                           app_name="cadence-bench", driver_memory="16g")
     if os.path.isdir(WARMUP_DIR) and os.path.abspath(sf_dir) != WARMUP_DIR:
         run(spark, WARMUP_DIR, None)
