@@ -222,6 +222,15 @@ def load_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_current(spark, table_dir).drop(*ingest.TRACE)
 
 
+def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load log after loading all nine tables under one load id."""
+    cfg = run_config(spark, "load_log")
+    ingest.ingest(spark, raw_tables(spark, sf_dir), cfg, load_id=FIXED_LOAD_ID)
+    return ingest.read_load_log(spark, cfg).select(
+        "load_id", "table_name", "load_mode", "emitted_rows"
+    )
+
+
 def recon_source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I8: COUNT(*) per source table, one union of aggregates."""
     return reconcile.source_counts(spark, raw_tables(spark, sf_dir), Config())
@@ -377,6 +386,7 @@ OPERATOR_QUERIES: dict[str, QueryFn] = {
     "load_lineage": load_lineage,
     "load_schema_evolution": load_schema_evolution,
     "load_merge_stream": load_merge_stream,
+    "load_log": load_log,
     "recon_source_counts": recon_source_counts,
     "recon_checks": recon_checks,
     "build_report": build_report,

@@ -138,12 +138,20 @@ def merge_load(batch: DataFrame, table_dir: str, key: Sequence[str], load_id: st
     return version, int(emitted or 0)
 
 
+LOADS_TABLE = "_loads"
+LOADS_SCHEMA = (
+    "load_id string, table_name string, source_table string, load_mode string, "
+    "version string, emitted_rows bigint, loaded_at timestamp"
+)
+
+
 def ingest(spark: SparkSession, source: Mapping[str, DataFrame], cfg: Config,
            only: Sequence[str] | None = None, load_id: str | None = None,
            workers: int = DEFAULT_WORKERS) -> list[LoadResult]:
     """Load the selected source tables into ``<root>/<raw_prefix>_raw``:
     merge tables are upserted on their key, the others replaced. Tables are
-    loaded as concurrent Spark jobs; results come in catalogue order."""
+    loaded as concurrent Spark jobs; results come in catalogue order and are
+    appended to the load log (one row per table)."""
     load_id = load_id or new_load_id()
     tables = select_tables(only)
     frames = {t.name: source[t.name] for t in tables}
@@ -152,7 +160,22 @@ def ingest(spark: SparkSession, source: Mapping[str, DataFrame], cfg: Config,
          for t in tables},
         workers,
     )
-    return [done[t.name] for t in tables]
+    results = [done[t.name] for t in tables]
+    log_loads(spark, cfg, results)
+    return results
+
+
+def log_loads(spark: SparkSession, cfg: Config, results: Sequence[LoadResult]) -> None:
+    """Append the loads to ``<raw>/_loads`` (one row per loaded table)."""
+    stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(r.load_id, r.table, r.source_table, r.mode, r.version, int(r.emitted_rows), stamp)
+            for r in results]
+    log = spark.createDataFrame(rows, LOADS_SCHEMA).coalesce(1)
+    log.write.mode("append").parquet(cfg.dataset_dir("raw", LOADS_TABLE))
+
+
+def read_load_log(spark: SparkSession, cfg: Config) -> DataFrame:
+    return spark.read.schema(LOADS_SCHEMA).parquet(cfg.dataset_dir("raw", LOADS_TABLE))
 
 
 def load_table(spark: SparkSession, df: DataFrame, table: SourceTable, cfg: Config,

@@ -60,3 +60,15 @@ def test_tests_only_rerun_reads_published_tables(spark, tmp_root):
     assert all(d.status == SUCCESS for d in again.datasets)
     # Nothing was written: the published version is unchanged.
     assert store.current_version(spark, cfg.dataset_dir("marts", "dim_stores")) == version
+
+
+def test_refresh_loads_reconciles_and_builds(spark, tmp_root):
+    from cadence.plans.refresh import refresh
+
+    cfg = Config(root=tmp_root).with_fixture_calendar()
+    result = refresh(spark, raw_tables(spark, SF_SMALL), cfg, select=["dim_stores"])
+    assert len(result.loads) == 9 and len(result.checks) == 18
+    assert result.warnings == []
+    assert result.build.status("dim_stores") == SUCCESS
+    log = ingest.read_load_log(spark, cfg).collect()
+    assert len(log) == 9 and {r["load_id"] for r in log} == {result.loads[0].load_id}
