@@ -50,8 +50,8 @@ def run(spark, sf_dir: str, timings: dict | None) -> None:
         return out
 
     cfg = run_config(spark, "bench").with_fixture_calendar()
-    timed("ingest", lambda: ingest.ingest(spark, raw_tables(spark, sf_dir), cfg))
-    raw = ingest.LoadedRaw(spark, cfg)
+    loads = timed("ingest", lambda: ingest.ingest(spark, raw_tables(spark, sf_dir), cfg))
+    raw = ingest.LoadedRaw(spark, cfg, loads)
     for name in ("fct_orders", "rpt_sales", "rpt_orders"):
         timed(name, lambda n=name: _noop(Workspace(spark, raw, cfg)[n]))
     built = timed("build", lambda: build(spark, raw, cfg, run_tests=False, gate=False))

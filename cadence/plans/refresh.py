@@ -34,5 +34,6 @@ def refresh(
 ) -> RefreshResult:
     loads = ingest.ingest(spark, source, cfg, only)
     checks = reconcile.reconcile(spark, source, cfg, loads, only).collect()
-    built = build(spark, ingest.LoadedRaw(spark, cfg), cfg, select=select, run_tests=run_tests)
+    raw = ingest.LoadedRaw(spark, cfg, loads)
+    built = build(spark, raw, cfg, select=select, run_tests=run_tests)
     return RefreshResult(loads, checks, built)

@@ -249,8 +249,8 @@ def recon_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ingested(spark: SparkSession, sf_dir: str, tag: str) -> tuple[Config, ingest.LoadedRaw]:
     cfg = run_config(spark, tag).with_fixture_calendar()
-    ingest.ingest(spark, raw_tables(spark, sf_dir), cfg)
-    return cfg, ingest.LoadedRaw(spark, cfg)
+    loads = ingest.ingest(spark, raw_tables(spark, sf_dir), cfg)
+    return cfg, ingest.LoadedRaw(spark, cfg, loads)
 
 
 def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -196,16 +196,24 @@ def read_raw(spark: SparkSession, cfg: Config, table: str) -> DataFrame:
 
 
 class LoadedRaw(Mapping):
-    """The raw layer as written by ``ingest``, read on first access."""
+    """The raw layer as written by ``ingest``, read on first access: the
+    versions in ``results`` when given, else each table's current version."""
 
-    def __init__(self, spark: SparkSession, cfg: Config):
+    def __init__(self, spark: SparkSession, cfg: Config,
+                 results: Sequence[LoadResult] | None = None):
         self.spark = spark
         self.cfg = cfg
+        self.versions = {r.source_table: r.version for r in results or ()}
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._frames:
-            self._frames[table] = read_raw(self.spark, self.cfg, table)
+            if table in self.versions:
+                table_dir = self.cfg.dataset_dir("raw", self.cfg.raw_table_name(table))
+                df = store.read_version(self.spark, table_dir, self.versions[table])
+                self._frames[table] = df.drop(*TRACE)
+            else:
+                self._frames[table] = read_raw(self.spark, self.cfg, table)
         return self._frames[table]
 
     def __iter__(self):
