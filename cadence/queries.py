@@ -256,7 +256,7 @@ def _ingested(spark: SparkSession, sf_dir: str, tag: str) -> tuple[Config, inges
 def build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest, then the gated build with tests after each dataset."""
     cfg, raw = _ingested(spark, sf_dir, "build_report")
-    return build(spark, raw, cfg).report(spark)
+    return build(spark, raw, cfg).report(spark).drop("seconds")
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
