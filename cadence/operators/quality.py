@@ -304,23 +304,8 @@ def declared_for(dataset: str) -> list[Expectation]:
     return [e for e in DECLARED if e.dataset == dataset]
 
 
-def singular_for(dataset: str) -> list[str]:
-    """Singular tests attach to the last dataset they read (their place in
-    the build order): a red one stops that dataset's descendants."""
-    out = []
-    for name, (inputs, _) in SINGULAR_TESTS.items():
-        if inputs[0] == dataset:
-            out.append(name)
-    return out
-
-
 # --- folded evaluation (D11) ------------------------------------------------------
 
-REPORT_COLUMNS = (
-    "dataset", "test_name", "test_type", "column_name", "severity", "n_violations", "passed"
-)
-
-
 def _row_level_violation(e: Expectation) -> Column | None:
     col = e.columns[0]
     if e.kind == "not_null":
