@@ -36,6 +36,8 @@ class Config:
     calendar_start: dt.date = DEFAULT_CALENDAR_START
     calendar_end: dt.date = DEFAULT_CALENDAR_END
     source_schema: str = "public"
+    # Write tables that declare partition columns partitioned by them.
+    partition_tables: bool = False
     layers: tuple[str, ...] = field(
         default=("raw", "staging", "intermediate", "marts", "reporting")
     )

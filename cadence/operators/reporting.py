@@ -45,6 +45,7 @@ def _staff_cols(dim_staffs: DataFrame) -> DataFrame:
     ["fct_order_items", "dim_products", "dim_stores", "dim_customers", "dim_staffs", "dim_date"],
     ["order_id", "item_id"],
     TABLE,
+    partition_by=["order_year_month"],
 )
 def rpt_sales(
     env: Env,
@@ -115,6 +116,7 @@ def rpt_sales(
     ["fct_orders", "dim_stores", "dim_customers", "dim_staffs", "dim_date"],
     ["order_id"],
     TABLE,
+    partition_by=["order_year_month"],
 )
 def rpt_orders(
     env: Env,

@@ -29,6 +29,7 @@ class Dataset:
     fn: Callable[..., DataFrame]
     grain: tuple[str, ...]
     materialized: str
+    partition_by: tuple[str, ...] = ()
 
     def wants_env(self) -> bool:
         return "env" in inspect.signature(self.fn).parameters
@@ -43,9 +44,11 @@ def dataset(
     deps: Iterable[str] = (),
     grain: Iterable[str] = (),
     materialized: str = VIEW,
+    partition_by: Iterable[str] = (),
 ):
     def register(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-        REGISTRY[name] = Dataset(name, layer, tuple(deps), fn, tuple(grain), materialized)
+        REGISTRY[name] = Dataset(name, layer, tuple(deps), fn, tuple(grain), materialized,
+                                 tuple(partition_by))
         return fn
 
     return register

@@ -68,3 +68,21 @@ def test_only_the_calendar_is_hinted_for_broadcast(built):
     plan = built["rpt_sales"]._jdf.queryExecution().optimizedPlan().toString()
     hints = re.findall(r"strategy=broadcast", plan)
     assert len(hints) == 1
+
+
+def test_partitioned_reporting_tables_prune_by_month(spark, tmp_root):
+    from cadence.plans.build import SUCCESS, build
+    from cadence.sources import store
+
+    cfg = Config(root=tmp_root, partition_tables=True).with_fixture_calendar()
+    loads = ingest.ingest(spark, raw_tables(spark, SF_SMALL), cfg)
+    result = build(spark, ingest.LoadedRaw(spark, cfg, loads), cfg,
+                   select=["rpt_orders"], run_tests=False)
+    assert result.status("rpt_orders") == SUCCESS
+    table = store.read_current(spark, cfg.dataset_dir("reporting", "rpt_orders"))
+    lazy = Workspace(spark, ingest.LoadedRaw(spark, cfg, loads), cfg)["rpt_orders"]
+    assert table.count() == lazy.count()
+    month = table.where("order_year_month = '1997-03'")
+    plan = plan_of(month)
+    assert "PartitionFilters: [isnotnull(order_year_month" in plan
+    assert month.count() == lazy.where("order_year_month = '1997-03'").count()
