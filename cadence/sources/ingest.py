@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cadence.catalog import MERGE, SourceTable, select_tables
 from cadence.config import Config
-from cadence.plans.concurrent import DEFAULT_WORKERS, run_all
+from cadence.plans.concurrent import run_all
 from cadence.plans.joins import broadcast_if_bounded
 from cadence.sources import store
 
@@ -147,7 +147,7 @@ LOADS_SCHEMA = (
 
 def ingest(spark: SparkSession, source: Mapping[str, DataFrame], cfg: Config,
            only: Sequence[str] | None = None, load_id: str | None = None,
-           workers: int = DEFAULT_WORKERS) -> list[LoadResult]:
+           workers: int = 8) -> list[LoadResult]:
     """Load the selected source tables into ``<root>/<raw_prefix>_raw``:
     merge tables are upserted on their key, the others replaced. Tables are
     loaded as concurrent Spark jobs; results come in catalogue order and are

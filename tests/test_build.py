@@ -72,3 +72,15 @@ def test_refresh_loads_reconciles_and_builds(spark, tmp_root):
     assert result.build.status("dim_stores") == SUCCESS
     log = ingest.read_load_log(spark, cfg).collect()
     assert len(log) == 9 and {r["load_id"] for r in log} == {result.loads[0].load_id}
+
+
+def test_ci_prefix_writes_elsewhere_but_reads_the_same_raw(spark, tmp_root):
+    prod = Config(root=tmp_root).with_fixture_calendar()
+    loads = ingest.ingest(spark, raw_tables(spark, SF_SMALL), prod, only=["stores"])
+    ci = prod.for_ci()
+    result = build(spark, ingest.LoadedRaw(spark, ci), ci, select=["dim_stores"])
+    assert result.status("dim_stores") == SUCCESS
+    assert store.exists(spark, ci.dataset_dir("marts", "dim_stores"))
+    assert not store.exists(spark, prod.dataset_dir("marts", "dim_stores"))
+    assert ci.dataset_dir("raw", "public_stores") == prod.dataset_dir("raw", "public_stores")
+    assert loads[0].emitted_rows == result.datasets[0].n_rows
