@@ -379,6 +379,27 @@ def scalar_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("order_id", "item_id", "quantity", "list_price", "discount", "revenue")
 
 
+# SQL a dashboard sends to the reporting tables, run unchanged by spark.sql
+# over the registered views (and by DuckDB in the oracle).
+DASHBOARD_SQL = """
+select r.order_year_month, r.store_state, s.brand_name,
+       cast(sum(s.revenue) as decimal(38,2)) as revenue,
+       cast(count(distinct s.order_id) as bigint) as n_orders,
+       cast(sum(case when r.is_late then 1 else 0 end) as bigint) as n_late_lines
+from rpt_sales s
+join rpt_orders r on s.order_id = r.order_id
+where s.order_status = 4
+group by r.order_year_month, r.store_state, s.brand_name
+"""
+
+
+def sql_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the reporting tables registered as views."""
+    from cadence.plans.sql import run_sql
+
+    return run_sql(workspace(spark, sf_dir), DASHBOARD_SQL, ["rpt_sales", "rpt_orders"])
+
+
 OPERATOR_QUERIES: dict[str, QueryFn] = {
     "load_replace": load_replace,
     "load_merge_single_pk": load_merge_single_pk,
@@ -406,6 +427,7 @@ OPERATOR_QUERIES: dict[str, QueryFn] = {
     "scalar_delivery_delays": scalar_delivery_delays,
     "scalar_calendar": scalar_calendar,
     "scalar_revenue": scalar_revenue,
+    "sql_dashboard": sql_dashboard,
 }
 
 
