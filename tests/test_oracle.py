@@ -11,10 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
-# These two write a full build; they are covered by test_build and by the
-# oracle check at sf0.01 (scripts/oracle_check.py).
-SLOW = {"build_report", "dq_report"}
-NAMES = [n for n in entry.queries() if n not in SLOW]
+NAMES = list(entry.queries())
 
 
 def _norm(v):
