@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadence.catalog import select_tables
 
+# Options every read carries (callers' properties take precedence).
+PUSHDOWN = {"pushDownAggregate": "true", "pushDownPredicate": "true"}
+
 
 def read_table(
     spark: SparkSession,
@@ -25,16 +28,17 @@ def read_table(
     num_partitions: int = 1,
 ) -> DataFrame:
     qualified = f'"{schema}"."{table}"'
+    props = {**PUSHDOWN, **dict(properties)}
     if not partition_column or num_partitions <= 1:
-        return spark.read.jdbc(url, qualified, properties=dict(properties))
+        return spark.read.jdbc(url, qualified, properties=props)
     bounds = spark.read.jdbc(
         url,
         f'(select min({partition_column}) as lo, max({partition_column}) as hi '
         f'from {qualified}) b',
-        properties=dict(properties),
+        properties=props,
     ).first()
     if bounds is None or bounds["lo"] is None:
-        return spark.read.jdbc(url, qualified, properties=dict(properties))
+        return spark.read.jdbc(url, qualified, properties=props)
     return spark.read.jdbc(
         url,
         qualified,
@@ -42,7 +46,7 @@ def read_table(
         lowerBound=int(bounds["lo"]),
         upperBound=int(bounds["hi"]) + 1,
         numPartitions=num_partitions,
-        properties=dict(properties),
+        properties=props,
     )
 
 
