@@ -49,3 +49,26 @@ def local_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20,
+           shuffle_expansion: float = 1.0) -> dict[str, str]:
+    """Settings for a run reading ``input_bytes`` of parquet on
+    ``total_cores`` executor cores.
+
+    Shuffle partitions are sized so that each holds about
+    ``target_partition_bytes`` of shuffled data (``shuffle_expansion`` is the
+    shuffled / scanned ratio), rounded up to whole waves of the cluster; AQE
+    then coalesces small ones and splits skewed ones. Scan splits use the same
+    target. For 100 TB on 1000 executors x 8 cores this gives 752,000
+    partitions of at most 128 MiB (94 waves), each small enough to sort or
+    hash in executor memory without spilling most of the time.
+    """
+    wanted = max(1, int(input_bytes * shuffle_expansion // target_partition_bytes) + 1)
+    waves = -(-wanted // max(1, total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(waves * max(1, total_cores)),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(waves * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
