@@ -420,26 +420,37 @@ def _key_tests(dataset: str, df: DataFrame, group: list[Expectation],
         gid = {key: sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in key)
                for key in sets}
 
-    fks = [e for e in tests if e.kind == "relationships"]
-    if fks:
-        # Parent keys of every relationship test, tagged with the child's
-        # grouping set and compared as text after a cast to the parent's type.
-        parents = None
-        key_expr = None
-        for e in fks:
-            col, parent = e.columns[0], frames[e.params["to"]]
-            field_type = parent.schema[e.params["field"]].dataType
-            g = gid[e.columns]
-            tagged = parent.select(
-                F.lit(g).cast("bigint").alias(_GID),
-                F.col(e.params["field"]).cast("string").alias("_key"),
-            ).where(F.col("_key").isNotNull())
-            parents = tagged if parents is None else parents.unionByName(tagged)
-            as_text = F.col(col).cast(field_type).cast("string")
-            key_expr = (F.when if key_expr is None else key_expr.when)(F.col(_GID) == g, as_text)
-        parents = parents.distinct().withColumn("_has_parent", F.lit(True))
-        counts = counts.withColumn("_key", key_expr).join(parents, [_GID, "_key"], "left")
+    counts = _join_parents(counts, tests, gid, frames)
+    aggs, names = _key_aggs(tests, gid)
+    return [_unpivot(counts.agg(*aggs), names, dataset)]
 
+
+def _join_parents(counts: DataFrame, tests: list[Expectation], gid: dict,
+                  frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Mark the child keys of relationship tests that have a parent: one
+    left join with the parents' distinct keys, tagged with the child's
+    grouping set and compared as text after a cast to the parent's type."""
+    fks = [e for e in tests if e.kind == "relationships"]
+    if not fks:
+        return counts
+    parents = None
+    key_expr = None
+    for e in fks:
+        col, parent = e.columns[0], frames[e.params["to"]]
+        field_type = parent.schema[e.params["field"]].dataType
+        g = gid[e.columns]
+        tagged = parent.select(
+            F.lit(g).cast("bigint").alias(_GID),
+            F.col(e.params["field"]).cast("string").alias("_key"),
+        ).where(F.col("_key").isNotNull())
+        parents = tagged if parents is None else parents.unionByName(tagged)
+        as_text = F.col(col).cast(field_type).cast("string")
+        key_expr = (F.when if key_expr is None else key_expr.when)(F.col(_GID) == g, as_text)
+    parents = parents.distinct().withColumn("_has_parent", F.lit(True))
+    return counts.withColumn("_key", key_expr).join(parents, [_GID, "_key"], "left")
+
+
+def _key_aggs(tests: list[Expectation], gid: dict) -> tuple[list[Column], list]:
     aggs, names = [], []
     for i, e in enumerate(tests):
         alias = f"k{i}"
@@ -454,13 +465,60 @@ def _key_tests(dataset: str, df: DataFrame, group: list[Expectation],
             orphan = mine & F.col(e.columns[0]).isNotNull() & F.col("_has_parent").isNull()
             aggs.append(F.coalesce(F.sum(F.when(orphan, F.col(N_RECORDS))), F.lit(0)).alias(alias))
         names.append((alias, e))
-    return [_unpivot(counts.agg(*aggs), names, dataset)]
+    return aggs, names
+
+
+def _one_pass(dataset: str, df: DataFrame, group: list[Expectation],
+              frames: Mapping[str, DataFrame]) -> list[DataFrame] | None:
+    """Every test of a dataset from ONE scan: the key sets, the accepted-value
+    columns and the empty set () are grouping sets of one aggregation; the
+    row-level counts are read from the () row. None when a plain pass fits."""
+    rows = [e for e in group if _row_level_violation(e) is not None]
+    values = [e for e in group if e.kind == "accepted_values"]
+    keys = [e for e in group if e.kind in KEY_KINDS]
+    if not keys or not (rows or values):
+        return None
+    sets = list(dict.fromkeys([e.columns for e in keys] + [e.columns for e in values]))
+    if rows:
+        sets.append(())
+    cols = list(dict.fromkeys(c for key in sets for c in key))
+    width = len(cols)
+    gid = {key: sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in key)
+           for key in sets}
+    row_aggs = [F.count(F.when(_row_level_violation(e), F.lit(1))).alias(f"r{i}")
+                for i, e in enumerate(rows)]
+    counts = df.groupingSets([list(key) for key in sets], *cols).agg(
+        F.count(F.lit(1)).alias(N_RECORDS), *row_aggs,
+        F.grouping_id().cast("bigint").alias(_GID),
+    )
+    counts = _join_parents(counts, keys, gid, frames)
+    aggs, names = [], []
+    for i, e in enumerate(rows):
+        alias = f"row{i}"
+        aggs.append(F.max(F.when(F.col(_GID) == gid[()], F.col(f"r{i}"))).alias(alias))
+        names.append((alias, e))
+    for i, e in enumerate(values):
+        alias = f"val{i}"
+        col = e.columns[0]
+        bad = (F.col(_GID) == gid[e.columns]) & F.col(col).isNotNull() & ~_in_values(
+            col, e.params["values"])
+        aggs.append(F.count(F.when(bad, F.lit(1))).alias(alias))
+        names.append((alias, e))
+    key_aggs, key_names = _key_aggs(keys, gid)
+    return [_unpivot(counts.agg(*aggs, *key_aggs), names + key_names, dataset)]
 
 
 def evaluate(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | None = None,
-             singular: Iterable[str] | None = None) -> DataFrame:
+             singular: Iterable[str] | None = None, one_pass: bool = False) -> DataFrame:
     """The suite report (D11): one row per test with its violation count.
 
+    Each dataset is read twice (row-level pass, key pass), or once with
+    ``one_pass``: the row-level counts then ride on the key pass as an extra
+    empty grouping set. One pass halves the scans and costs CPU (every row
+    is expanded once per grouping set before the row-level conditions are
+    counted); on local disks two passes measured about 5% faster, on a
+    scan-bound cluster one pass is the better trade.
+
     ``n_violations`` is the number of rows the test query returns: NULL
     rows, out-of-range rows, orphan child rows, distinct duplicated values
     or tuples, distinct unaccepted values, offending rows of a singular
@@ -473,6 +531,10 @@ def evaluate(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | Non
         by_dataset.setdefault(e.dataset, []).append(e)
     for dataset, group in by_dataset.items():
         df = frames[dataset]
+        single = _one_pass(dataset, df, group, frames) if one_pass else None
+        if single is not None:
+            parts.extend(single)
+            continue
         folded = _folded(dataset, df, group)
         if folded is not None:
             parts.append(folded)
@@ -494,9 +556,11 @@ REPORT_SCHEMA = (
 
 
 def run_suite(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | None = None,
-              singular: Iterable[str] | None = None, workers: int = 8) -> list:
+              singular: Iterable[str] | None = None, workers: int = 8,
+              one_pass: bool = False) -> list:
     """Evaluate the suite as one Spark job per dataset, submitted
-    concurrently; returns the report rows (one per test)."""
+    concurrently; returns the report rows (one per test). ``one_pass``
+    reads each dataset once instead of twice (see ``evaluate``)."""
     from cadence.plans.concurrent import run_all
 
     tests = list(DECLARED if tests is None else tests)
@@ -507,7 +571,8 @@ def run_suite(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | No
     for name in singular:
         groups.setdefault(SINGULAR_TESTS[name][0][0], ([], []))[1].append(name)
     done = run_all(
-        {ds: (lambda g=g: evaluate(frames, g[0], g[1]).collect()) for ds, g in groups.items()},
+        {ds: (lambda g=g: evaluate(frames, g[0], g[1], one_pass).collect())
+         for ds, g in groups.items()},
         workers,
     )
     return [row for ds in groups for row in done[ds]]

@@ -86,3 +86,15 @@ def test_partitioned_reporting_tables_prune_by_month(spark, tmp_root):
     plan = plan_of(month)
     assert "PartitionFilters: [isnotnull(order_year_month" in plan
     assert month.count() == lazy.where("order_year_month = '1997-03'").count()
+
+
+def test_one_pass_suite_reads_once_and_agrees(built):
+    tests = quality.declared_for("fct_order_items")
+    two = sorted(tuple(r) for r in quality.evaluate(built, tests, []).collect())
+    single = quality.evaluate(built, tests, [], one_pass=True)
+    assert sorted(tuple(r) for r in single.collect()) == two
+    scans = re.findall(r"FileScan parquet \[[^\]]*\] Batched: true, DataFilters: \[[^\]]*\], "
+                       r"Format: Parquet, Location: InMemoryFileIndex\(1 paths\)\[[^\]]*"
+                       r"public_order_items",
+                       plan_of(quality.evaluate(built, tests, [], one_pass=True)))
+    assert len(scans) == 1
