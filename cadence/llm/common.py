@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,3 +58,14 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def arrow_schema(df: DataFrame, columns: list[str]) -> str:
     """DDL of some columns of ``df``, for the output schema of a map over batches."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in columns)
+
+
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches again, cut so that the texts of each hold about ``limit`` bytes, or one text."""
+    for batch in batches:
+        _, ends = text_buffer(batch.column(text))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to

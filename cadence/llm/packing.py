@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import arrow_schema, materialise
+from cadence.llm.common import arrow_schema, materialise, slices
 from cadence.llm.tokens import encoder
 
 RESULT = ("piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset")
@@ -89,7 +89,7 @@ def _pieces(tokenizer: str, text: str, carry: list[str], end_id: int | None, cap
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches, text):
             docs, piece, start, length, ids = [], [], [], [], []
             for i, coded in enumerate(enc.encode_all([t or "" for t in batch.column(text).to_pylist()])):
                 coded += tail

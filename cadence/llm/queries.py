@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.llm import packing, sharding, token_files
+from cadence.llm import bpe, packing, sharding, token_files
 from cadence.llm.common import scratch_path
 
 
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packed = packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), end_id=2, capacity=1024)
@@ -58,7 +64,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_best_two_fit, op9_minimax_shards, op10_token_files)}
+    return {f.__name__: f for f in (op1_chunk_reuse_bpe, op7_best_two_fit, op9_minimax_shards, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import arrow_schema, materialise, row_id
+from cadence.llm.common import arrow_schema, materialise, row_id, slices
 from cadence.llm.tokens import encoder
 
 #: Bytes of a row group and of a page, rows of a page.
@@ -44,7 +44,7 @@ def _encode_partition(tokenizer: str, text: str, id_column: str, end_id: int | N
 
         enc, part, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches, text):
             ids = [x + tail for x in enc.encode_all([t or "" for t in batch.column(text).to_pylist()])]
             n = np.array([len(x) // 4 for x in ids], np.int64)
             ends = np.cumsum(n)

@@ -60,8 +60,6 @@ class Encoder:
         return [first, *[" " + w for w in rest]]
 
     def _learn(self, missing: set[str]) -> None:
-        if len(self.memo) + len(missing) > MEMO_WORDS:
-            self.memo.clear()
         plain, marked = [], []
         for word in missing:
             found = _MARKED.fullmatch(word.removeprefix(" ")) if word[-1:] in (".", ",", "!") else None
@@ -81,34 +79,23 @@ class Encoder:
     def _fold(self, word: str) -> str:
         return word.lower() if self.lowers and word.isascii() and "<|" not in word else word
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
+    def encode_lists(self, lists: list[list[str]]) -> list[bytes]:
+        """The joined ids of each list of words; unknown words go to the library together."""
         memo = self.memo
-        try:
-            return [memo[w] for w in words]
-        except KeyError:
-            missing = {w for w in words if w not in memo}
+        missing = {w for words in lists for w in words if w not in memo}
+        if missing:
             if len(memo) + len(missing) > MEMO_WORDS:
-                missing = set(words)
+                if len(lists) > 1 and len(missing) > MEMO_WORDS // 4:
+                    half = len(lists) // 2
+                    return self.encode_lists(lists[:half]) + self.encode_lists(lists[half:])
+                missing = set().union(*lists)
+                memo.clear()
             self._learn(missing)
-            memo = self.memo
-            return [memo[w] for w in words]
-
-    def encode(self, text: str) -> bytes:
-        return b"".join(self.encode_words(self.words(text)))
+        get = memo.__getitem__
+        return [b"".join(map(get, words)) for words in lists]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of many texts; their unknown words go to the library together."""
-        words = [self.words(t) for t in texts]
-        memo = self.memo
-        missing = {w for ws in words for w in ws if w not in memo}
-        if missing:
-            if len(memo) + len(missing) > MEMO_WORDS:
-                if len(missing) > MEMO_WORDS // 2:
-                    return [b"".join(self.encode_words(ws)) for ws in words]
-                missing = set().union(*words)
-            self._learn(missing)
-        get = self.memo.__getitem__
-        return [b"".join(map(get, ws)) for ws in words]
+        return self.encode_lists([self.words(t) for t in texts])
 
     def decode(self, ids: bytes) -> str:
         return self.tokenizer.decode(np.frombuffer(ids, "<u4").tolist(), skip_special_tokens=False)
