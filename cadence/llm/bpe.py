@@ -11,6 +11,7 @@ on either side of it are final.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,10 @@ CHUNK_BITS, CHUNK_LOW, CHUNK_HIGH = 9, 128, 8192
 FILTER_BITS = 26
 
 
+#: Bytes before a chunk's first white space, ids up to its last, bytes after it.
+Part = tuple[bytes, bytes, bytes | None]
+
+
 def _chunks(column: pa.Array) -> tuple[list[bytes], list[int]]:
     data, ends = text_buffer(column)
     cut, upto = chunk_ends(data, ends, CHUNK_BITS, CHUNK_LOW, CHUNK_HIGH)
@@ -69,28 +74,35 @@ def _hits(digests: np.ndarray, repeated: np.ndarray, bits: int) -> np.ndarray:
     return (repeated[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _parts(enc: Encoder, chunks: list[str]) -> list[tuple[str, bytes, str | None]]:
+#: White space at which the tokenizer always parts.
+_SPACE = re.compile(rb"[ \n\t\r]")
+
+
+def _parts(enc: Encoder, chunks: list[bytes]) -> list[Part]:
     """Head, ids of what lies between, and tail of each chunk; no tail where there is no white space."""
-    words = [enc.words(c) for c in chunks]
-    inner = enc.encode_lists([w[1:-1] for w in words])
-    return [(w[0], ids, w[-1] if len(w) > 1 else None) for w, ids in zip(words, inner, strict=True)]
+    cuts = []
+    for c in chunks:
+        first = _SPACE.search(c)
+        cuts.append((first.start(), max(c.rfind(x) for x in (b" ", b"\n", b"\t", b"\r"))) if first else None)
+    inner = enc.encode_all([c[at[0] : at[1]] if at else b"" for c, at in zip(chunks, cuts, strict=True)])
+    return [(c[: at[0]], ids, c[at[1] + 1 :]) if at else (c, b"", None) for c, at, ids in zip(chunks, cuts, inner, strict=True)]
 
 
-def _joined(enc: Encoder, texts: list[list[tuple[str, bytes, str | None]]]) -> list[bytes]:
+def _joined(enc: Encoder, texts: list[list[Part]]) -> list[bytes]:
     """Ids of whole texts from their chunks' parts, with the words at the joins encoded anew."""
     bodies: list[list[bytes]] = []
-    windows: list[list[str]] = []
+    windows: list[bytes] = []
     for parts in texts:
-        body, window, pending = [], [], ""
+        body, pending = [], b""
         for head, ids, tail in parts:
             pending += head
             if tail is not None:
-                window.append(pending)
+                windows.append(pending)
                 body.append(ids)
                 pending = tail
-        windows.append([*window, pending])
+        windows.append(pending)
         bodies.append(body)
-    mended = iter(enc.encode_lists([[w] for ws in windows for w in ws]))
+    mended = iter(enc.encode_all(windows))
     out = []
     for body in bodies:
         ids = [next(mended)]
@@ -115,7 +127,7 @@ def _encode_own(tokenizer: str, text: str, names: list[str], repeated, bits: int
             chunks, upto = _chunks(batch.column(text))
             hit = np.concatenate([[0], np.cumsum(_hits(_digests(chunks), repeated.value, bits))])
             own = [i for i in range(batch.num_rows) if hit[upto[i]] == hit[upto[i + 1]]]
-            parts = _parts(enc, [chunks[k].decode() for i in own for k in range(upto[i], upto[i + 1])])
+            parts = _parts(enc, [chunks[k] for i in own for k in range(upto[i], upto[i + 1])])
             ids, at = [], 0
             for i in own:
                 n = upto[i + 1] - upto[i]
@@ -139,18 +151,18 @@ def _piece_rows(tokenizer: str, text: str, row: str, names: list[str], repeated,
             total = np.concatenate([[0], np.cumsum(hit)])
             docs = [i for i in range(batch.num_rows) if total[upto[i]] < total[upto[i + 1]]]
             at = [(i, k) for i in docs for k in range(upto[i], upto[i + 1])]
-            parts = iter(_parts(enc, [chunks[k].decode() for _, k in at if not hit[k]]))
+            parts = iter(_parts(enc, [chunks[k] for _, k in at if not hit[k]]))
             sent: set[bytes] = set()
             columns: list[list] = [[] for _ in range(5)]
             for _, k in at:
                 digest = xxhash.xxh3_128_digest(chunks[k]) if hit[k] else None
-                shown = chunks[k].decode() if digest is not None and digest not in sent else None
+                shown = chunks[k] if digest is not None and digest not in sent else None
                 sent.add(digest)
                 for column, x in zip(columns, (digest, shown, *((None, None, None) if hit[k] else next(parts))), strict=True):
                     column.append(x)
             rows = pa.array([i for i, _ in at], pa.int64())
             seq = pa.array([k - upto[i] for i, k in at], pa.int32())
-            kinds = (pa.binary(), pa.string(), pa.string(), pa.binary(), pa.string())
+            kinds = (pa.binary(),) * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column(row).take(rows), seq, *[batch.column(c).take(rows) for c in names], *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
                 names=["_row", "_seq", *names, "_digest", "_text", "_head", "_inner", "_tail"])
@@ -164,7 +176,7 @@ def _encode_shared(tokenizer: str):
         for batch in batches:
             parts = _parts(enc, batch.column("_text").to_pylist())
             head, inner, tail = zip(*parts, strict=True) if parts else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("_digest"), pa.array(head, pa.string()), pa.array(inner, pa.binary()), pa.array(tail, pa.string())],
+            yield pa.RecordBatch.from_arrays([batch.column("_digest"), *[pa.array(x, pa.binary()) for x in (head, inner, tail)]],
                                              names=["_digest", "_head", "_inner", "_tail"])
 
     return run
@@ -228,9 +240,9 @@ def encode_documents(docs: DataFrame, tokenizer: str, text: str = "text", carry:
     alone = rows.mapInArrow(_encode_own(tokenizer, text, names, repeated, filter_bits), result)
     pieces = materialise(rows.withColumn("_row", row_id()).mapInArrow(
         _piece_rows(tokenizer, text, "_row", names, repeated, filter_bits),
-        f"_row bigint, _seq int, {kept}_digest binary, _text string, _head string, _inner binary, _tail string"), "bpe-pieces")
+        f"_row bigint, _seq int, {kept}_digest binary, _text binary, _head binary, _inner binary, _tail binary"), "bpe-pieces")
     shared = (pieces.filter("_text IS NOT NULL").groupBy("_digest").agg(F.first("_text").alias("_text"))
-              .mapInArrow(_encode_shared(tokenizer), "_digest binary, _head string, _inner binary, _tail string"))
+              .mapInArrow(_encode_shared(tokenizer), "_digest binary, _head binary, _inner binary, _tail binary"))
     fields = ["_row", "_seq", *names, "_head", "_inner", "_tail"]
     looked_up = pieces.filter("_digest IS NOT NULL").drop("_text", "_head", "_inner", "_tail").join(shared, "_digest").select(*fields)
     parts = pieces.filter("_digest IS NULL").select(*fields).unionByName(looked_up)

@@ -60,7 +60,7 @@ def arrow_schema(df: DataFrame, columns: list[str]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in columns)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that the texts of each hold about ``limit`` bytes, or one text."""
     for batch in batches:
         _, ends = text_buffer(batch.column(text))

@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import arrow_schema, materialise, slices
-from cadence.llm.tokens import encoder
+from cadence.llm.common import arrow_schema, materialise, slices, text_buffer
+from cadence.llm.tokens import cut_ids, encoder
 
 RESULT = ("piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset")
 
@@ -87,21 +87,22 @@ def _pieces(tokenizer: str, text: str, carry: list[str], end_id: int | None, cap
         from pyspark import TaskContext
 
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
-        tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in slices(batches, text):
+            coded, at = enc.encode_buffer(*text_buffer(batch.column(text)))
+            if end_id is not None:
+                coded, at = np.insert(coded, at[1:], end_id), at + np.arange(len(at))
             docs, piece, start, length, ids = [], [], [], [], []
-            for i, coded in enumerate(enc.encode_all([t or "" for t in batch.column(text).to_pylist()])):
-                coded += tail
-                n, at, k = len(coded) // 4, 0, 0
-                while at < n:
-                    size = (n % capacity or capacity) if k == 0 else capacity
+            for i, text_ids in enumerate(cut_ids(coded, at)):
+                n, to = len(text_ids) // 4, 0
+                while to < n:
+                    k, done = (piece[-1] + 1 if to else 0), to
+                    to += capacity if to else n % capacity or capacity
                     docs.append(i)
                     piece.append(k)
-                    start.append(at)
-                    length.append(size)
-                    ids.append(coded[4 * at : 4 * (at + size)])
-                    at, k = at + size, k + 1
+                    start.append(done)
+                    length.append(to - done)
+                    ids.append(text_ids[4 * done : 4 * to])
             size = np.array(length, np.int64)
             order = np.argsort(size, kind="stable")
             ranks = np.arange(len(size)) - np.searchsorted(size[order], size[order], "left")

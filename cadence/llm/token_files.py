@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import arrow_schema, materialise, row_id, slices
+from cadence.llm.common import arrow_schema, materialise, row_id, slices, text_buffer
 from cadence.llm.tokens import encoder
 
 #: Bytes of a row group and of a page, rows of a page.
@@ -43,13 +43,12 @@ def _encode_partition(tokenizer: str, text: str, id_column: str, end_id: int | N
         from pyspark import TaskContext
 
         enc, part, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, text):
-            ids = [x + tail for x in enc.encode_all([t or "" for t in batch.column(text).to_pylist()])]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
-            ends = np.cumsum(n)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
+            ids, at = enc.encode_buffer(*text_buffer(batch.column(text)))
+            if end_id is not None:
+                ids, at = np.insert(ids, at[1:], end_id), at + np.arange(len(at))
+            n, ends = np.diff(at), at[1:]
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_column), lists, pa.array(n), pa.array(start + ends - n), pa.array(np.full(len(n), part, np.int32))],
                 names=[id_column, "ids", "n_tokens", "part_start", "part"])
