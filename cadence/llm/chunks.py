@@ -38,21 +38,22 @@ def chunk_ends(data: np.ndarray, ends: np.ndarray, bits: int, low: int, high: in
     ``ends`` are the n + 1 offsets of the texts in ``data``. A chunk ends where
     the top ``bits`` bits of the hash are 0, at the start of a character, at
     least ``low`` bytes after the last end; without such a place it ends after
-    about ``high`` bytes. A chunk never spans two texts, and no hash that
-    reaches into the text before decides, as ``low`` is at least the window.
-    An empty text has no chunk.
+    about ``high`` bytes. A chunk never spans two texts, and the first window
+    of a text has no end, so that the text before never decides. An empty
+    text has no chunk.
     """
-    low = max(low, WINDOW)
     lead = np.flatnonzero(gear_hash(data) < np.uint32(1 << (32 - bits))) + 1 if len(data) > 1 else np.zeros(0, np.int64)
     lead = lead[lead < len(data)]
     lead = lead[(data[lead] & 0xC0) != 0x80].tolist()
-    lead.append(len(data) + high + 1)
+    lead.append(len(data) + high + WINDOW)
     found: list[int] = []
     upto = [0]
     k, at = 0, 0
     for end in ends[1:].tolist():
+        first = at + WINDOW
         while at < end:
-            while lead[k] - at < low:
+            least = max(first, at + low)
+            while lead[k] < least:
                 k += 1
             nxt = lead[k]
             if nxt - at > high:
