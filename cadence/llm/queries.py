@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.llm import bpe, packing, sharding, token_files
+from cadence.llm import ann, bpe, lines, minhash, oracle, packing, quality_rules, secrets_scan, sharding, substring, token_files
 from cadence.llm.common import scratch_path
 
 
@@ -34,12 +34,45 @@ def op1_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op2_hilbert_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op3_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets_scan.findings(docs, scratch_path(spark, "secret-ledger"))
+    listed = found.withColumn("spans", secrets_scan.listing())
+    counts = [F.size(r.name).cast("bigint").alias(f"n_{r.name}") for r in secrets_scan.RULES]
+    return listed.select("doc_id", *counts, F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op5_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
+
+
+def op6_chunk_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.drop_repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "repeats_of", F.size("removed").alias("n_removed"), "removed", "text")
+
+
 def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     packed = packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), end_id=2, capacity=1024)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    shown = pages.select("page_id", lines.host(F.col("url")).alias("host"), lines.page_lines(F.col("html")).alias("text"))
+    clean = lines.drop_boilerplate(shown, F.col("host"), dropped="n_dropped")
+    return clean.select("page_id", "host", F.col("n_dropped").cast("bigint"), "text")
+
+
 def op9_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -64,8 +97,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chunk_reuse_bpe, op7_best_two_fit, op9_minimax_shards, op10_token_files)}
+    made = (op1_chunk_reuse_bpe, op2_hilbert_curves, op3_prob_minhash, op4_blob_ledger_secrets, op5_weak_supervision,
+            op6_chunk_passages, op7_best_two_fit, op8_site_lines, op9_minimax_shards, op10_token_files)
+    return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.SQL
