@@ -38,7 +38,7 @@ def _chunks(column: pa.Array) -> tuple[list[bytes], list[int]]:
     data, ends = text_buffer(column)
     cut, upto = chunk_ends(data, ends, CHUNK_BITS, CHUNK_LOW, CHUNK_HIGH)
     raw = data.tobytes()
-    return [raw[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)], upto
+    return [raw[a:b] for a, b in zip([0, *cut], cut)], upto
 
 
 def _digests(chunks: list[bytes]) -> np.ndarray:

@@ -224,8 +224,10 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresh
     """
     rows = _classified(docs, text, doc_id, threshold)
     best = rows.groupBy("_class").agg(F.min(F.struct(F.col("_id").isNull().alias("_n"), "_id", "_node", "_check")).alias("_b")).select("_b.*")
-    a, b = free_name(docs, "_node"), free_name(docs, "_check")
+    a, b, at = (free_name(docs, c) for c in ("_near_node", "_near_check", "_near_best"))
     node, check = _digest(F.col(text))
     keyed = docs.filter(F.col(text).isNotNull()).withColumns({a: node, b: check})
-    kept = keyed.join(best.alias("best"), (F.col(a) == F.col("best._node")) & (F.col(b) == F.col("best._check")) & F.col(doc_id).eqNullSafe(F.col("best._id")), "left_semi")
+    best = best.select(F.struct("_id", "_node", "_check").alias(at))
+    same = (F.col(a) == F.col(f"{at}._node")) & (F.col(b) == F.col(f"{at}._check")) & F.col(doc_id).eqNullSafe(F.col(f"{at}._id"))
+    kept = keyed.join(best, same, "left_semi")
     return kept.dropDuplicates([doc_id, a, b]).select(*docs.columns).union(docs.filter(F.col(text).isNull()))

@@ -37,7 +37,7 @@ def _chunk_rows(text: str):
             data, ends = text_buffer(batch.column(text))
             cut, upto = chunk_ends(data, ends, CHUNK_BITS, CHUNK_LOW, CHUNK_HIGH)
             raw, upto, digest = data.tobytes(), np.array(upto), xxhash.xxh3_64_intdigest
-            keys = np.fromiter((digest(raw[a:b]) for a, b in zip([0, *cut[:-1]], cut, strict=True)), np.uint64, len(cut))
+            keys = np.fromiter((digest(raw[a:b]) for a, b in zip([0, *cut], cut)), np.uint64, len(cut))
             n = np.diff(upto)
             rows = pa.array(np.repeat(np.arange(batch.num_rows), n))
             seq = np.arange(len(cut)) - np.repeat(upto[:-1], n)

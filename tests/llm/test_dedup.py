@@ -172,7 +172,7 @@ def test_lines_over_the_ratio_go(spark):
 
 
 @pytest.mark.parametrize("html, want", [
-    (None, ""), ("", ""), ("<p>a<b>b</b></p><div class='x'> c  d </div>", "\nab\n c d\n"),
+    (None, ""), ("", ""), ("<p>a<b>b</b></p><div class='x'> c  d </div>", "\nab\nc d\n"),
     ("<script>var t='</p>';</script>x<!-- <p> -->y<br/>z", " x y\nz"),
 ])
 def test_page_lines(spark, html, want):
