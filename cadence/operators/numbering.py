@@ -1,149 +1,69 @@
 """Row numbers within a key, in a given order, without a hot-key straggler.
 
-``row_number() over (partition by key order by ...)`` puts every row of a
-key in one task. That is fine while groups are bounded, so the operator
-first proves the bound: one aggregation (partial counts before the shuffle)
-gives the largest group. Under ``max_window_rows`` the window is used.
-
-Otherwise rows are range-partitioned on (key, order), which splits a hot
-key over many partitions, and checkpointed to the shared folder so both
-passes below see the same partitions (and a lost executor does not
-re-sample the ranges):
-
-1. each partition reports its first and last key and how many rows they
-   hold (``mapInPandas``; at most one row per partition reaches the driver);
-2. the driver turns that into, per partition, the number of rows its first
-   key already had in the partitions before it;
-3. each partition numbers its sorted rows with that offset carried in
-   (``mapInPandas``, vectorised per Arrow batch).
+``row_number() over (partition by key order by ...)`` puts every row of a key
+in one task. Here a key's rows are cut into stretches of its order: a stretch
+is a monotone function of the first order column, so all rows of one stretch
+come before all rows of the next. Counts per stretch (partial aggregation
+before the shuffle) and their running sum give each stretch its first number;
+rows are numbered within their stretch. One plan for every size, built-in
+expressions only, nothing runs before the caller's action.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
-from cadence.config import shared_dir
-
-DEFAULT_MAX_WINDOW_ROWS = 5_000_000
-_PID = "_range_pid"
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key (0 for an empty frame)."""
-    biggest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(biggest or 0)
-
-
-def number_within_key(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    out: str,
-    max_window_rows: int = DEFAULT_MAX_WINDOW_ROWS,
-    partitions: int | None = None,
-) -> DataFrame:
-    """``df`` plus ``out`` = 1, 2, ... within each ``key`` (non-NULL),
-    following ``order`` (which should make the order total)."""
-    if largest_group(df, key) <= max_window_rows:
-        w = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    return number_by_ranges(df, key, order, out, partitions)
-
-
-def number_by_ranges(
-    df: DataFrame, key: str, order: Sequence[str], out: str, partitions: int | None = None
-) -> DataFrame:
-    spark = df.sparkSession
-    shared_dir(spark)  # checkpoints go to the cluster's shared folder
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, key, *order)
-        .sortWithinPartitions(key, *order)
-        .withColumn(_PID, F.spark_partition_id())
-        .checkpoint(eager=True)
+# Bits of an integral order column that a stretch spans.
+STRETCH_BITS = 12
+
+
+def stretch_of(column: str, kind: DataType) -> Column:
+    """A monotone coarsening of an order column: high bits of a number, the
+    month of a date, the hour of a timestamp, the first characters of a text."""
+    c = F.col(column)
+    name = kind.typeName()
+    if name in ("byte", "short", "integer", "long"):
+        return F.shiftright(c.cast("bigint"), STRETCH_BITS)
+    if name in ("float", "double", "decimal"):
+        return F.floor(c / (1 << STRETCH_BITS)).cast("double")
+    if name == "date":
+        return F.trunc(c, "month")
+    if name.startswith("timestamp"):
+        return F.date_trunc("hour", c)
+    if name in ("string", "varchar", "char"):
+        return F.substring(c, 1, 4)
+    raise TypeError(f"no monotone coarsening for {column}: {name}")
+
+
+def number_within_key(df: DataFrame, key: str, order: Sequence[str], out: str) -> DataFrame:
+    """``df`` plus ``out`` = 1, 2, ... within each ``key``, following ``order``
+    (which should make the order total; NULLs first, as a window sorts them).
+
+    Rows with a NULL key are one group. Rows that are equal in the first order
+    column share a stretch, so it should be the one that tells most rows apart.
+    """
+    first = order[0]
+    stretched = df.withColumn("_stretch", stretch_of(first, df.schema[first].dataType))
+    before = (
+        Window.partitionBy(key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     )
-    key_type = df.schema[key].dataType
-    summary_schema = StructType([
-        StructField("pid", LongType()),
-        StructField("first_key", key_type),
-        StructField("first_rows", LongType()),
-        StructField("last_key", key_type),
-        StructField("last_rows", LongType()),
-    ])
-
-    def summarize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = first_key = last_key = None
-        first_rows = last_rows = 0
-        first_open = True  # still inside the partition's first run
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[key].to_numpy()
-            if pid is None:
-                pid = int(pdf[_PID].iat[0])
-                first_key = keys[0]
-                last_key = keys[0]
-            if first_open:
-                same = int(np.argmax(keys != first_key)) if (keys != first_key).any() else len(keys)
-                first_rows += same
-                first_open = same == len(keys)
-            # trailing run of this batch, joined to the previous one if same key
-            tail_key = keys[-1]
-            diff = np.flatnonzero(keys != tail_key)
-            tail = len(keys) - (diff[-1] + 1 if diff.size else 0)
-            if diff.size == 0 and tail_key == last_key:
-                last_rows += tail
-            else:
-                last_rows = tail
-            last_key = tail_key
-        if pid is not None:
-            yield pd.DataFrame({
-                "pid": [pid], "first_key": [first_key], "first_rows": [first_rows],
-                "last_key": [last_key], "last_rows": [last_rows],
-            })
-
-    rows = sorted(ranged.select(key, _PID).mapInPandas(summarize, summary_schema).collect(),
-                  key=lambda r: r["pid"])
-    carry: dict[int, int] = {}
-    for i, r in enumerate(rows):
-        before = 0
-        for prev in reversed(rows[:i]):
-            if prev["last_key"] != r["first_key"]:
-                break
-            before += prev["last_rows"]
-            if prev["first_key"] != prev["last_key"]:
-                break
-            # the whole previous partition is this key: look further back
-        carry[r["pid"]] = before
-
-    out_schema = StructType(
-        [f for f in ranged.schema.fields if f.name != _PID] + [StructField(out, LongType())]
+    starts = (
+        stretched.groupBy(key, "_stretch")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(
+            F.col(key).alias("_key"),
+            F.col("_stretch").alias("_of"),
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        )
+    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_stretch").eqNullSafe(F.col("_of"))
+    within = Window.partitionBy(key, "_stretch").orderBy(*order)
+    numbered = stretched.withColumn("_at", F.row_number().over(within)).join(starts, same)
+    return numbered.select(
+        *df.columns, (F.col("_before") + F.col("_at")).cast("bigint").alias(out)
     )
-
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run_key = None
-        count = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[key].to_numpy()
-            if run_key is None:
-                run_key = keys[0]
-                count = carry.get(int(pdf[_PID].iat[0]), 0)
-            new = np.empty(len(keys), dtype=bool)
-            new[0] = keys[0] != run_key
-            new[1:] = keys[1:] != keys[:-1]
-            group = np.cumsum(new)
-            starts = np.concatenate(([-count], np.flatnonzero(new)))
-            position = np.arange(len(keys)) - starts[group] + 1
-            run_key, count = keys[-1], int(position[-1])
-            yield pdf.drop(columns=[_PID]).assign(**{out: position.astype("int64")})
-
-    return ranged.mapInPandas(number, out_schema)

@@ -1,17 +1,11 @@
-"""Join helpers with an explicit size check before any broadcast.
-
-Policy (SURVEY §4):
-
-* a side whose size is bounded by a parameter known on the driver (the
-  calendar: one row per day of the configured range) is broadcast when that
-  bound is under ``MAX_BROADCAST_ROWS``;
-* a side whose size depends on the data is broadcast only after
-  ``has_at_most`` proves the bound with a ``limit(n + 1).count()`` job;
-* otherwise no hint: Catalyst broadcasts only under
-  ``spark.sql.autoBroadcastJoinThreshold`` (its size estimates for scans,
-  projections and aggregates are upper bounds), and AQE can still turn a
-  shuffled join into a broadcast one, or split a skewed partition, once the
-  real sizes are known.
+"""Join helper with a size check before any broadcast.
+
+Policy (SURVEY §4): only a side whose size is a run parameter (the calendar:
+one row per day of the configured range) is broadcast by hint, under
+``MAX_BROADCAST_ROWS``. Sides that grow with the data get no hint: Catalyst
+broadcasts them only where the size of the files or of the shuffled data is
+under ``spark.sql.autoBroadcastJoinThreshold``, and AQE splits skewed
+partitions of the others.
 """
 
 from __future__ import annotations
@@ -21,36 +15,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we hand to a broadcast hint.
+# Largest row count that is a run parameter and is broadcast by hint.
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; stops reading after
-    ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, known_rows: int | None = None,
-                         max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a size check, else the frame unchanged."""
-    if known_rows is not None:
-        return F.broadcast(df) if known_rows <= max_rows else df
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
     known_rows: int | None = None,
-    check_rows: bool = False,
-    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Fact-to-dimension join. With ``known_rows`` (a bound known on the
-    driver) or ``check_rows=True`` (bound proven by a job) the dimension is
-    broadcast when small; otherwise the planner decides."""
-    if known_rows is not None or check_rows:
-        dim = broadcast_if_bounded(dim, known_rows, max_rows)
+    """Fact-to-dimension join; ``known_rows`` is the dimension's size where a
+    parameter of the run fixes it."""
+    if known_rows is not None and known_rows <= MAX_BROADCAST_ROWS:
+        dim = F.broadcast(dim)
     return fact.join(dim, on, how)

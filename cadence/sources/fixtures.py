@@ -14,7 +14,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.functions.columns import MONEY, NULL_TEXT, RATE
+from cadence.functions.columns import NULL_TEXT, PRICE, RATE
 from cadence.operators.numbering import number_within_key
 from cadence.sources.testdata import TestData
 
@@ -60,7 +60,7 @@ def _date_text(c: F.Column) -> F.Column:
 def brands(src: TestData) -> DataFrame:
     part = src.table("part")
     return part.select(
-        F.substring("p_brand", 7, 1 << 20).cast("bigint").alias("brand_id"),
+        F.substr(F.col("p_brand"), F.lit(7)).cast("bigint").alias("brand_id"),
         F.col("p_brand").alias("brand_name"),
     ).distinct()
 
@@ -78,10 +78,10 @@ def products(src: TestData) -> DataFrame:
     return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
-        F.substring("p_brand", 7, 1 << 20).cast("bigint").alias("brand_id"),
+        F.substr(F.col("p_brand"), F.lit(7)).cast("bigint").alias("brand_id"),
         _code("p_type", CATEGORY_CODES).alias("category_id"),
         (F.lit(2016) + F.col("p_size") % 4).cast("bigint").alias("model_year"),
-        F.col("p_retailprice").cast(MONEY).alias("list_price"),
+        F.col("p_retailprice").cast(PRICE).alias("list_price"),
     )
 
 
@@ -109,7 +109,7 @@ def staffs(src: TestData) -> DataFrame:
     return supplier.select(
         key.alias("staff_id"),
         F.lit("Supplier").alias("first_name"),
-        F.substring("s_name", 10, 1 << 20).alias("last_name"),
+        F.substr(F.col("s_name"), F.lit(10)).alias("last_name"),
         _text_or_null(
             key % 5 == 0, F.concat(F.lit("staff"), key.cast("string"), F.lit("@example.com"))
         ).alias("email"),
@@ -131,7 +131,7 @@ def customers(src: TestData) -> DataFrame:
     return customer.join(geo, customer.c_nationkey == geo.n_nationkey, "inner").select(
         key.alias("customer_id"),
         F.lit("Customer").alias("first_name"),
-        F.substring("c_name", 10, 1 << 20).alias("last_name"),
+        F.substr(F.col("c_name"), F.lit(10)).alias("last_name"),
         _text_or_null(key % 3 == 0, F.concat(F.lit("555-"), key.cast("string"))).alias("phone"),
         _text_or_null(
             key % 4 == 0, F.concat(F.lit("customer"), key.cast("string"), F.lit("@example.com"))
@@ -146,8 +146,7 @@ def customers(src: TestData) -> DataFrame:
 def order_items(src: TestData) -> DataFrame:
     """Order lines; ``item_id`` numbers the lines of one order 1, 2, ...
 
-    Numbered by ``number_within_key``: a window partitioned by order while
-    the largest order is proven small, range partitions otherwise.
+    Numbered by ``number_within_key``, which splits an order of any size.
     """
     line = src.table("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -159,7 +158,7 @@ def order_items(src: TestData) -> DataFrame:
         F.col("item_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_extendedprice").cast(MONEY).alias("list_price"),
+        F.col("l_extendedprice").cast(PRICE).alias("list_price"),
         F.col("l_discount").cast(RATE).alias("discount"),
     )
 

@@ -1,36 +1,50 @@
-"""Numbering within a key: the range path equals the window path, also
-when one key holds most rows and spans several partitions."""
+"""Numbering within a key equals a window, also when one key holds most rows,
+when keys are NULL, and for numbers that doubles cannot hold."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cadence.operators.numbering import largest_group, number_by_ranges, number_within_key
+from cadence.operators.numbering import number_within_key
 
 
 def _frame(spark):
-    # key 7 holds 3,000 of 3,400 rows; ties on "o" are broken by "t".
-    hot = spark.range(3000).select(F.lit(7).cast("bigint").alias("k"),
-                                   (F.col("id") % 50).alias("o"), F.col("id").alias("t"))
-    cold = spark.range(400).select((F.col("id") % 40).cast("bigint").alias("k"),
-                                   (F.col("id") % 3).alias("o"), F.col("id").alias("t"))
+    # key 7 holds 30,000 of 34,000 rows; ties on "o" are broken by "t".
+    hot = spark.range(30000).select(F.lit(7).cast("bigint").alias("k"), F.col("id").alias("o"),
+                                    F.col("id").alias("t"))
+    cold = spark.range(4000).select(
+        F.when(F.col("id") % 9 > 0, F.col("id") % 40).alias("k"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 3 + 9007199254740992).alias("o"),
+        F.col("id").alias("t"))
     return hot.unionByName(cold)
 
 
-def test_range_numbering_matches_window(spark):
-    df = _frame(spark)
-    expected = df.withColumn(
-        "n", F.row_number().over(Window.partitionBy("k").orderBy("o", "t")).cast("bigint"))
-    got = number_by_ranges(df, "k", ["o", "t"], "n", partitions=8)
-    assert got.select("k").distinct().count() == 40
-    diff = expected.exceptAll(got.select("k", "o", "t", "n"))
-    assert diff.count() == 0
-    assert got.count() == expected.count()
-
-
-def test_bound_check_picks_the_path(spark):
-    df = _frame(spark)
-    assert largest_group(df, "k") == 3010
-    small = number_within_key(df, "k", ["o", "t"], "n", max_window_rows=10_000)
-    forced = number_within_key(df, "k", ["o", "t"], "n", max_window_rows=100, partitions=8)
-    cols = ["k", "o", "t", "n"]
-    assert small.select(cols).exceptAll(forced.select(cols)).count() == 0
+def _same(df, order, spark):
+    w = Window.partitionBy("k").orderBy(*order)
+    expected = df.withColumn("n", F.row_number().over(w).cast("bigint"))
+    got = number_within_key(df, "k", order, "n")
+    assert got.columns == expected.columns
+    assert expected.exceptAll(got).count() == 0 and got.exceptAll(expected).count() == 0
+
+
+def test_numbers_as_a_window_does(spark):
+    _same(_frame(spark), ["o", "t"], spark)
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "date", "timestamp"])
+def test_other_order_types(spark, kind):
+    df = _frame(spark).where("o < 40000 or o is null")
+    o = {"string": F.col("o").cast("string"), "double": F.col("o") * 1.5 - 100,
+         "date": F.date_add(F.lit("1990-01-01").cast("date"), F.col("o").cast("int")),
+         "timestamp": F.timestamp_seconds(F.col("o") * 1000)}[kind]
+    _same(df.withColumn("o", o), ["o", "t"], spark)
+
+
+def test_no_job_runs_and_the_hot_key_is_spread(spark):
+    group = "numbering-plan"
+    spark.sparkContext.setJobGroup(group, "plan")
+    got = number_within_key(_frame(spark), "k", ["o", "t"], "n")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "SinglePartition" not in plan
+    assert "_stretch" in plan and "hashpartitioning(k" in plan
