@@ -71,15 +71,14 @@ TABLES_BY_NAME = {t.name: t for t in SOURCE_TABLES}
 
 
 def select_tables(only: Iterable[str] | None = None) -> list[SourceTable]:
-    """Table subset selection.
+    """The catalogue, or the part of it that is asked for.
 
-    Names are matched case-insensitively, unknown names are ignored, catalogue
-    order is kept; asking only for unknown names is an error.
+    Case does not matter and names that are not in the catalogue are passed
+    over, but a request in which none is known raises. Catalogue order.
     """
-    if not only:
+    asked = frozenset(name.casefold() for name in only or ())
+    if not asked:
         return list(SOURCE_TABLES)
-    wanted = {name.lower() for name in only}
-    chosen = [t for t in SOURCE_TABLES if t.name in wanted]
-    if not chosen:
-        raise ValueError(f"no known table among: {', '.join(only)}")
-    return chosen
+    if asked.isdisjoint(TABLES_BY_NAME):
+        raise ValueError(f"the catalogue has none of {sorted(asked)}; it has {list(TABLES_BY_NAME)}")
+    return [table for table in SOURCE_TABLES if table.name in asked]

@@ -37,7 +37,7 @@ class Config:
     calendar_end: dt.date = DEFAULT_CALENDAR_END
     source_schema: str = "public"
     # Write tables that declare partition columns partitioned by them.
-    partition_tables: bool = False
+    partition_tables: bool = True
     layers: tuple[str, ...] = field(
         default=("raw", "staging", "intermediate", "marts", "reporting")
     )
@@ -71,8 +71,9 @@ class Config:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    It is read from the session. Only when it is unset (local runs and tests)
-    is a folder of our own created and registered.
+    It is read from the session. Where it is unset, a local run (driver and
+    executors are one process) gets a folder of its own; on a cluster that is
+    an error, as a folder of one machine would lose data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,6 +81,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cadence-shared-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

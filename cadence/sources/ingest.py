@@ -2,15 +2,17 @@
 
 * ``replace_load``: full refresh, idempotent (I4).
 * ``merge_load``: upsert on a single or composite primary key (I5): the
-  batch is made key-unique (latest ``_seq`` wins), current rows whose key
+  batch is landed once in the shared folder, so that a live source is read
+  once, and made key-unique (latest ``_seq`` wins); current rows whose key
   is in the batch are dropped by a left-anti join, the batch is appended;
   when rows carry ``_seq`` the stored ``_seq`` is kept and a late, older
-  change does not overwrite a newer one.
+  change does not overwrite a newer one. A NULL key part is a value like
+  any other: it equals NULL, so loads repeat without adding rows.
   Rows missing from the batch stay: source deletions are not propagated.
   Columns new in the batch are added, NULL in older rows (I7).
 * every raw row carries ``_load_id`` and a deterministic ``_row_id`` (I6).
-* the rows a load emits are counted by ``observe`` in the same pass as the
-  write (I9).
+* the rows a load emits are those of the extracted batch, counted by
+  ``observe`` as they are landed, before any de-duplication (I9).
 
 The batch de-duplication is an aggregation (``max`` of a struct ordered by
 ``_seq``), so partial aggregation runs before the shuffle and a key repeated
@@ -23,6 +25,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +34,11 @@ from pyspark.sql import functions as F
 from cadence.catalog import MERGE, SourceTable, select_tables
 from cadence.config import Config
 from cadence.plans.concurrent import run_all
-from cadence.plans.joins import broadcast_if_bounded
 from cadence.sources import store
 
 LOAD_ID = "_load_id"
 ROW_ID = "_row_id"
 SEQ = "_seq"
-# Most batch keys broadcast to the anti join of an upsert.
-MAX_BROADCAST_KEYS = 5_000_000
 LINEAGE = (LOAD_ID, ROW_ID)
 # Load-trace columns, dropped when the raw layer is read by staging.
 TRACE = (LOAD_ID, ROW_ID, SEQ)
@@ -83,9 +84,17 @@ def latest_per_key(batch: DataFrame, key: Sequence[str], seq: str | None = SEQ,
     return picked.select(*key, *[F.col(f"_best.{c}").alias(c) for c in order])
 
 
+def _matching(rows: DataFrame, keys: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on ``key`` in which NULL equals NULL. The keys of a
+    landed batch have a known size: Catalyst broadcasts them where they are
+    small, and the stored table is then not shuffled."""
+    other = keys.select(*[F.col(k).alias(f"_key_{k}") for k in key])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in key])
+    return rows.join(other, same, how)
+
+
 def upsert(current: DataFrame | None, batch: DataFrame, key: Sequence[str],
-           seq: str | None = SEQ, tiebreak: Sequence[str] = (),
-           broadcast_keys: bool = False) -> DataFrame:
+           seq: str | None = SEQ, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Merge ``batch`` into ``current`` on ``key``: new keys are inserted,
     keys not in the batch are kept. For a key in both, the batch row wins,
     unless both carry ``seq`` and the stored row's is higher (a late,
@@ -93,15 +102,9 @@ def upsert(current: DataFrame | None, batch: DataFrame, key: Sequence[str],
     latest = latest_per_key(batch, key, seq, tiebreak)
     if current is None:
         return latest
-    batch_keys = latest.select(*key)
-    if broadcast_keys:
-        # A daily batch is small next to the table: with its key count
-        # proven under the bound, the stored table streams through a
-        # map-side anti join instead of being shuffled on every load.
-        batch_keys = broadcast_if_bounded(batch_keys, max_rows=MAX_BROADCAST_KEYS)
-    kept = current.join(batch_keys, list(key), "left_anti")
+    kept = _matching(current, batch, key, "left_anti")
     if seq and seq in latest.columns and seq in current.columns:
-        rivals = current.join(batch_keys, list(key), "left_semi")
+        rivals = _matching(current, batch, key, "left_semi")
         both = rivals.unionByName(latest, allowMissingColumns=True)
         latest = latest_per_key(both, key, seq, tiebreak)
     return kept.unionByName(latest, allowMissingColumns=True)
@@ -119,23 +122,22 @@ def replace_load(df: DataFrame, table_dir: str, key: Sequence[str], load_id: str
 def merge_load(batch: DataFrame, table_dir: str, key: Sequence[str], load_id: str,
                name: str = "table", seq: str | None = SEQ) -> tuple[str, int]:
     """Upsert ``batch`` into the table's current version, written as the
-    next version. Returns the version and the number of batch rows emitted
-    (after de-duplication)."""
+    next version. Returns the version and the number of rows the batch
+    emitted. Raises ``store.Conflict`` when another load was published since
+    the current version was read."""
     spark = batch.sparkSession
-    current_version = store.current_version(spark, table_dir)
+    number, base = store.current(spark, table_dir)
+    fresh = add_lineage(batch, key, load_id).withColumn("_from_batch", F.lit(1))
+    landing = f"{table_dir.rstrip('/')}/_landed"
+    landed_version, emitted = store.write_counted(fresh, landing, name)
+    landed = store.read_version(spark, landing, landed_version)
     current = None
-    if current_version is not None:
-        current = store.read_version(spark, table_dir, current_version)
-        current = current.withColumn("_from_batch", F.lit(0))
-    fresh = add_lineage(batch, key, load_id)
-    marked = fresh.withColumn("_from_batch", F.lit(1))
-    merged = upsert(current, marked, key, seq, tiebreak=["_from_batch"], broadcast_keys=True)
-    obs = Observation(f"emitted_{name}_{load_id}")
-    counted = merged.observe(obs, F.sum("_from_batch").alias("rows")).drop("_from_batch")
-    version = store.write_version(counted, table_dir)
-    store.publish(spark, table_dir, version)
-    emitted = obs.get["rows"]
-    return version, int(emitted or 0)
+    if base is not None:
+        current = store.read_version(spark, table_dir, base).withColumn("_from_batch", F.lit(0))
+    merged = upsert(current, landed, key, seq, tiebreak=["_from_batch"]).drop("_from_batch")
+    version = store.write_version(merged, table_dir)
+    store.publish(spark, table_dir, version, number)
+    return version, emitted
 
 
 LOADS_TABLE = "_loads"

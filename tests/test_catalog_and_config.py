@@ -44,3 +44,26 @@ def test_graph_order_and_selection():
     assert "rpt_orders" in descendants("fct_orders")
     assert {d.layer for d in REGISTRY.values()} == {"staging", "intermediate", "marts",
                                                      "reporting"}
+
+
+class _Context:
+    master = "spark://host:7077"
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _Session:
+    sparkContext = _Context()
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from cadence.config import shared_dir
+
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session())
