@@ -12,10 +12,10 @@ Scale notes:
   rows costs one partial row per map task, never one huge group;
 * ``relationships`` reduces the child to (key, count) before the anti join,
   so the join sees distinct keys only and cannot be skewed;
-* the suite (``evaluate`` / ``run_suite``) reads each dataset twice, not
-  once per test: one aggregation for all row-level tests (not_null,
-  accepted_range, accepted_values), one grouping-sets aggregation for all
-  key tests (unique, unique_combination, relationships); each result is
+* the suite (``evaluate`` / ``run_suite``) reads each dataset up to three
+  times, not once per test: one aggregation for all row-level tests (not_null,
+  accepted_range, accepted_values), one grouping-sets aggregation for unique
+  and unique_combination tests, one for relationships; each result is
   turned into one row per test by a single ``unpivot``, so no per-test
   branch re-runs the aggregation.
 """
@@ -304,6 +304,23 @@ def declared_for(dataset: str) -> list[Expectation]:
     return [e for e in DECLARED if e.dataset == dataset]
 
 
+# Test kinds that can be asked for (``test_type:...``): by name, or all generic ones.
+GENERIC = "generic"
+SINGULAR = "singular"
+
+
+def select_kinds(kinds: Iterable[str] | None) -> tuple[list[Expectation], list[str]]:
+    """Declared tests and singular tests of the kinds asked for; all without."""
+    if kinds is None:
+        return list(DECLARED), list(SINGULAR_TESTS)
+    asked = {k.removeprefix("test_type:") for k in kinds}
+    known = {GENERIC, SINGULAR} | {e.kind for e in DECLARED}
+    if asked - known:
+        raise ValueError(f"unknown test kinds {sorted(asked - known)}; known: {sorted(known)}")
+    chosen = [e for e in DECLARED if GENERIC in asked or e.kind in asked]
+    return chosen, list(SINGULAR_TESTS) if SINGULAR in asked else []
+
+
 # --- folded evaluation (D11) ------------------------------------------------------
 
 def _row_level_violation(e: Expectation) -> Column | None:
@@ -396,33 +413,42 @@ _GID = "_grouping_id"
 
 def _key_tests(dataset: str, df: DataFrame, group: list[Expectation],
                frames: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """unique, unique_combination and relationships tests of one dataset in
-    one linear plan: grouping sets over every key they use (one scan,
-    partial counts before one shuffle), one left join of the reduced
-    (key, count) rows with the parents' distinct keys, one aggregation with
-    a column per test."""
-    tests = [e for e in group if e.kind in KEY_KINDS]
-    if not tests:
-        return []
-    sets = list(dict.fromkeys(e.columns for e in tests))
+    """unique, unique_combination and relationships tests of one dataset.
+
+    Sets that only need counts are aggregated directly. Foreign keys reduce
+    to (key, count) in an aggregation of their own and only those rows meet
+    the parents' keys in a join: it never sees a row per fact row."""
+    parts = []
+    for joined in (False, True):
+        tests = [e for e in group if e.kind in KEY_KINDS and (e.kind == "relationships") == joined]
+        if not tests:
+            continue
+        counts, gid = _key_counts(df, list(dict.fromkeys(e.columns for e in tests)))
+        aggs, names = _key_aggs(tests, gid)
+        if joined:
+            counts = _join_parents(counts, tests, gid, frames)
+        parts.append(_unpivot(counts.agg(*aggs), names, dataset))
+    return parts
+
+
+def _key_counts(df: DataFrame, sets: list[tuple[str, ...]]) -> tuple[DataFrame, dict]:
+    """Rows per value of each key: one scan, partial counts before one shuffle."""
     cols = list(dict.fromkeys(c for key in sets for c in key))
     n = F.count(F.lit(1)).alias(N_RECORDS)
     if len(sets) == 1:
-        counts = df.groupBy(*cols).agg(n).withColumn(_GID, F.lit(0).cast("bigint"))
-        gid = {sets[0]: 0}
-    else:
-        counts = df.groupingSets([list(key) for key in sets], *cols).agg(
-            n, F.grouping_id().cast("bigint").alias(_GID)
-        )
-        # grouping_id: one bit per grouping column, first column most significant,
-        # set when the column is not part of the grouping set.
-        width = len(cols)
-        gid = {key: sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in key)
-               for key in sets}
-
-    counts = _join_parents(counts, tests, gid, frames)
-    aggs, names = _key_aggs(tests, gid)
-    return [_unpivot(counts.agg(*aggs), names, dataset)]
+        return df.groupBy(*cols).agg(n).withColumn(_GID, F.lit(0).cast("bigint")), {sets[0]: 0}
+    counts = df.groupingSets([list(key) for key in sets], *cols).agg(
+        n, F.grouping_id().cast("bigint").alias(_GID)
+    )
+    return counts, _grouping_ids(sets, cols)
+
+
+def _grouping_ids(sets: list[tuple[str, ...]], cols: list[str]) -> dict:
+    """grouping_id: one bit per grouping column, first column most
+    significant, set when the column is not part of the grouping set."""
+    width = len(cols)
+    return {key: sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in key)
+            for key in sets}
 
 
 def _join_parents(counts: DataFrame, tests: list[Expectation], gid: dict,
@@ -447,6 +473,10 @@ def _join_parents(counts: DataFrame, tests: list[Expectation], gid: dict,
         as_text = F.col(col).cast(field_type).cast("string")
         key_expr = (F.when if key_expr is None else key_expr.when)(F.col(_GID) == g, as_text)
     parents = parents.distinct().withColumn("_has_parent", F.lit(True))
+    # Rows of sets without parents match nothing; a hash of all keys spreads
+    # them, where NULL would send them all to one task.
+    others = F.xxhash64(*[c for c in counts.columns if c not in (_GID, N_RECORDS)]).cast("string")
+    key_expr = F.coalesce(key_expr, F.concat(F.lit("~"), others))
     return counts.withColumn("_key", key_expr).join(parents, [_GID, "_key"], "left")
 
 
@@ -482,9 +512,7 @@ def _one_pass(dataset: str, df: DataFrame, group: list[Expectation],
     if rows:
         sets.append(())
     cols = list(dict.fromkeys(c for key in sets for c in key))
-    width = len(cols)
-    gid = {key: sum(1 << (width - 1 - i) for i, c in enumerate(cols) if c not in key)
-           for key in sets}
+    gid = _grouping_ids(sets, cols)
     row_aggs = [F.count(F.when(_row_level_violation(e), F.lit(1))).alias(f"r{i}")
                 for i, e in enumerate(rows)]
     counts = df.groupingSets([list(key) for key in sets], *cols).agg(
@@ -512,7 +540,7 @@ def evaluate(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | Non
              singular: Iterable[str] | None = None, one_pass: bool = False) -> DataFrame:
     """The suite report (D11): one row per test with its violation count.
 
-    Each dataset is read twice (row-level pass, key pass), or once with
+    Each dataset is read up to three times (row level, keys, parents), or once with
     ``one_pass``: the row-level counts then ride on the key pass as an extra
     empty grouping set. One pass halves the scans and costs CPU (every row
     is expanded once per grouping set before the row-level conditions are
@@ -560,7 +588,7 @@ def run_suite(frames: Mapping[str, DataFrame], tests: Iterable[Expectation] | No
               one_pass: bool = False) -> list:
     """Evaluate the suite as one Spark job per dataset, submitted
     concurrently; returns the report rows (one per test). ``one_pass``
-    reads each dataset once instead of twice (see ``evaluate``)."""
+    reads each dataset once (see ``evaluate``)."""
     from cadence.plans.concurrent import run_all
 
     tests = list(DECLARED if tests is None else tests)

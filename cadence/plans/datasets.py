@@ -70,8 +70,11 @@ class Env:
 class Workspace:
     """Lazy resolution of datasets over a given set of raw DataFrames."""
 
-    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], cfg: Config):
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], cfg: Config,
+                 adjust: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None):
         _load_definitions()
+        # Changes to single datasets on top of their definition (seeded faults, corrections).
+        self.adjust = dict(adjust or {})
         self.env = Env(spark, cfg)
         self.raw = raw
         self.frames: dict[str, DataFrame] = {}
@@ -86,7 +89,8 @@ class Workspace:
                 inputs = {dep: self[dep] for dep in ds.deps}
                 if ds.wants_env():
                     inputs["env"] = self.env
-                self.frames[name] = ds.fn(**inputs)
+                df = ds.fn(**inputs)
+                self.frames[name] = self.adjust[name](df) if name in self.adjust else df
             return self.frames[name]
 
     def put(self, name: str, df: DataFrame) -> None:

@@ -1,8 +1,10 @@
 """Gated build (I15): an error blocks descendants, a WARN does not."""
 
+import pytest
+
 from cadence.config import Config
 from cadence.operators.quality import WARN, Expectation
-from cadence.plans.build import FAILED, SKIPPED, SUCCESS, WARNED, build
+from cadence.plans.build import ERROR, FAILED, SKIPPED, SUCCESS, WARNED, build
 from cadence.sources import ingest, store
 from cadence.sources.fixtures import raw_tables
 from tests.conftest import SF_SMALL
@@ -84,3 +86,43 @@ def test_ci_prefix_writes_elsewhere_but_reads_the_same_raw(spark, tmp_root):
     assert not store.exists(spark, prod.dataset_dir("marts", "dim_stores"))
     assert ci.dataset_dir("raw", "public_stores") == prod.dataset_dir("raw", "public_stores")
     assert loads[0].emitted_rows == result.datasets[0].n_rows
+
+
+def test_a_test_of_two_datasets_holds_back_both(spark, tmp_root):
+    cfg = Config(root=tmp_root).with_fixture_calendar()
+    raw = _loaded(spark, tmp_root, cfg)
+    off = {"fct_order_items": lambda df: df.withColumn(
+        "revenue", (df.revenue + 1).cast("decimal(18,2)"))}
+    result = build(spark, raw, cfg, select=["marts", "reporting"], suite=[],
+                   singular=["assert_order_revenue_reconciliation"], adjust=off)
+    for name in ("fct_orders", "fct_order_items"):
+        assert result.status(name) == FAILED
+        assert not store.exists(spark, cfg.dataset_dir("marts", name))
+    for name in ("rpt_sales", "rpt_orders"):
+        assert result.status(name) == SKIPPED
+    assert result.status("rpt_stocks") == SUCCESS
+
+
+def test_an_error_is_a_status_and_stops_only_what_depends_on_it(spark, tmp_root):
+    cfg = Config(root=tmp_root).with_fixture_calendar()
+    raw = dict(raw_tables(spark, SF_SMALL))
+    raw["customers"] = raw["customers"].selectExpr("* except (zip_code)", "'oops' as zip_code")
+    chosen = ["dim_customers", "dim_stores", "fct_orders", "fct_stocks"]
+    result = build(spark, raw, cfg, select=chosen, singular=False)
+    assert result.status("dim_customers") == ERROR
+    assert "oops" in next(d for d in result.datasets if d.dataset == "dim_customers").message
+    assert result.status("dim_stores") == result.status("fct_stocks") == SUCCESS
+    # Its foreign key to customers cannot be checked, so it is not published.
+    assert result.status("fct_orders") == SKIPPED
+    assert not store.exists(spark, cfg.dataset_dir("marts", "fct_orders"))
+
+
+def test_kinds_of_tests_can_be_chosen(spark, tmp_root):
+    from cadence.operators import quality
+
+    generic, singular = quality.select_kinds(["test_type:singular"])
+    assert not generic and len(singular) == 3
+    generic, singular = quality.select_kinds(["unique", "generic"])
+    assert len(generic) == 115 and not singular
+    with pytest.raises(ValueError):
+        quality.select_kinds(["nope"])
