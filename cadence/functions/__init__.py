@@ -16,7 +16,7 @@ from cadence.functions.columns import (
     status_label,
     surrogate_key,
     to_long,
-    to_money,
+    to_price,
     to_rate,
     week_of_year_sunday,
 )
@@ -39,7 +39,7 @@ __all__ = [
     "status_label",
     "surrogate_key",
     "to_long",
-    "to_money",
+    "to_price",
     "to_rate",
     "week_of_year_sunday",
 ]

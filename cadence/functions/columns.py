@@ -20,9 +20,13 @@ UNKNOWN_STATUS = "Unknown"
 # Placeholder for NULL parts of a surrogate key, and the separator between parts.
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEPARATOR = "-"
-# Decimal types: money per line, discount rate, and money summed over many rows.
+# Decimal types: prices and discount rates keep the source's digits until the
+# one final rounding; quantity x price x (1 - rate) then needs 38 digits, 14 of
+# them decimals, and is exact. Money per line, and summed over many rows.
+PRICE = "decimal(16,6)"
+RATE = "decimal(9,8)"
+COUNT = "decimal(10,0)"
 MONEY = "decimal(18,2)"
-RATE = "decimal(9,4)"
 MONEY_TOTAL = "decimal(38,2)"
 
 
@@ -35,9 +39,9 @@ def to_long(c: str | Column) -> Column:
     return _col(c).cast("bigint")
 
 
-def to_money(c: str | Column) -> Column:
-    """Hard cast to an exact decimal (F2)."""
-    return _col(c).cast(MONEY)
+def to_price(c: str | Column) -> Column:
+    """Hard cast to an exact decimal (F2), not rounded to cents."""
+    return _col(c).cast(PRICE)
 
 
 def to_rate(c: str | Column) -> Column:
@@ -104,7 +108,8 @@ def line_revenue(
 ) -> Column:
     """``round(quantity * list_price * (1 - discount), 2)`` in exact decimals
     (F8, F9); HALF_UP rounding, then back to the money type."""
-    gross = _col(quantity) * _col(list_price) * (F.lit(1) - _col(discount))
+    off = F.lit(1).cast("decimal(1,0)") - _col(discount).cast(RATE)
+    gross = _col(quantity).cast(COUNT) * _col(list_price).cast(PRICE) * off
     return F.round(gross, 2).cast(MONEY)
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from cadence.functions.calendar import calendar_columns
 from cadence.functions.columns import (
+    COUNT,
+    MONEY,
     MONEY_TOTAL,
     day_diff,
     full_name,
@@ -149,6 +151,18 @@ def calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     return spine.select("date_day", *calendar_columns("date_day"))
 
 
+def order_calendar(stg_orders: DataFrame) -> DataFrame:
+    """Calendar of the whole years in which orders were placed, from the
+    orders themselves: their first and last day (one row) generate the days."""
+    span = stg_orders.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last"))
+    day = F.make_interval(days=F.lit(1))
+    days = F.sequence(
+        F.trunc("first", "year"),
+        F.date_sub(F.add_months(F.trunc("last", "year"), 12), 1), day)
+    spine = span.select(F.explode(days).alias("date_day"))
+    return spine.select("date_day", *calendar_columns("date_day"))
+
+
 @dataset("dim_date", "marts", [], ["date_day"], TABLE)
 def dim_date(env: Env) -> DataFrame:
     """Calendar over the configured range (M6)."""
@@ -232,7 +246,7 @@ def fct_stocks(stg_stocks: DataFrame, stg_products: DataFrame) -> DataFrame:
         "store_id",
         "product_id",
         "quantity",
-        F.round(F.col("quantity") * F.col("list_price"), 2).cast("decimal(18,2)").alias(
+        F.round(F.col("quantity").cast(COUNT) * F.col("list_price"), 2).cast(MONEY).alias(
             "stock_value"
         ),
         (F.col("quantity") == 0).alias("is_out_of_stock"),

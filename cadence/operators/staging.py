@@ -15,7 +15,7 @@ from cadence.functions.columns import (
     safe_date,
     safe_long,
     to_long,
-    to_money,
+    to_price,
     to_rate,
 )
 from cadence.plans.datasets import dataset, raw_name
@@ -55,7 +55,7 @@ def stg_order_items(raw_order_items: DataFrame) -> DataFrame:
         to_long("item_id").alias("item_id"),
         to_long("product_id").alias("product_id"),
         to_long("quantity").alias("quantity"),
-        to_money("list_price").alias("list_price"),
+        to_price("list_price").alias("list_price"),
         to_rate("discount").alias("discount"),
     )
 
@@ -82,7 +82,7 @@ def stg_products(raw_products: DataFrame) -> DataFrame:
         to_long("brand_id").alias("brand_id"),
         to_long("category_id").alias("category_id"),
         to_long("model_year").alias("model_year"),
-        to_money("list_price").alias("list_price"),
+        to_price("list_price").alias("list_price"),
     )
 
 

@@ -1,21 +1,53 @@
 """Relational source scan (I1): one table of a schema, read in parallel.
 
-``spark.read.jdbc`` splits the read into ``num_partitions`` range queries
-on a numeric key between its min and max; the bounds come from one small
-aggregate query pushed to the database. Credentials and SSL settings pass
+``spark.read.jdbc`` splits the read into range queries on one key column,
+between its bounds. Row count and bounds of the key columns come from one
+aggregate query pushed to the database: of the columns that can be split
+(numbers, dates, timestamps) the one with the widest range is taken, and as
+many partitions as the row count asks for. Credentials and SSL settings pass
 through as JDBC properties.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+import decimal
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cadence.catalog import select_tables
 
 # Options every read carries (callers' properties take precedence).
-PUSHDOWN = {"pushDownAggregate": "true", "pushDownPredicate": "true"}
+DEFAULTS = {"pushDownAggregate": "true", "pushDownPredicate": "true", "fetchsize": "10000"}
+# Rows that one range query should return, and queries at once at most: the
+# database's connections bound the second, not the table's size.
+ROWS_PER_PARTITION = 1_000_000
+MAX_PARTITIONS = 64
+
+
+def quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _width(low, high) -> float:
+    """How far apart two bounds are; 0 for kinds that Spark cannot split."""
+    if isinstance(low, bool) or low is None:
+        return 0
+    if isinstance(low, (int, decimal.Decimal)):
+        return float(high - low)
+    if isinstance(low, dt.datetime):
+        return (high - low).total_seconds()
+    if isinstance(low, dt.date):
+        return (high - low).days
+    return 0
+
+
+def _bound(value, last: bool) -> int | str:
+    """Bounds as Spark takes them; the last one is past the largest number."""
+    if isinstance(value, (int, decimal.Decimal)):
+        return int(value) + last
+    return value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
 
 
 def read_table(
@@ -24,40 +56,44 @@ def read_table(
     schema: str,
     table: str,
     properties: Mapping[str, str],
-    partition_column: str | None = None,
-    num_partitions: int = 1,
+    partition_columns: Sequence[str] = (),
+    max_partitions: int = MAX_PARTITIONS,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
-    qualified = f'"{schema}"."{table}"'
-    props = {**PUSHDOWN, **dict(properties)}
-    if not partition_column or num_partitions <= 1:
+    qualified = f"{quoted(schema)}.{quoted(table)}"
+    props = {**DEFAULTS, **dict(properties)}
+    if not partition_columns or max_partitions <= 1:
         return spark.read.jdbc(url, qualified, properties=props)
-    bounds = spark.read.jdbc(
-        url,
-        f'(select min({partition_column}) as lo, max({partition_column}) as hi '
-        f'from {qualified}) b',
-        properties=props,
+    asked = ", ".join(f"min({quoted(c)}) as lo{i}, max({quoted(c)}) as hi{i}"
+                      for i, c in enumerate(partition_columns))
+    found = spark.read.jdbc(
+        url, f"(select count(*) as n, {asked} from {qualified}) b", properties=props
     ).first()
-    if bounds is None or bounds["lo"] is None:
+    wanted = -(-int(found["n"]) // rows_per_partition)
+    widest = max(range(len(partition_columns)),
+                 key=lambda i: _width(found[f"lo{i}"], found[f"hi{i}"]))
+    low, high = found[f"lo{widest}"], found[f"hi{widest}"]
+    if wanted <= 1 or not _width(low, high):
         return spark.read.jdbc(url, qualified, properties=props)
     return spark.read.jdbc(
         url,
         qualified,
-        column=partition_column,
-        lowerBound=int(bounds["lo"]),
-        upperBound=int(bounds["hi"]) + 1,
-        numPartitions=num_partitions,
+        column=quoted(partition_columns[widest]),
+        lowerBound=_bound(low, False),
+        upperBound=_bound(high, True),
+        numPartitions=min(wanted, max_partitions),
         properties=props,
     )
 
 
 class JdbcSource(Mapping):
-    """The catalogue's tables in one database schema, read on first access;
-    tables are partitioned on their first key column."""
+    """The catalogue's tables in one database schema, read on first access
+    and split on one of their key columns."""
 
     def __init__(self, spark: SparkSession, url: str, properties: Mapping[str, str],
-                 schema: str = "public", num_partitions: int = 8):
+                 schema: str = "public", max_partitions: int = MAX_PARTITIONS):
         self.spark, self.url, self.properties = spark, url, properties
-        self.schema, self.num_partitions = schema, num_partitions
+        self.schema, self.max_partitions = schema, max_partitions
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
@@ -65,7 +101,7 @@ class JdbcSource(Mapping):
             spec = {t.name: t for t in select_tables()}[table]
             self._frames[table] = read_table(
                 self.spark, self.url, self.schema, table, self.properties,
-                partition_column=spec.key[0], num_partitions=self.num_partitions,
+                partition_columns=spec.key, max_partitions=self.max_partitions,
             )
         return self._frames[table]
 

@@ -25,22 +25,49 @@ class _Spark:
         self.read = _Reader(bounds)
 
 
+ORDERS = {"n": 7_500_000, "lo0": 3, "hi0": 41}
+
+
 def test_partitioned_read_uses_bounds_and_pushdown():
-    spark = _Spark({"lo": 3, "hi": 41})
+    spark = _Spark(ORDERS)
     jdbc.read_table(spark, "jdbc:postgresql://db/x", "public", "orders",
-                    {"user": "u", "pushDownPredicate": "false"},
-                    partition_column="order_id", num_partitions=8)
+                    {"user": "u", "pushDownPredicate": "false"}, ["order_id"])
     (_, bounds_sql, first), (_, table, second) = spark.read.calls
-    assert "min(order_id)" in bounds_sql and '"public"."orders"' in bounds_sql
+    assert 'min("order_id")' in bounds_sql and '"public"."orders"' in bounds_sql
     assert table == '"public"."orders"'
-    assert second["column"] == "order_id" and second["numPartitions"] == 8
+    assert second["column"] == '"order_id"' and second["numPartitions"] == 8
     assert (second["lowerBound"], second["upperBound"]) == (3, 42)
     props = second["properties"]
     assert props["user"] == "u" and props["pushDownAggregate"] == "true"
+    assert props["fetchsize"] == "10000"
     assert props["pushDownPredicate"] == "false"  # the caller's setting wins
 
 
-def test_empty_table_reads_in_one_partition():
-    spark = _Spark({"lo": None, "hi": None})
-    jdbc.read_table(spark, "jdbc:x", "public", "brands", {}, "brand_id", 8)
-    assert "column" not in spark.read.calls[-1][2]
+def test_partitions_follow_the_rows_up_to_the_connections():
+    spark = _Spark({**ORDERS, "n": 10**12})
+    jdbc.read_table(spark, "jdbc:x", "public", "orders", {}, ["order_id"], max_partitions=40)
+    assert spark.read.calls[-1][2]["numPartitions"] == 40
+
+
+def test_widest_key_column_is_split():
+    spark = _Spark({"n": 5_000_000, "lo0": 1, "hi0": 25, "lo1": 1, "hi1": 200_000})
+    jdbc.read_table(spark, "jdbc:x", "public", "stocks", {}, ["store_id", "product_id"])
+    assert spark.read.calls[-1][2]["column"] == '"product_id"'
+
+
+def test_dates_are_bounds_and_text_keys_are_not():
+    import datetime as dt
+
+    spark = _Spark({"n": 5_000_000, "lo0": dt.date(2020, 1, 1), "hi0": dt.date(2021, 1, 1)})
+    jdbc.read_table(spark, "jdbc:x", "public", "days", {}, ["day"])
+    assert spark.read.calls[-1][2]["lowerBound"] == "2020-01-01"
+    spark = _Spark({"n": 5_000_000, "lo0": "a", "hi0": "z"})
+    jdbc.read_table(spark, "jdbc:x", "public", 'odd"name', {}, ["code"])
+    assert spark.read.calls[-1] == ("jdbc:x", '"public"."odd""name"', {"properties": jdbc.DEFAULTS})
+
+
+def test_small_or_empty_tables_read_in_one_partition():
+    for found in ({"n": 0, "lo0": None, "hi0": None}, {"n": 900, "lo0": 1, "hi0": 900}):
+        spark = _Spark(found)
+        jdbc.read_table(spark, "jdbc:x", "public", "brands", {}, ["brand_id"])
+        assert "column" not in spark.read.calls[-1][2]

@@ -37,7 +37,7 @@ def test_fct_orders_prunes_and_pushes_down(built):
     plan = plan_of(built["fct_orders"])
     # lines: only the columns revenue and totals need, filter pushed to the scan
     assert re.search(r"ReadSchema: struct<order_id:bigint,quantity:bigint,list_price:decimal"
-                     r"\(18,2\),discount:decimal\(9,4\)>", plan)
+                     r"\(16,6\),discount:decimal\(9,8\)>", plan)
     assert "PushedFilters: [IsNotNull(order_id)]" in plan
     # partial aggregation before the shuffle on order_id
     assert "partial_sum" in plan and "hashpartitioning(order_id" in plan
@@ -53,15 +53,37 @@ def test_kpi_filter_reaches_the_scan(spark, built, tmp_root):
     assert "partial_sum" in plan
 
 
-def test_suite_reads_each_dataset_twice(built):
+def test_suite_reads_each_dataset_three_times(built):
     tests = quality.declared_for("fct_order_items")
     plan = plan_of(quality.evaluate(built, tests, []))
     # the fact is built from two staging views; count the scans of the raw
-    # order lines: one per pass (row-level fold, grouping-sets key tests)
+    # order lines: one per pass (row-level fold, own keys, foreign keys)
     scans = re.findall(r"FileScan parquet \[[^\]]*\] Batched: true, DataFilters: \[[^\]]*\], "
                        r"Format: Parquet, Location: InMemoryFileIndex\(1 paths\)\[[^\]]*"
                        r"public_order_items", plan)
-    assert len(scans) == 2
+    assert len(scans) == 3
+
+
+def test_rpt_sales_shuffles_lines_for_the_header_and_products_only(spark, built):
+    """With broadcast off: order-level dimensions join one row per order."""
+    conf = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k in conf:
+            spark.conf.set(k, "-1")
+        from cadence.operators import reporting
+        from cadence.plans.datasets import Env
+
+        inputs = {n: built[n] for n in ("fct_order_items", "dim_products", "dim_stores",
+                                        "dim_customers", "dim_staffs", "dim_date")}
+        df = reporting.rpt_sales(env=Env(spark, built.env.cfg), **inputs)
+        plan = plan_of(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    wide = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert sum("hashpartitioning(product_id" in x for x in wide) <= 4
+    assert len([x for x in wide if "hashpartitioning(customer_id" in x]) == 2
 
 
 def test_only_the_calendar_is_hinted_for_broadcast(built):
