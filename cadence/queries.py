@@ -17,7 +17,7 @@ from cadence.catalog import TABLES_BY_NAME
 from cadence.config import DEFAULT_CALENDAR_END, DEFAULT_CALENDAR_START, Config, default_config
 from cadence.functions import calendar_columns, columns as fn
 from cadence.operators import kpi, quality
-from cadence.operators.marts import calendar
+from cadence.operators.marts import calendar, order_calendar
 from cadence.plans.build import build
 from cadence.plans.datasets import Workspace
 from cadence.sources import fixtures, ingest, reconcile, store
@@ -58,7 +58,6 @@ DATASET_QUERIES = (
     "dim_stores",
     "dim_products",
     "dim_staffs",
-    "dim_date",
     "fct_order_items",
     "fct_orders",
     "fct_stocks",
@@ -68,6 +67,11 @@ DATASET_QUERIES = (
 )
 
 
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar generated from the first to the last order's year."""
+    return order_calendar(workspace(spark, sf_dir)["stg_orders"])
+
+
 def _sales_kpi(fn: Callable[[DataFrame], DataFrame]) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(workspace(spark, sf_dir)["rpt_sales"])
@@ -118,6 +122,12 @@ KPI_QUERIES: dict[str, QueryFn] = {
     "kpi_revenue_store_month_filtered": _sales_kpi(
         lambda s: kpi.revenue_store_month(s, {"store_state": "EUROPE"})
     ),
+    "kpi_revenue_state_of_brands": _sales_kpi(
+        lambda s: kpi.revenue_state(s, {"brand_name": ["Brand#11", "Brand#22"]})
+    ),
+    "kpi_stock_store_out_of_stock": _stocks_kpi(
+        lambda s: kpi.stock_store(s, {"is_out_of_stock": True})
+    ),
 }
 
 
@@ -244,6 +254,58 @@ def recon_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconcile(spark, src, cfg, results)
 
 
+def load_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the tables asked for are loaded, under their destination names."""
+    cfg = run_config(spark, "load_selected")
+    ingest.ingest(spark, raw_tables(spark, sf_dir), cfg, only=["Stocks", "ORDERS", "nope"])
+    return ingest.read_load_log(spark, cfg).select(
+        "table_name", "source_table", "load_mode", "emitted_rows"
+    )
+
+
+def load_merge_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge on a key with NULL parts, loaded three times, keeps one
+    row per key: positions without stock have no store here."""
+    cfg = run_config(spark, "load_merge_null_key")
+    stocks = raw_tables(spark, sf_dir)["stocks"]
+    batch = stocks.withColumn("store_id", F.when(F.col("quantity") > 0, F.col("store_id")))
+    table_dir = cfg.dataset_dir("raw", "nullable_stocks")
+    for run in ("run-1", "run-2", "run-3"):
+        ingest.merge_load(batch, table_dir, ["store_id", "product_id"], run)
+    return store.read_current(spark, table_dir).drop(*ingest.TRACE)
+
+
+def load_merge_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch holds each order twice, with an older sequence
+    number and another status: nothing stored changes, and what the load
+    emitted is what the batch held."""
+    cfg = run_config(spark, "load_merge_late_rows")
+    columns = ["order_id", "customer_id", "order_status"]
+    orders = raw_tables(spark, sf_dir)["orders"].select(*columns)
+    table_dir = cfg.dataset_dir("raw", "late_orders")
+    _, first = ingest.merge_load(orders.withColumn("_seq", F.lit(2)), table_dir, ["order_id"],
+                                 "day-1")
+    older = orders.withColumn("order_status", F.lit(9).cast("bigint"))
+    older = older.withColumn("_seq", F.lit(1))
+    _, late = ingest.merge_load(older.unionByName(older), table_dir, ["order_id"], "day-2")
+    counts = {"first_emitted": F.lit(first).cast("bigint"),
+              "late_emitted": F.lit(late).cast("bigint")}
+    return store.read_current(spark, table_dir).select(*columns, "_seq").withColumns(counts)
+
+
+def recon_checks_diverged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I9-I12 where counts differ: customers are loaded with those of ASIA
+    sent twice, then those of EUROPE are deleted at the source; the other
+    tables were not loaded at all."""
+    cfg = run_config(spark, "recon_checks_diverged")
+    src = dict(raw_tables(spark, sf_dir))
+    customers = src["customers"]
+    sent = customers.unionByName(customers.where("state = 'ASIA'"))
+    results = ingest.ingest(spark, {**src, "customers": sent}, cfg, only=["customers"])
+    now = {**src, "customers": customers.where("state <> 'EUROPE'")}
+    return reconcile.reconcile(spark, now, cfg, results)
+
+
 # --- build and suite (I15, D11) -----------------------------------------------------
 
 
@@ -266,6 +328,59 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report_frame(spark, quality.run_suite(result.workspace))
 
 
+def dq_report_singular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite restricted to the business tests (``test_type:singular``)."""
+    generic, singular = quality.select_kinds(["test_type:singular"])
+    return quality.evaluate(workspace(spark, sf_dir), generic, singular)
+
+
+def build_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dataset as the view or table it is declared to be."""
+    cfg, raw = _ingested(spark, sf_dir, "build_materialized")
+    return build(spark, raw, cfg, run_tests=False).report(spark).drop("seconds")
+
+
+def build_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I16: one layer and one dataset rebuilt, the rest read or resolved."""
+    cfg, raw = _ingested(spark, sf_dir, "build_selected")
+    result = build(spark, raw, cfg, select=["reporting", "dim_stores"], run_tests=False)
+    return result.report(spark).drop("seconds")
+
+
+def build_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CI run reads the same raw layer and writes under its own prefix."""
+    cfg, _ = _ingested(spark, sf_dir, "build_ci")
+    ci = cfg.for_ci()
+    build(spark, ingest.LoadedRaw(spark, ci), ci, select=["dim_stores"])
+    written = store.read_current(spark, ci.dataset_dir("marts", "dim_stores"))
+    return written.withColumn("layer_folder", F.lit(ci.layer_dir("marts").rpartition("/")[2]))
+
+
+def build_report_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zip code that is no number breaks dim_customers; its report row
+    says error, what reads it is skipped, everything else is built."""
+    cfg = run_config(spark, "build_report_error").with_fixture_calendar()
+    raw = dict(raw_tables(spark, sf_dir))
+    bad = F.when(F.col("state") == "ASIA", "oops").otherwise(F.col("zip_code").cast("string"))
+    raw["customers"] = raw["customers"].withColumn("zip_code", bad)
+    chosen = ["dim_customers", "dim_stores", "dim_products", "dim_staffs", "dim_date",
+              "fct_orders", "fct_stocks", "rpt_orders", "rpt_stocks"]
+    return build(spark, raw, cfg, select=chosen, run_tests=False).report(spark).drop("seconds")
+
+
+def gate_two_input_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line revenue off by 1.00 fails the test that reads both facts,
+    so both fail and both reports that read them are skipped."""
+    cfg = run_config(spark, "gate_two_input_test").with_fixture_calendar()
+    off = (F.col("revenue") + 1).cast("decimal(18,2)")
+    result = build(
+        spark, raw_tables(spark, sf_dir), cfg, select=["marts", "reporting"], suite=[],
+        singular=["assert_order_revenue_reconciliation"],
+        adjust={"fct_order_items": lambda df: df.withColumn("revenue", off)},
+    )
+    return result.report(spark).drop("seconds")
+
+
 # --- single operators on the whole fixture build (D1-D9) -----------------------------
 
 
@@ -287,9 +402,9 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D4 on the order status codes."""
+    """Order status codes of orders that are no longer open."""
     return quality.accepted_values(
-        workspace(spark, sf_dir)["fct_orders"], "order_status", quality.STATUSES
+        workspace(spark, sf_dir)["fct_orders"], "order_status", (1, 2)
     )
 
 
@@ -308,13 +423,23 @@ def dq_shipped_after_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.shipped_before_ordered(workspace(spark, sf_dir)["fct_orders"])
 
 
-def dq_revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _over_billed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The facts, with lines of 45 or more pieces billed 1.00 too much."""
     ws = workspace(spark, sf_dir)
-    return quality.revenue_reconciliation(ws["fct_orders"], ws["fct_order_items"])
+    over = F.when(F.col("quantity") >= 45, 1).otherwise(0)
+    lines = ws["fct_order_items"]
+    return ws["fct_orders"], lines.withColumn(
+        "revenue", (F.col("revenue") + over).cast("decimal(18,2)"))
+
+
+def dq_revenue_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 on seeded violations."""
+    return quality.revenue_reconciliation(*_over_billed(spark, sf_dir))
 
 
 def dq_revenue_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.revenue_formula(workspace(spark, sf_dir)["fct_order_items"])
+    """D9 on seeded violations."""
+    return quality.revenue_formula(_over_billed(spark, sf_dir)[1])
 
 
 # --- scalar functions (F1-F24) ---------------------------------------------------
@@ -379,17 +504,31 @@ def scalar_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("order_id", "item_id", "quantity", "list_price", "discount", "revenue")
 
 
+def scalar_revenue_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of three decimals and rates of five, as text at the
+    source, are rounded once, after the product."""
+    line = TestData(spark, sf_dir).table("lineitem")
+    cents = F.lpad((F.col("l_partkey") * 7 % 1000).cast("string"), 3, "0")
+    price = F.concat(F.floor("l_extendedprice").cast("string"), F.lit("."), cents)
+    rate = F.concat(F.lit("0."), F.lpad((F.col("l_suppkey") * 7919 % 100000).cast("string"), 5, "0"))
+    typed = line.select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"),
+        fn.to_long("l_quantity").alias("quantity"), fn.to_price(price).alias("list_price"),
+        fn.to_rate(rate).alias("discount"),
+    )
+    return typed.select("order_id", "line_number", fn.line_revenue().alias("revenue"))
+
+
 # SQL a dashboard sends to the reporting tables, run unchanged by spark.sql
 # over the registered views (and by DuckDB in the oracle).
 DASHBOARD_SQL = """
-select r.order_year_month, r.store_state, s.brand_name,
+select r.order_year_month, r.store_state, s.brand_name, s.order_status,
        cast(sum(s.revenue) as decimal(38,2)) as revenue,
        cast(count(distinct s.order_id) as bigint) as n_orders,
        cast(sum(case when r.is_late then 1 else 0 end) as bigint) as n_late_lines
 from rpt_sales s
 join rpt_orders r on s.order_id = r.order_id
-where s.order_status = 4
-group by r.order_year_month, r.store_state, s.brand_name
+group by r.order_year_month, r.store_state, s.brand_name, s.order_status
 """
 
 
@@ -428,6 +567,18 @@ OPERATOR_QUERIES: dict[str, QueryFn] = {
     "scalar_calendar": scalar_calendar,
     "scalar_revenue": scalar_revenue,
     "sql_dashboard": sql_dashboard,
+    "load_selected": load_selected,
+    "load_merge_null_key": load_merge_null_key,
+    "load_merge_late_rows": load_merge_late_rows,
+    "recon_checks_diverged": recon_checks_diverged,
+    "dq_report_singular": dq_report_singular,
+    "build_materialized": build_materialized,
+    "build_selected": build_selected,
+    "build_ci": build_ci,
+    "build_report_error": build_report_error,
+    "gate_two_input_test": gate_two_input_test,
+    "scalar_revenue_exact": scalar_revenue_exact,
+    "dim_date": dim_date,
 }
 
 

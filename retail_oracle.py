@@ -3,8 +3,8 @@
 Each query is one statement over the driver's tables (region, nation,
 customer, supplier, part, orders, lineitem). Shared steps are written once
 as named CTEs; ``statement`` prefixes a final SELECT with the CTEs it needs,
-in dependency order. Written independently of the Spark code: same rules,
-different engine.
+in dependency order. Nothing here is imported from the Spark package: rules,
+declared tests and the dataset graph are written down again.
 """
 
 from __future__ import annotations
@@ -15,6 +15,13 @@ _CATEGORY = (
     "cast(case p_type when 'ECONOMY' then 1 when 'LARGE' then 2 when 'MEDIUM' then 3 "
     "when 'PROMO' then 4 when 'SMALL' then 5 when 'STANDARD' then 6 end as bigint)"
 )
+# Line revenue: exact product of quantity, price and rate, rounded once.
+def _revenue(prefix: str = "") -> str:
+    q, p, d = (prefix + c for c in ("quantity", "list_price", "discount"))
+    return (f"cast(round(cast(cast({q} as decimal(20,0)) * {p} as decimal(38,6)) "
+            f"* cast(cast(1 as decimal(1,0)) - {d} as decimal(20,8)), 2) as decimal(18,2))")
+
+
 _SURROGATE_NULL = "'_dbt_utils_surrogate_key_null_'"
 
 
@@ -42,7 +49,7 @@ CTES["raw_products"] = f"""
 select p_partkey as product_id, p_name as product_name,
        cast(substr(p_brand, 7) as bigint) as brand_id, {_CATEGORY} as category_id,
        cast(2016 + p_size % 4 as bigint) as model_year,
-       cast(p_retailprice as decimal(18,2)) as list_price
+       cast(p_retailprice as decimal(16,6)) as list_price
 from part"""
 CTES["raw_stores"] = """
 select cast(n_nationkey as bigint) as store_id, n_name as store_name,
@@ -77,8 +84,8 @@ select l_orderkey as order_id,
        cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey,
             l_suppkey, l_extendedprice, l_discount, l_quantity, l_shipdate) as bigint) as item_id,
        l_partkey as product_id, cast(l_quantity as bigint) as quantity,
-       cast(l_extendedprice as decimal(18,2)) as list_price,
-       cast(l_discount as decimal(9,4)) as discount
+       cast(l_extendedprice as decimal(16,6)) as list_price,
+       cast(l_discount as decimal(9,8)) as discount
 from lineitem"""
 CTES["order_line_summary"] = """
 select l_orderkey as order_key, max(l_shipdate) as last_ship, min(l_suppkey) as first_supplier
@@ -114,7 +121,7 @@ from raw_customers"""
 CTES["stg_order_items"] = """
 select cast(order_id as bigint) as order_id, cast(item_id as bigint) as item_id,
        cast(product_id as bigint) as product_id, cast(quantity as bigint) as quantity,
-       cast(list_price as decimal(18,2)) as list_price, cast(discount as decimal(9,4)) as discount
+       cast(list_price as decimal(16,6)) as list_price, cast(discount as decimal(9,8)) as discount
 from raw_order_items"""
 CTES["stg_orders"] = """
 select cast(order_id as bigint) as order_id, cast(customer_id as bigint) as customer_id,
@@ -127,7 +134,7 @@ from raw_orders"""
 CTES["stg_products"] = """
 select cast(product_id as bigint) as product_id, product_name,
        cast(brand_id as bigint) as brand_id, cast(category_id as bigint) as category_id,
-       cast(model_year as bigint) as model_year, cast(list_price as decimal(18,2)) as list_price
+       cast(model_year as bigint) as model_year, cast(list_price as decimal(16,6)) as list_price
 from raw_products"""
 CTES["stg_staffs"] = """
 select cast(staff_id as bigint) as staff_id, first_name, last_name,
@@ -146,14 +153,14 @@ select cast(store_id as bigint) as store_id, store_name,
 from raw_stores"""
 
 # --- intermediate, dimensions, facts -----------------------------------------
-CTES["order_lines"] = """
-select *, cast(round(quantity * list_price * (1 - discount), 2) as decimal(18,2)) as revenue
+CTES["order_lines"] = f"""
+select *, {_revenue()} as revenue
 from stg_order_items"""
-CTES["int_order_items_enriched"] = """
+CTES["int_order_items_enriched"] = f"""
 select oi.order_id, oi.item_id, oi.product_id, p.brand_id, p.category_id,
        p.product_name, p.model_year, b.brand_name, c.category_name,
        oi.quantity, oi.list_price, oi.discount,
-       cast(round(oi.quantity * oi.list_price * (1 - oi.discount), 2) as decimal(18,2)) as revenue
+       {_revenue('oi.')} as revenue
 from stg_order_items oi
 left join stg_products p on oi.product_id = p.product_id
 left join stg_brands b on p.brand_id = b.brand_id
@@ -224,7 +231,7 @@ from stg_orders o left join lines_per_order a on o.order_id = a.order_id"""
 CTES["fct_stocks"] = f"""
 select {_skey('s.store_id', 's.product_id')} as stock_key,
        s.store_id, s.product_id, s.quantity,
-       cast(round(s.quantity * p.list_price, 2) as decimal(18,2)) as stock_value,
+       cast(round(cast(s.quantity as decimal(20,0)) * p.list_price, 2) as decimal(18,2)) as stock_value,
        s.quantity = 0 as is_out_of_stock
 from stg_stocks s left join stg_products p on s.product_id = p.product_id"""
 
@@ -302,6 +309,14 @@ def statement(final_select: str, materialized: bool = False) -> str:
 
 
 def dataset_sql(name: str) -> str:
+    if name == "dim_date":
+        return statement(f"""
+            select date_day, {_calendar_cols('date_day')}
+            from (select cast(unnest(generate_series(
+                      date_trunc('year', min(order_date)),
+                      date_trunc('year', max(order_date)) + interval 1 year - interval 1 day,
+                      interval 1 day)) as date) as date_day
+                  from stg_orders) spine""")
     return statement(f"select * from {name}")
 
 
@@ -422,6 +437,14 @@ KPI_SQL: dict[str, str] = {
         select store_id, store_name, order_year_month, {_REV}, {_QTY}, {_LINES}
         from rpt_sales where store_state = 'EUROPE'
         group by store_id, store_name, order_year_month"""),
+    "kpi_revenue_state_of_brands": statement(f"""
+        select store_state, {_REV}, {_ORDERS}, {_LINES}
+        from rpt_sales where brand_name in ('Brand#11', 'Brand#22') group by store_state"""),
+    "kpi_stock_store_out_of_stock": statement("""
+        select store_id, store_name, cast(count(*) as bigint) as n_products,
+               cast(sum(quantity) as bigint) as total_quantity,
+               cast(sum(stock_value) as decimal(38,2)) as stock_value
+        from rpt_stocks where is_out_of_stock group by store_id, store_name"""),
 }
 
 DATASET_NAMES = (
@@ -486,6 +509,42 @@ LOAD_SQL: dict[str, str] = {
                    as load_mode,
                c.n as emitted_rows
         from ({_COUNTS}) c join ({_LABELS}) l on c.table_name = l.table_name"""),
+    "load_selected": statement(f"""
+        select c.table_name, replace(c.table_name, 'public_', '') as source_table,
+               case when l.load_strategy like 'merge%' then 'merge' else 'replace' end
+                   as load_mode,
+               c.n as emitted_rows
+        from ({_COUNTS}) c join ({_LABELS}) l on c.table_name = l.table_name
+        where c.table_name in ('public_orders', 'public_stocks')"""),
+    "load_merge_null_key": statement("""
+        select distinct case when quantity > 0 then store_id end as store_id, product_id,
+               case when quantity > 0 then quantity else 0 end as quantity
+        from raw_stocks"""),
+    "load_merge_late_rows": statement("""
+        select order_id, customer_id, order_status,
+               cast(2 as integer) as _seq,
+               (select count(*) from raw_orders) as first_emitted,
+               2 * (select count(*) from raw_orders) as late_emitted
+        from raw_orders"""),
+    "recon_checks_diverged": statement(f"""
+        select p.table_name, check_name, reference_rows, emitted_rows,
+               reference_rows - emitted_rows as delta,
+               coalesce(reference_rows = emitted_rows, false) as passed,
+               'WARN' as severity, l.load_strategy
+        from (select c.table_name, k.check_name,
+                     case when k.check_name like 'source%' then
+                         case when c.table_name = 'public_customers' then v.at_source else c.n end
+                     when c.table_name = 'public_customers' then v.stored end as reference_rows,
+                     case when c.table_name = 'public_customers' then v.emitted end
+                         as emitted_rows
+              from ({_COUNTS}) c
+              cross join (select 'source_row_count_matches_load' as check_name
+                          union all select 'stored_row_count_matches_load') k
+              cross join (select count(*) as stored,
+                                 count(*) filter (where state <> 'EUROPE') as at_source,
+                                 count(*) + count(*) filter (where state = 'ASIA') as emitted
+                          from raw_customers) v) p
+        join ({_LABELS}) l on p.table_name = l.table_name"""),
     "recon_checks": statement(f"""
         select c.table_name, k.check_name, c.n as reference_rows, c.n as emitted_rows,
                cast(0 as bigint) as delta, true as passed, 'WARN' as severity, l.load_strategy
@@ -509,98 +568,163 @@ DQ_SQL: dict[str, str] = {
         group by order_date"""),
     "dq_accepted_values": statement("""
         select order_status, count(*) as n_records from fct_orders
-        where order_status is not null and order_status not in (1, 2, 3, 4)
+        where order_status is not null and order_status not in (1, 2)
         group by order_status"""),
     "dq_accepted_range": statement("""
         select * from fct_orders where shipping_days is not null and not (shipping_days >= 0)"""),
     "dq_unique_combination": statement("""
         select l_orderkey, l_linenumber, count(*) as n_records from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1"""),
-    "dq_shipped_after_order": statement("""
-        select order_id, order_date, shipped_date from fct_orders
-        where shipped_date is not null and shipped_date < order_date"""),
+    # Straight from the source tables: a line's last ship date before the order's day.
+    "dq_shipped_after_order": """
+        select o_orderkey as order_id, cast(o_orderdate as date) as order_date,
+               cast(max(l_shipdate) as date) as shipped_date
+        from orders join lineitem on l_orderkey = o_orderkey
+        where o_orderstatus is distinct from 'P'
+        group by o_orderkey, o_orderdate
+        having cast(max(l_shipdate) as date) < cast(o_orderdate as date)""",
+    # Lines of 45 or more pieces are billed 1.00 too much.
     "dq_revenue_reconciliation": statement("""
-        select o.order_id, o.total_revenue, l.revenue_from_lines
-        from fct_orders o
-        join (select order_id, cast(sum(revenue) as decimal(38,2)) as revenue_from_lines
-              from fct_order_items group by order_id) l on o.order_id = l.order_id
-        where abs(o.total_revenue - l.revenue_from_lines) > 0.01"""),
+        select order_id, total_revenue,
+               cast(total_revenue + n_over as decimal(38,2)) as revenue_from_lines
+        from fct_orders
+        join (select l_orderkey, count(*) filter (where l_quantity >= 45) as n_over
+              from lineitem group by l_orderkey) over_billed on l_orderkey = order_id
+        where n_over > 0"""),
     "dq_revenue_formula": statement("""
-        select order_id, item_id, revenue,
-               cast(round(quantity * list_price * (1 - discount), 2) as decimal(18,2))
-                   as expected_revenue
-        from fct_order_items
-        where revenue <> cast(round(quantity * list_price * (1 - discount), 2) as decimal(18,2))"""),
+        select order_id, item_id, cast(revenue + 1 as decimal(18,2)) as revenue,
+               revenue as expected_revenue
+        from order_lines where quantity >= 45"""),
 }
 
 
-def _test_count_sql(e) -> str:
-    """Number of rows the test query of ``e`` returns, as SQL."""
-    ds, cols = e.dataset, e.columns
-    col = cols[0]
-    if e.kind == "not_null":
-        return f"select count(*) from {ds} where {col} is null"
-    if e.kind == "unique":
-        return (f"select count(*) from (select {col} from {ds} where {col} is not null "
-                f"group by {col} having count(*) > 1) v")
-    if e.kind == "unique_combination":
-        keys = ", ".join(cols)
-        return f"select count(*) from (select {keys} from {ds} group by {keys} having count(*) > 1) v"
-    if e.kind == "relationships":
-        to, fld = e.params["to"], e.params["field"]
-        return (f"select count(*) from {ds} c where c.{col} is not null and not exists "
-                f"(select 1 from {to} p where p.{fld} = c.{col})")
-    if e.kind == "accepted_values":
-        values = ", ".join(str(v) for v in e.params["values"])
-        return (f"select count(distinct {col}) from {ds} where {col} is not null "
-                f"and {col} not in ({values})")
-    if e.kind == "accepted_range":
-        lo, hi, inc = e.params["min"], e.params["max"], e.params["inclusive"]
-        conds = []
-        if lo is not None:
-            conds.append(f"{col} {'>=' if inc else '>'} {lo}")
-        if hi is not None:
-            conds.append(f"{col} {'<=' if inc else '<'} {hi}")
-        ok = " and ".join(conds) or "true"
-        return f"select count(*) from {ds} where {col} is not null and not ({ok})"
-    raise ValueError(e.kind)
-
-
-_SINGULAR_COUNT = {
-    "assert_shipped_after_order_date": ("fct_orders", """
-        select count(*) from fct_orders
-        where shipped_date is not null and shipped_date < order_date"""),
-    "assert_order_revenue_reconciliation": ("fct_orders", """
+# The declared tests. A line per dataset and kind: nn not null,
+# u unique and not null, uq unique, uc unique combination, in accepted values,
+# fk column>dataset.column, rng column[bounds] with ( ) open and [ ] closed ends.
+_DECLARED = """
+stg_customers u customer_id
+stg_orders u order_id
+stg_orders fk customer_id>stg_customers.customer_id store_id>stg_stores.store_id staff_id>stg_staffs.staff_id
+stg_orders nn order_status order_date
+stg_orders in order_status
+stg_order_items uc order_id,item_id
+stg_order_items nn order_id item_id product_id quantity
+stg_order_items fk order_id>stg_orders.order_id product_id>stg_products.product_id
+stg_order_items rng quantity(0, list_price[0, discount[0,1]
+stg_staffs u staff_id
+stg_staffs fk store_id>stg_stores.store_id manager_id>stg_staffs.staff_id
+stg_stores u store_id
+stg_categories u category_id
+stg_categories nn category_name
+stg_products u product_id
+stg_products fk brand_id>stg_brands.brand_id category_id>stg_categories.category_id
+stg_products rng list_price[0,
+stg_stocks uc store_id,product_id
+stg_stocks nn store_id product_id
+stg_stocks fk store_id>stg_stores.store_id product_id>stg_products.product_id
+stg_stocks rng quantity[0,
+stg_brands u brand_id
+stg_brands nn brand_name
+int_order_items_enriched uc order_id,item_id
+int_order_items_enriched nn order_id item_id product_id quantity revenue
+int_order_items_enriched fk product_id>stg_products.product_id
+int_order_items_enriched rng quantity(0, list_price[0, discount[0,1] revenue[0,
+dim_products u product_id
+dim_stores u store_id
+dim_customers u customer_id
+dim_staffs u staff_id
+dim_staffs fk store_id>dim_stores.store_id
+dim_date u date_day
+fct_order_items uc order_id,item_id
+fct_order_items u order_item_key
+fct_order_items nn order_id item_id product_id quantity revenue
+fct_order_items fk product_id>dim_products.product_id customer_id>dim_customers.customer_id store_id>dim_stores.store_id staff_id>dim_staffs.staff_id order_date>dim_date.date_day
+fct_order_items rng quantity(0, discount[0,1] revenue[0,
+fct_orders u order_id
+fct_orders fk customer_id>dim_customers.customer_id store_id>dim_stores.store_id
+fct_orders in order_status
+fct_orders rng total_revenue[0,
+fct_stocks uc store_id,product_id
+fct_stocks u stock_key
+fct_stocks nn store_id product_id
+fct_stocks fk store_id>dim_stores.store_id product_id>dim_products.product_id
+fct_stocks rng quantity[0,
+rpt_sales uc order_id,item_id
+rpt_sales u order_item_key
+rpt_sales nn order_id item_id product_id quantity revenue
+rpt_sales rng quantity(0, discount[0,1] revenue[0,
+rpt_orders u order_id
+rpt_orders rng total_revenue[0,
+rpt_stocks uc store_id,product_id
+rpt_stocks u stock_key
+rpt_stocks nn store_id product_id
+rpt_stocks rng quantity[0,
+"""
+
+
+def _one_test(ds: str, kind: str, spec: str) -> list[tuple[str, str, str, str]]:
+    """(dataset, kind, columns, violation count) of the tests one entry stands for."""
+    if kind == "nn":
+        return [(ds, "not_null", spec, f"select count(*) from {ds} where {spec} is null")]
+    if kind == "u":
+        twice = (f"select count(*) from (select 1 from {ds} where {spec} is not null "
+                 f"group by {spec} having count(*) > 1) v")
+        return [(ds, "unique", spec, twice), *_one_test(ds, "nn", spec)]
+    if kind == "uc":
+        return [(ds, "unique_combination", spec,
+                 f"select count(*) from (select 1 from {ds} group by {spec} having count(*) > 1) v")]
+    if kind == "in":
+        return [(ds, "accepted_values", spec,
+                 f"select count(distinct {spec}) from {ds} where {spec} not in (1, 2, 3, 4)")]
+    if kind == "fk":
+        col, to = spec.split(">")
+        parent, field = to.split(".")
+        return [(ds, "relationships", col,
+                 f"select count(*) from {ds} c where c.{col} is not null and not exists "
+                 f"(select 1 from {parent} p where p.{field} = c.{col})")]
+    strict = "(" in spec
+    col, bounds = re.split(r"[(\[]", spec)
+    low, high = bounds.rstrip(")]").split(",")
+    bad = f"{col} {'<=' if strict else '<'} {low}" + (f" or {col} > {high}" if high else "")
+    return [(ds, "accepted_range", col, f"select count(*) from {ds} where {bad}")]
+
+
+_GENERIC = [t for line in _DECLARED.strip().split("\n")
+            for ds, kind, *specs in [line.split()] for spec in specs
+            for t in _one_test(ds, kind, spec)]
+# Business tests: the datasets they read, and their violation count.
+_BUSINESS = {
+    "assert_shipped_after_order_date": (("fct_orders",), f"""
+        select count(*) from ({DQ_SQL['dq_shipped_after_order']}) v"""),
+    "assert_order_revenue_reconciliation": (("fct_orders", "fct_order_items"), """
         select count(*) from fct_orders o
         join (select order_id, sum(revenue) as r from fct_order_items group by order_id) l
           on o.order_id = l.order_id
         where abs(o.total_revenue - l.r) > 0.01"""),
-    "assert_revenue_formula": ("fct_order_items", """
-        select count(*) from fct_order_items
-        where revenue <> cast(round(quantity * list_price * (1 - discount), 2) as decimal(18,2))"""),
+    "assert_revenue_formula": (("fct_order_items",), """
+        select count(*) from fct_order_items f join order_lines l
+          on f.order_id = l.order_id and f.item_id = l.item_id
+        where f.revenue <> l.revenue"""),
 }
 
 
-def _test_rows(homes: dict[str, str] | None = None) -> list[str]:
+def _test_rows(shared: bool = False) -> list[str]:
     """One SELECT per test: dataset, test_name, test_type, column_name,
-    severity, n_violations. ``homes`` moves a singular test to another
-    dataset (the one the build runs it after)."""
-    from cadence.operators.quality import DECLARED
-
-    rows = []
-    for e in DECLARED:
-        rows.append(
-            f"select '{e.dataset}' as dataset, '{e.name}' as test_name, '{e.kind}' as test_type, "
-            f"'{e.column}' as column_name, 'error' as severity, "
-            f"cast(({_test_count_sql(e)}) as bigint) as n_violations"
-        )
-    for name, (ds, sql) in _SINGULAR_COUNT.items():
-        ds = (homes or {}).get(name, ds)
-        rows.append(
+    severity, n_violations. ``shared`` lists a business test under every
+    dataset that it reads, else under the first."""
+    rows = [
+        f"select '{ds}' as dataset, '{kind}_{ds}_{cols.replace(',', '_')}' as test_name, "
+        f"'{kind}' as test_type, '{cols}' as column_name, 'error' as severity, "
+        f"cast(({count}) as bigint) as n_violations"
+        for ds, kind, cols, count in _GENERIC
+    ]
+    for name, (inputs, count) in _BUSINESS.items():
+        rows += [
             f"select '{ds}' as dataset, '{name}' as test_name, 'singular' as test_type, "
             f"cast(null as varchar) as column_name, 'error' as severity, "
-            f"cast(({sql.strip()}) as bigint) as n_violations"
-        )
+            f"cast(({count.strip()}) as bigint) as n_violations"
+            for ds in (inputs if shared else inputs[:1])
+        ]
     return rows
 
 
@@ -610,6 +734,11 @@ def dq_report_sql() -> str:
     return statement(f"select *, n_violations = 0 as passed from ({body}) tests", True)
 
 
+def dq_report_singular_sql() -> str:
+    body = "\nunion all\n".join(r for r in _test_rows() if "'singular'" in r)
+    return statement(f"select *, n_violations = 0 as passed from ({body}) tests", True)
+
+
 # --- scalar functions -----------------------------------------------------------------
 
 SCALAR_SQL: dict[str, str] = {
@@ -636,51 +765,78 @@ SCALAR_SQL: dict[str, str] = {
     "scalar_calendar": statement(f"""
         select order_id, order_date as date_day, {_calendar_cols('order_date')}
         from stg_orders"""),
+    "scalar_revenue_exact": """
+        select l_orderkey as order_id, l_linenumber as line_number,
+               cast(round(cast(cast(cast(l_quantity as bigint) as decimal(20,0))
+                               * cast(price as decimal(16,6)) as decimal(38,6))
+                          * cast(cast(1 as decimal(1,0)) - cast(rate as decimal(9,8))
+                                 as decimal(20,8)), 2)
+                    as decimal(18,2)) as revenue
+        from (select *, cast(cast(floor(l_extendedprice) as bigint) as varchar) || '.'
+                        || lpad(cast(l_partkey * 7 % 1000 as varchar), 3, '0') as price,
+                     '0.' || lpad(cast(l_suppkey * 7919 % 100000 as varchar), 5, '0') as rate
+              from lineitem) priced""",
     "scalar_revenue": statement("""
         select order_id, item_id, quantity, list_price, discount, revenue from order_lines"""),
 }
 
 
-def all_sql_full() -> dict[str, str]:
-    out = all_sql()
-    out.update(LOAD_SQL)
-    out.update(DQ_SQL)
-    out.update(SCALAR_SQL)
-    out["dq_report"] = dq_report_sql()
-    out["build_report"] = build_report_sql()
-    from cadence.queries import DASHBOARD_SQL
-
-    out["sql_dashboard"] = statement(DASHBOARD_SQL, True)
-    return out
+# The dashboard's query, as registered.
+DASHBOARD = """
+select r.order_year_month, r.store_state, s.brand_name, s.order_status,
+       cast(sum(s.revenue) as decimal(38,2)) as revenue,
+       cast(count(distinct s.order_id) as bigint) as n_orders,
+       cast(sum(case when r.is_late then 1 else 0 end) as bigint) as n_late_lines
+from rpt_sales s
+join rpt_orders r on s.order_id = r.order_id
+group by r.order_year_month, r.store_state, s.brand_name, s.order_status"""
+
+# The dataset graph: name, layer, table or view, what it reads.
+_GRAPH = [
+    *((f"stg_{t}", "staging", "view", ()) for t in _TABLES),
+    ("order_lines", "intermediate", "view", ("stg_order_items",)),
+    ("int_order_items_enriched", "intermediate", "view",
+     ("order_lines", "stg_products", "stg_brands", "stg_categories")),
+    ("dim_customers", "marts", "table", ("stg_customers",)),
+    ("dim_stores", "marts", "table", ("stg_stores",)),
+    ("dim_products", "marts", "table", ("stg_products", "stg_brands", "stg_categories")),
+    ("dim_staffs", "marts", "table", ("stg_staffs",)),
+    ("dim_date", "marts", "table", ()),
+    ("fct_order_items", "marts", "table", ("order_lines", "stg_orders")),
+    ("fct_orders", "marts", "table", ("stg_orders", "order_lines")),
+    ("fct_stocks", "marts", "table", ("stg_stocks", "stg_products")),
+    ("rpt_sales", "reporting", "table", ("fct_order_items", "dim_products", "dim_stores",
+                                         "dim_customers", "dim_staffs", "dim_date")),
+    ("rpt_orders", "reporting", "table", ("fct_orders", "dim_stores", "dim_customers",
+                                          "dim_staffs", "dim_date")),
+    ("rpt_stocks", "reporting", "table", ("fct_stocks", "dim_stores", "dim_products")),
+]
+_READS = {name: deps for name, _, _, deps in _GRAPH}
+
+
+def _above(name: str) -> set[str]:
+    return set(_READS[name]).union(*(_above(d) for d in _READS[name]))
+
+
+def _meta(names: set[str] | None = None) -> str:
+    return " union all ".join(
+        f"select '{n}' as dataset, '{layer}' as layer, '{kind}' as materialized"
+        for n, layer, kind, _ in _GRAPH if names is None or n in names)
+
+
+def _row_counts(names: set[str] | None = None) -> str:
+    return " union all ".join(
+        f"select '{n}' as dataset, count(*) as n from {n}"
+        for n, _, kind, _ in _GRAPH if kind == "table" and (names is None or n in names))
 
 
 def build_report_sql() -> str:
-    """The gated build's report: a dataset fails when one of its tests finds
-    violations, and is skipped (no tests, no rows) when an ancestor failed."""
-    from cadence.plans.build import _singular_home
-    from cadence.plans.datasets import REGISTRY, topological_order
-
-    order = topological_order()
-    homes = {name: home for home, names in _singular_home(order).items() for name in names}
-    tests = "\nunion all\n".join(_test_rows(homes))
-
-    def ancestors(name: str) -> set[str]:
-        out, todo = set(), list(REGISTRY[name].deps)
-        while todo:
-            dep = todo.pop()
-            if dep in REGISTRY and dep not in out:
-                out.add(dep)
-                todo.extend(REGISTRY[dep].deps)
-        return out
-
-    meta = " union all ".join(
-        f"select '{n}' as dataset, '{REGISTRY[n].layer}' as layer, "
-        f"'{REGISTRY[n].materialized}' as materialized" for n in order)
-    pairs = [(n, a) for n in order for a in sorted(ancestors(n))]
-    graph = " union all ".join(f"select '{n}' as dataset, '{a}' as ancestor" for n, a in pairs)
-    counts = " union all ".join(
-        f"select '{n}' as dataset, count(*) as n from {n}"
-        for n in order if REGISTRY[n].materialized == "table")
+    """The gated build's report: a dataset fails when one of the tests that
+    read it finds violations, and is skipped (no tests, no rows) when an
+    ancestor failed."""
+    tests = "\nunion all\n".join(_test_rows(shared=True))
+    graph = " union all ".join(f"select '{n}' as dataset, '{a}' as ancestor"
+                               for n in _READS for a in sorted(_above(n)))
     final = f"""
         select m.dataset, m.layer, m.materialized,
                case when s.dataset is not null then 'skipped'
@@ -690,7 +846,7 @@ def build_report_sql() -> str:
                cast(case when s.dataset is not null then 0 else coalesce(p.n_failed, 0) end
                     as bigint) as n_failed,
                case when s.dataset is null then c.n end as n_rows
-        from ({meta}) m
+        from ({_meta()}) m
         left join (select dataset, count(*) as n_tests,
                           count(*) filter (where n_violations > 0) as n_failed
                    from ({tests}) t group by dataset) p on m.dataset = p.dataset
@@ -698,5 +854,54 @@ def build_report_sql() -> str:
                    from ({graph}) g
                    join (select dataset from ({tests}) t2 where n_violations > 0) f
                      on g.ancestor = f.dataset) s on m.dataset = s.dataset
-        left join ({counts}) c on m.dataset = c.dataset"""
+        left join ({_row_counts()}) c on m.dataset = c.dataset"""
     return statement(final, True)
+
+
+def _written_report(names: set[str], status: dict[str, str] | None = None,
+                    tests: dict[str, tuple[int, int]] | None = None) -> str:
+    """A report of datasets without generic tests: rows written, statuses given."""
+    case = " ".join(f"when '{n}' then '{s}'" for n, s in (status or {}).items())
+    gone = [n for n, s in (status or {}).items() if s in ("error", "skipped")]
+    n_of = {k: " ".join(f"when '{n}' then {v[k]}" for n, v in (tests or {}).items()) for k in (0, 1)}
+    pick = lambda text, other: f"case m.dataset {text} else {other} end" if text else other
+    hidden = ", ".join(f"'{n}'" for n in gone) or "''"
+    return statement(f"""
+        select m.dataset, m.layer, m.materialized, {pick(case, "'success'")} as status,
+               cast({pick(n_of[0], 0)} as bigint) as n_tests,
+               cast({pick(n_of[1], 0)} as bigint) as n_failed,
+               case when m.dataset not in ({hidden}) then c.n end as n_rows
+        from ({_meta(names)}) m left join ({_row_counts(names)}) c on m.dataset = c.dataset""", True)
+
+
+_MARTS = {"dim_customers", "dim_stores", "dim_products", "dim_staffs", "dim_date",
+          "fct_order_items", "fct_orders", "fct_stocks"}
+_REPORTS = {"rpt_sales", "rpt_orders", "rpt_stocks"}
+
+BUILD_SQL: dict[str, str] = {
+    "build_materialized": _written_report(set(_READS)),
+    "build_selected": _written_report(_REPORTS | {"dim_stores"}),
+    "build_report_error": _written_report(
+        {"dim_customers", "dim_stores", "dim_products", "dim_staffs", "dim_date", "fct_orders",
+         "fct_stocks", "rpt_orders", "rpt_stocks"},
+        {"dim_customers": "error", "rpt_orders": "skipped"}),
+    "gate_two_input_test": _written_report(
+        _MARTS | _REPORTS,
+        {"fct_orders": "failed", "fct_order_items": "failed", "rpt_sales": "skipped",
+         "rpt_orders": "skipped"},
+        {"fct_orders": (1, 1), "fct_order_items": (1, 1)}),
+    "build_ci": statement("select *, 'retail_ci_marts' as layer_folder from dim_stores"),
+}
+
+
+def all_sql_full() -> dict[str, str]:
+    out = all_sql()
+    out.update(LOAD_SQL)
+    out.update(DQ_SQL)
+    out.update(SCALAR_SQL)
+    out.update(BUILD_SQL)
+    out["dq_report"] = dq_report_sql()
+    out["dq_report_singular"] = dq_report_singular_sql()
+    out["build_report"] = build_report_sql()
+    out["sql_dashboard"] = statement(DASHBOARD, True)
+    return out
