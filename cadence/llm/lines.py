@@ -34,7 +34,7 @@ def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO, le
     has at most (lines per page / ratio) boilerplate lines: a short array.
     """
     keys = F.array_distinct(F.transform(F.filter(F.split(F.col(text), "\n", -1), _worded), line_key))
-    once = pages.groupBy(site, F.xxhash64(text).alias("_page")).agg(F.first(keys).alias("_keys"))
+    once = materialise(pages.groupBy(site, F.xxhash64(text).alias("_page")).agg(F.first(keys).alias("_keys")), "page-lines")
     holding = once.select(site, F.explode("_keys").alias("_line")).groupBy(site, "_line").agg(F.count("*").alias("_holding")).filter(F.col("_holding") >= least)
     totals = once.groupBy(site).agg(F.count("*").alias("_pages"))
     over = holding.join(totals, site).filter(F.col("_holding") > ratio * F.col("_pages"))

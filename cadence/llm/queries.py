@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.llm import ann, bpe, lines, minhash, oracle, packing, quality_rules, secrets_scan, sharding, substring, token_files
-from cadence.llm.common import scratch_path
+from cadence.llm.common import materialise, scratch_path
 
 
 def vocabulary(name: str) -> str:
@@ -69,7 +69,8 @@ def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     shown = pages.select("page_id", lines.host(F.col("url")).alias("host"), lines.page_lines(F.col("html")).alias("text"))
-    clean = lines.drop_boilerplate(shown, F.col("host"), dropped="n_dropped")
+    # The markup is taken off once; the operator reads the lines twice.
+    clean = lines.drop_boilerplate(materialise(shown, "pages"), F.col("host"), dropped="n_dropped")
     return clean.select("page_id", "host", F.col("n_dropped").cast("bigint"), "text")
 
 
