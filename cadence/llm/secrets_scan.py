@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm.common import free_name
+from cadence.llm.common import free_name, materialise
 
 LEDGER = "blob string, rule string, version int, spans array<struct<start:int,end:int>>"
 
@@ -125,7 +125,8 @@ def findings(versions: DataFrame, ledger_path: str, text: str = "text", carry: t
     name of a rule or ``blob`` gives way.
     """
     names = {r.name for r in rules} | {"blob"}
-    rows = scan(versions, ledger_path, text, rules)
+    # As a table, so that Spark can split a blob that very many paths hold.
+    rows = materialise(scan(versions, ledger_path, text, rules), "secret-findings")
     paths = versions.select(*[c for c in carry if c not in names], blob_id(F.col(text)).alias("blob"))
     return paths.join(rows, "blob").select(*paths.columns, *[F.coalesce(F.col(r.name), F.array()).alias(r.name) for r in rules])
 
@@ -149,6 +150,7 @@ def redact(versions: DataFrame, ledger_path: str, text: str = "text", mark: str
     blob, spans_ = free_name(versions, "_blob"), free_name(versions, "_spans")
     every = F.array_sort(F.concat(*[F.coalesce(F.col(r.name), F.array()) for r in rules]))
     hit = rows.select(F.col("blob").alias(blob), every.alias(spans_)).filter(F.size(spans_) > 0)
+    hit = materialise(hit, "secret-findings")  # as a table: Spark broadcasts it if small, or splits a blob of very many paths
     empty = F.array().cast("array<string>")
     pieces = F.aggregate(
         F.col(spans_), F.struct(F.lit(0).alias("at"), empty.alias("parts")),
