@@ -118,6 +118,8 @@ def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "d
     chunks = materialise(keyed.select("_doc", "_row", text).mapInArrow(_chunk_rows(text), "_digest bigint, _doc bigint, _row bigint, _seq int"), "substring-chunks")
     # Summed within each task first: a chunk in a third of all documents is one row a task.
     firsts = chunks.groupBy("_digest").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
+    # As a table: Spark can then split the rows of such a chunk in the join.
+    firsts = materialise(firsts, "substring-firsts")
     repeats = (chunks.join(firsts, "_digest").filter("_doc > _first")
                .groupBy("_row").agg(F.collect_list(F.array(F.col("_seq").cast("bigint"), "_first")).alias("_list"))
                .select("_row", F.flatten("_list").alias("_repeats")))
