@@ -42,14 +42,15 @@ class Summary:
 def _summarise(sized: DataFrame, key: str, size: str, bits: int, within: tuple[int, list[int]] | None) -> Summary:
     if within:
         sized = sized.filter(F.shiftright(key, 64 - within[0]).isin(within[1]))
-    rows = (
+    found = (
         sized.groupBy(F.shiftright(key, 64 - bits).alias("prefix"))
         .agg(F.min(key).alias("low"), F.max(key).alias("high"), F.sum(size).alias("bytes"))
-        .toPandas()
-        .sort_values("low")
+        .collect()
     )
-    return Summary(rows.low.to_numpy(np.int64), rows.bytes.to_numpy(np.int64), (rows.low == rows.high).to_numpy(bool),
-                   rows.prefix.to_numpy(np.int64), np.full(len(rows), bits))
+    found.sort(key=lambda r: r.low)
+    column = lambda f, kind=np.int64: np.array([f(r) for r in found], kind)
+    return Summary(column(lambda r: r.low), column(lambda r: r.bytes), column(lambda r: r.low == r.high, bool),
+                   column(lambda r: r.prefix), np.full(len(found), bits))
 
 
 def _cuts(ends: np.ndarray, capacity: int, shards: int) -> list[int]:
