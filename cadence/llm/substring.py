@@ -1,10 +1,13 @@
-"""Substring dedup by content-defined chunks.
-
-A gear rolling hash cuts texts into variable chunks, so a passage is cut alike
-wherever it stands, whatever was inserted before it. Chunks are deduplicated
-by digest: the first occurrence, by document and place, stays. Where chunks in
-a row that hold enough words all occur earlier, their text is a repeated
-passage and is taken out.
+"""Substring dedup by anchors that the text itself chooses.
+
+Where so many words as make a passage stand in two documents, both hold the
+same shorter gram of words: the one of smallest hash among those inside the
+passage, whatever stands around it. These anchors are counted first; only
+passages whose anchor stands in two documents are compared, by the hash of all
+their words. A sample of them, chosen by that hash, comes first and settles
+the inner words of long repeats; passages with a word that it leaves open, at
+the edges above all, are then looked up in all documents. So each word of a
+document that is in a passage of an earlier one is found, up to both edges.
 """
 
 from __future__ import annotations
@@ -14,63 +17,175 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.chunks import chunk_ends
 from cadence.llm.common import arrow_schema, materialise, slices, text_buffer
+from cadence.llm.shingles import _STEP, hash_words, words_of
+from cadence.llm.tokens import _mix
 
-#: Expected bytes of a chunk beyond the least, as a power of 2; least and largest.
-CHUNK_BITS, CHUNK_LOW, CHUNK_HIGH = 5, 12, 256
-#: Words in a row of repeated chunks that make a repeated passage.
+#: Words in a row that make a passage.
 LEAST_WORDS = 20
+#: Slots of the bit arrays, as a power of 2: 4 MB each. One in so many passages is of the sample.
+FILTER_BITS, SAMPLE = 25, 6
 #: Stands for a null document number: it comes first.
 _NULL = -(2**63)
 
 
-def _chunk_rows(text: str):
-    """A row per chunk: digest, document, row, place."""
+def _grams(word: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each ``size`` words in a row, wherever texts end."""
+    out = np.zeros(max(0, len(word) - size + 1), np.uint64)
+    for j in range(size if len(out) else 0):
+        out = out * _STEP + word[j : j + len(out)]
+    return _mix(out)
+
+
+def passages(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place (a word's number), hash and anchor of each ``least`` words in a row of each text."""
+    starts, stops, text = words_of(data, ends)
+    word = hash_words(data, starts, stops)
+    whole, part = _grams(word, least), _grams(word, max(1, least // 2))
+    anchor, n = part[: len(whole)].copy(), len(whole)
+    for j in range(1, least - max(1, least // 2) + 1):
+        np.minimum(anchor, part[j : j + n], out=anchor)
+    inside = text[:n] == text[least - 1 :] if n else np.zeros(0, bool)
+    owner = text[:n][inside]
+    return owner, np.flatnonzero(inside) - np.searchsorted(text, owner), whole[inside], anchor[inside]
+
+
+def _anchor_rows(text: str, least: int):
+    """A row per anchor: hash and document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            data, ends = text_buffer(batch.column(text))
-            cut, upto = chunk_ends(data, ends, CHUNK_BITS, CHUNK_LOW, CHUNK_HIGH)
-            raw, upto, digest = data.tobytes(), np.array(upto), xxhash.xxh3_64_intdigest
-            keys = np.fromiter((digest(raw[a:b]) for a, b in zip([0, *cut], cut)), np.uint64, len(cut))
-            n = np.diff(upto)
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), n))
-            seq = np.arange(len(cut)) - np.repeat(upto[:-1], n)
+            owner, _, _, anchor = passages(*text_buffer(batch.column(text)), least)
+            new = np.ones(len(owner), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), batch.column("_doc").take(pa.array(owner[new]))], names=["_anchor", "_doc"])
+
+    return run
+
+
+def _bits(hashes: DataFrame, name: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bit array of fixed size, set at each hash.
+
+    A passage that meets a set bit by chance is compared in vain: a small array
+    costs time and changes no result.
+    """
+    slot = F.col(name).bitwiseAND((1 << bits) - 1)
+    words = hashes.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({name} & 63 AS INT))")).alias("set"))
+    rows = words.toArrow()  # at most 2^(bits - 6) rows
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[rows.column("word").to_numpy()] = rows.column("set").to_numpy()
+    return out.view(np.uint64)
+
+
+def _held(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    slot = hashes & np.uint64(64 * len(bits) - 1)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _sampled(digest: np.ndarray) -> np.ndarray:
+    return digest % np.uint64(SAMPLE) == 0
+
+
+def _passage_rows(text: str, least: int, chosen, columns: tuple[str, ...]):
+    """A row per passage that ``chosen(batch, owner, place, digest, anchor)`` marks: digest, columns of the batch, place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            found = passages(*text_buffer(batch.column(text)), least)
+            hit = chosen(batch, *found)
+            owner, place, digest, _ = (x[hit] for x in found)
+            rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), batch.column("_doc").take(rows), batch.column("_row").take(rows), pa.array(seq.astype(np.int32))],
-                names=["_digest", "_doc", "_row", "_seq"])
+                [pa.array(digest.view(np.int64)), *(batch.column(c).take(rows) for c in columns), pa.array(place.astype(np.int32))],
+                names=["_digest", *columns, "_seq"])
 
     return run
 
 
-def _cut(raw: bytes, ends: list[int], repeats: dict[int, int], least_words: int) -> tuple[bytes, list[tuple[int, int]], set[int]]:
-    """What is left of a text, the byte spans taken out, and the documents that hold them first.
+def _open(least: int, shared):
+    """Passages with a shared anchor, some word of which is in no passage of ``_repeats``."""
+
+    def chosen(batch, owner, place, digest, anchor):
+        have = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+        hit = _held(anchor, shared.value) & ~_sampled(digest)
+        for i, seen in enumerate(batch.column("_repeats")):
+            own = slice(have[i], have[i + 1])
+            if not seen.is_valid or not hit[own].any():
+                continue
+            n = have[i + 1] - have[i] + least - 1
+            first = seen.values.to_numpy(zero_copy_only=False)[0::2]
+            edge = np.bincount(first, minlength=n + 1) - np.bincount(first + least, minlength=n + 1)
+            bare = np.concatenate([[0], np.cumsum(np.cumsum(edge[:n]) == 0)])
+            hit[own] &= bare[least:] > bare[: len(bare) - least]
+        return hit
+
+    return chosen
+
+
+def _listed(hits: DataFrame) -> DataFrame:
+    """``_row`` and ``_repeats``: place and first document of each repeated passage, one after the other."""
+    lists = hits.groupBy("_row").agg(F.collect_list(F.array(F.col("_seq").cast("bigint"), "_first")).alias("_list"))
+    return lists.select("_row", F.flatten("_list").alias("_repeats"))
+
+
+def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
+    """``_row``, ``_seq`` and ``_first`` of passages that, all together, cover each repeated word."""
+    context = keyed.sparkSession.sparkContext
+    anchors = keyed.select("_doc", text).mapInArrow(_anchor_rows(text, least), "_anchor bigint, _doc bigint")
+    both = anchors.groupBy("_anchor").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last")
+    shared = context.broadcast(_bits(both, "_anchor"))
+    schema = "_digest bigint, _doc bigint, _row bigint, _seq int"
+
+    def sampled(batch, owner, place, digest, anchor):
+        return _sampled(digest) & _held(anchor, shared.value)
 
-    ``ends`` are the text's chunk ends; ``repeats`` maps the place of each repeated chunk to the first document.
+    found = materialise(keyed.select("_doc", "_row", text).mapInArrow(_passage_rows(text, least, sampled, ("_doc", "_row")), schema), "substring-sample")
+    # Summed within each task first: a passage in a third of all documents is one row a task.
+    firsts = found.groupBy("_digest").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
+    # As a table: Spark can then split the rows of such a passage in the join.
+    firsts = materialise(firsts, "substring-firsts")
+    hits = materialise(found.join(firsts, "_digest").filter("_doc > _first").select("_row", "_seq", "_first"), "substring-hits")
+
+    known = keyed.select("_doc", "_row", text).join(_listed(hits), "_row", "left")
+    left = materialise(known.mapInArrow(_passage_rows(text, least, _open(least, shared), ("_doc", "_row")), schema), "substring-open")
+    wanted = context.broadcast(_bits(left, "_digest"))
+
+    def asked(batch, owner, place, digest, anchor):
+        return _held(digest, wanted.value) & _held(anchor, shared.value) & ~_sampled(digest)
+
+    holders = keyed.select("_doc", text).mapInArrow(_passage_rows(text, least, asked, ("_doc",)), "_digest bigint, _doc bigint, _seq int")
+    firsts = holders.groupBy("_digest").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
+    firsts = materialise(firsts, "substring-firsts")
+    return hits.union(left.join(firsts, "_digest").filter("_doc > _first").select("_row", "_seq", "_first"))
+
+
+def _cut(raw: bytes, starts: np.ndarray, stops: np.ndarray, places: np.ndarray, least: int) -> tuple[str, list[dict]]:
+    """What is left of a text, and the spans taken out in code points.
+
+    ``starts`` and ``stops`` are the words' bytes; ``places`` the words where repeated passages begin, in order.
+    White space goes with a passage at an edge of the text, and inside it.
     """
-    starts, left, taken, origin = [0, *ends[:-1]], [], [], set()
-    k = at = 0
-    while k < len(ends):
-        stop = k
-        while stop in repeats:
-            stop += 1
-        if stop > k and len(raw[starts[k] : ends[stop - 1]].split()) >= least_words:
-            left.append(raw[at : starts[k]])
-            at = ends[stop - 1]
-            taken.append((starts[k], at))
-            origin.update(repeats[x] for x in range(k, stop))
-        k = max(stop, k + 1)
-    left.append(raw[at:])
-    return b"".join(left), taken, origin
-
-
-def _cut_repeats(text: str, kept: list[str], least_words: int):
-    """Take the runs of repeated chunks out of each text."""
+    gap = np.flatnonzero(places[1:] > places[:-1] + least)
+    first = places[np.concatenate([[0], gap + 1])]
+    last = places[np.concatenate([gap, [len(places) - 1]])] + least - 1
+    begin = np.where(first == 0, 0, starts[first])
+    end = np.where(last == len(stops) - 1, len(raw), stops[last])
+    left, taken, at, points = [], [], 0, 0
+    for a, b in zip(begin.tolist(), end.tolist()):
+        left.append(raw[at:a].decode())
+        points += len(left[-1])
+        size = len(raw[a:b].decode())
+        taken.append({"start": points, "end": points + size})
+        at, points = b, points + size
+    left.append(raw[at:].decode())
+    return "".join(left), taken
+
+
+def _cut_repeats(text: str, kept: list[str], least: int):
+    """Take the repeated passages out of each text."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def rows(batch, texts, spans, sources):
@@ -84,16 +199,16 @@ def _cut_repeats(text: str, kept: list[str], least_words: int):
             yield rows(whole, whole.column(text).cast(pa.string()), [[]] * whole.num_rows, [[]] * whole.num_rows)
             batch = batch.filter(some)
             data, ends = text_buffer(batch.column(text))
-            cut, upto = chunk_ends(data, ends, CHUNK_BITS, CHUNK_LOW, CHUNK_HIGH)
+            starts, stops, owner = words_of(data, ends)
+            upto = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             texts, spans, sources = [], [], []
-            for i, seen in enumerate(batch.column("_repeats").to_pylist()):
-                begin = int(ends[i])
-                raw = data[begin : ends[i + 1]].tobytes()
-                own = [x - begin for x in cut[upto[i] : upto[i + 1]]]
-                left, taken, origin = _cut(raw, own, dict(zip(seen[0::2], seen[1::2], strict=True)), least_words)
-                texts.append(left.decode())
-                spans.append([{"start": len(raw[:a].decode()), "end": len(raw[:b].decode())} for a, b in taken])
-                sources.append(sorted(origin - {_NULL}))
+            for i, seen in enumerate(batch.column("_repeats")):
+                own, begin = slice(upto[i], upto[i + 1]), int(ends[i])
+                seen = seen.values.to_numpy(zero_copy_only=False)
+                left, taken = _cut(data[begin : ends[i + 1]].tobytes(), starts[own] - begin, stops[own] - begin, np.unique(seen[0::2]), least)
+                texts.append(left)
+                spans.append(taken)
+                sources.append([x for x in np.unique(seen[1::2]).tolist() if x != _NULL])
             yield rows(batch, pa.array(texts, pa.string()), spans, sources)
 
     return run
@@ -102,27 +217,22 @@ def _cut_repeats(text: str, kept: list[str], least_words: int):
 def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: tuple[str, ...] = ("doc_id",), least_words: int = LEAST_WORDS) -> DataFrame:
     """Carried columns, ``text`` without repeated passages, ``removed`` spans, ``repeats_of``.
 
-    Spans are code points of the text as it was, ends exclusive;
-    ``repeats_of`` lists the documents that hold the first occurrences. The
-    first occurrence is in the document with the smallest integer ``doc_id``
-    (null before all). Rows of one ``doc_id`` are one document: none repeats
-    the other, and a passage that stands twice in one document stays. Null
-    texts stay null; empty and short texts stay as they are. An empty table
-    gives no rows. A carried column with the name of a result, or of ``_doc``,
-    ``_row`` and ``_repeats``, gives way.
+    A passage is ``least_words`` words in a row or more, whatever ASCII white
+    space parts them; it is repeated if an earlier document holds it. Every
+    word of such a passage goes. Spans are code points of the text as it was,
+    ends exclusive; ``repeats_of`` lists the documents that hold the first
+    occurrences of passages that together cover what goes. The first occurrence is in the document with the smallest
+    integer ``doc_id`` (null before all). Rows of one ``doc_id`` are one
+    document: none repeats the other, and a passage that stands twice in one
+    document stays. Null texts stay null; empty and short texts stay as they
+    are. An empty table gives no rows. A carried column with the name of a
+    result, or of ``_doc``, ``_row`` and ``_repeats``, gives way.
     """
     own = {text, "removed", "repeats_of", "_repeats", "_doc", "_row"}
     names = [c for c in dict.fromkeys(carry) if c not in own]
     number = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL))
     keyed = docs.select(*names, text, number.alias("_doc"), F.xxhash64(number, F.col(text)).alias("_row"))
-    chunks = materialise(keyed.select("_doc", "_row", text).mapInArrow(_chunk_rows(text), "_digest bigint, _doc bigint, _row bigint, _seq int"), "substring-chunks")
-    # Summed within each task first: a chunk in a third of all documents is one row a task.
-    firsts = chunks.groupBy("_digest").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
-    # As a table: Spark can then split the rows of such a chunk in the join.
-    firsts = materialise(firsts, "substring-firsts")
-    repeats = (chunks.join(firsts, "_digest").filter("_doc > _first")
-               .groupBy("_row").agg(F.collect_list(F.array(F.col("_seq").cast("bigint"), "_first")).alias("_list"))
-               .select("_row", F.flatten("_list").alias("_repeats")))
+    repeats = _listed(_repeated(keyed, text, least_words))
     joined = keyed.join(repeats, "_row", "left")
     order = [c for c in keyed.columns if c in names]
     kept = arrow_schema(keyed, order)

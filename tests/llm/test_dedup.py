@@ -158,6 +158,33 @@ def test_op6_finds_every_passage_of_51_words(spark):
     assert repeats <= flagged <= loose
 
 
+def test_op6_takes_out_every_word_of_planted_passages(spark):
+    """Passages of 20 to 60 words, in every language, between other texts: as by brute force, up to their edges."""
+    by_lang = {}
+    for r in queries.table(spark, SF_SMALL, "documents").orderBy("doc_id").collect():
+        if len(set(r.text.split())) > 40 and len(r.text.split()) >= 60:
+            by_lang.setdefault(r.lang, []).append(r.text.split())
+    assert len(by_lang) >= 4
+    rows, planted = [], 0
+    for lang, texts in sorted(by_lang.items()):
+        for k in range(60):
+            words, n = texts[k % len(texts)], (20, 21, 30, 51, 60)[k % 5]
+            at, planted = random.Random(f"{lang} {k}").randrange(len(words) - n + 1), planted + 1
+            for d, gap in ((0, "\n "), (1000, " ")):
+                rows.append((d + planted, gap.join([prose(35, 9000 + d + planted), *words[at : at + n], prose(25, 7000 + d + planted)])))
+    first, want = {}, {}
+    for d, t in sorted(rows):
+        words = t.split()
+        grams = [tuple(words[k : k + 20]) for k in range(len(words) - 19)]
+        again = [k for k, g in enumerate(grams) if first.setdefault(g, d) != d]
+        gone = {w for k in again for w in range(k, k + 20)}
+        want[d] = [w for k, w in enumerate(words) if k not in gone], sorted({first[grams[k]] for k in again})
+    assert all(want[1000 + k][1] for k in range(1, planted + 1))
+    got = {r.doc_id: r for r in substring.drop_repeated_passages(documents(spark, [row(*r) for r in rows])).collect()}
+    assert {d: r.text.split() for d, r in got.items()} == {d: left for d, (left, _) in want.items()}
+    assert all(set(r.repeats_of) <= set(want[d][1]) and bool(r.repeats_of) == bool(want[d][1]) for d, r in got.items())
+
+
 def test_lines_over_the_ratio_go(spark):
     rows = [row(k, f"Menu\n\n{prose(20, k)}\n  Menu \nfooter {k % 3}", "hot" if k % 3 else "other") for k in range(60)]
     rows += [row(90, "Menu", "hot"), row(91, None, "hot"), row(92, "", "hot"), row(93, "Menu\nown line", None)] + [row(94, "copy\nof a page", "copies")] * 30
