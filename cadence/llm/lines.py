@@ -25,23 +25,43 @@ def _worded(line: Column) -> Column:
     return F.length(F.btrim(line, F.lit(" \t\r\f\u000b"))) > 0
 
 
-def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO, least: int = LEAST_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO, least: int = LEAST_PAGES, copied: float | None = None) -> DataFrame:
     """``site`` and the array ``boilerplate`` of its lines' hashes.
 
     Equal pages of a site count as one, so copies of a page make no
-    boilerplate of its lines. The pages that hold a line are summed before
+    boilerplate of its lines. With ``copied``, pages more of whose characters
+    than this share are in such lines are taken for edited copies, and lines
+    are counted again on the other pages only: what is common to copies alone
+    is no boilerplate. The pages that hold a line are summed before
     they are shuffled, so a line on a third of all pages is no hot key. A site
     has at most (lines per page / ratio) boilerplate lines: a short array.
     """
-    keys = F.array_distinct(F.transform(F.filter(F.split(F.col(text), "\n", -1), _worded), line_key))
-    once = materialise(pages.groupBy(site, F.xxhash64(text).alias("_page")).agg(F.first(keys).alias("_keys")), "page-lines")
+    worded = F.filter(F.split(F.col(text), "\n", -1), _worded)
+    page = [F.first(F.array_distinct(F.transform(worded, line_key))).alias("_keys")]
+    if copied is not None:
+        sized = F.array_distinct(F.transform(worded, lambda x: F.struct(line_key(x).alias("key"), F.length(F.btrim(x, F.lit(" \t\r\f\u000b"))).alias("n"))))
+        page = [F.first(sized).alias("_lines")]
+    once = materialise(pages.groupBy(site, F.xxhash64(text).alias("_page")).agg(*page), "page-lines")
+    if copied is None:
+        return _frequent(once, site, ratio, least)
+    once = once.withColumn("_keys", F.col("_lines.key"))
+    common = materialise(_frequent(once, site, ratio, least), "common-lines")
+    size = lambda x: F.aggregate(x, F.lit(0).cast("bigint"), lambda a, y: a + y.n)
+    in_common = size(F.filter("_lines", lambda x: F.array_contains(F.col("boilerplate"), x.key)))
+    others = once.join(common, site, "left").filter(~F.coalesce(in_common > copied * size(F.col("_lines")), F.lit(False)))
+    # As a table: it is counted twice.
+    return _frequent(materialise(others.select(site, "_keys"), "page-lines"), site, ratio, least)
+
+
+def _frequent(once: DataFrame, site: str, ratio: float, least: int) -> DataFrame:
+    """``site`` and the array ``boilerplate`` of the ``_keys`` over the ratio."""
     holding = once.select(site, F.explode("_keys").alias("_line")).groupBy(site, "_line").agg(F.count("*").alias("_holding")).filter(F.col("_holding") >= least)
     totals = once.groupBy(site).agg(F.count("*").alias("_pages"))
     over = holding.join(totals, site).filter(F.col("_holding") > ratio * F.col("_pages"))
     return over.groupBy(site).agg(F.collect_set("_line").alias("boilerplate"))
 
 
-def drop_boilerplate(pages: DataFrame, site: Column, text: str = "text", ratio: float = RATIO, least: int = LEAST_PAGES, dropped: str | None = None) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, site: Column, text: str = "text", ratio: float = RATIO, least: int = LEAST_PAGES, dropped: str | None = None, copied: float | None = None) -> DataFrame:
     """``pages`` with the boilerplate lines taken out of ``text``.
 
     Lines are parted by line feeds; white space around a line does not tell
@@ -50,12 +70,13 @@ def drop_boilerplate(pages: DataFrame, site: Column, text: str = "text", ratio:
     has boilerplate lines only stays as it is. Null sites are one site of
     their own; null texts stay null and count as a page. Rows, their other
     columns and the order of the lines left stay as they are. ``dropped``
-    names a column for the number of lines taken out.
+    names a column for the number of lines taken out; ``copied`` keeps the
+    text of edited copies (see ``boilerplate``).
     """
     name, gone = free_name(pages, "_site"), free_name(pages, "_boilerplate")
     keyed = pages.withColumn(name, F.coalesce(site.cast("string"), F.lit("\u0000")))
     # As a written table the list has a known size: Spark broadcasts it only where it is small.
-    found = materialise(boilerplate(keyed.select(name, text), name, text, ratio, least), "boilerplate").withColumnRenamed("boilerplate", gone)
+    found = materialise(boilerplate(keyed.select(name, text), name, text, ratio, least, copied), "boilerplate").withColumnRenamed("boilerplate", gone)
     joined = keyed.join(found, name, "left")
     lines = F.split(F.col(text), "\n", -1)
     left = F.filter(lines, lambda x: ~_worded(x) | ~F.array_contains(F.col(gone), line_key(x)))

@@ -198,6 +198,25 @@ def test_lines_over_the_ratio_go(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_pipeline_keeps_the_text_of_edited_copies(spark):
+    """A third of a source's texts are copies with one changed line each: their text survives, boilerplate goes."""
+    from cadence.llm import stages
+
+    flat = lambda words, seed: " ".join(prose(words, seed).split())
+    body = [flat(20, 3000 + k) for k in range(10)]
+    rows = [row(k, "\n".join(["Menu of the site", *(flat(12, 4000 + 9 * k + j) for j in range(8))])) for k in range(40)]
+    for k in range(20):
+        own = list(body)
+        own[k % 10] = flat(20, 5000 + k)
+        rows.append(row(100 + k, "\n".join(["Menu of the site", *own])))
+    found = stages.near_dedup(spark, stages.line_dedup(spark, documents(spark, rows), SF_SMALL), SF_SMALL).collect()
+    assert len(found) >= 41 and all(r.n_chars == len(r.text) for r in found)
+    held = Counter(line for r in found for line in r.text.split("\n"))
+    assert "Menu of the site" not in held and all(held[line] for line in body)
+    texts = {r.doc_id: r.text for r in found}
+    assert all(texts[d] == t.split("\n", 1)[1] for d, t, *_ in rows if d in texts)
+
+
 @pytest.mark.parametrize("html, want", [
     (None, ""), ("", ""), ("<p>a<b>b</b></p><div class='x'> c  d </div>", "\nab\nc d\n"),
     ("<script>var t='</p>';</script>x<!-- <p> -->y<br/>z", " x y\nz"),
