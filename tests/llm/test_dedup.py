@@ -73,6 +73,17 @@ def test_near_copies_large_group_chains_and_awkward_rows(spark):
     assert by_id(got, "class_id") == sorted(want + nulls)
 
 
+def test_near_copies_with_passages_repeated_often(spark):
+    """How often a passage stands in a text does not part copies: sets of shingles decide."""
+    rows = []
+    for k in range(40):
+        words, line = prose(200, 6000 + k).split(), prose(10, 6500 + k).split()
+        rows += [row(4 * k, " ".join(words)), row(4 * k + 1, " ".join(words + words[-60:] * 50))]
+        rows += [row(4 * k + 2, " ".join(words[:100] + line)), row(4 * k + 3, " ".join(words[:100] + line * 100))]
+    got = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert by_id(got, "class_id") == brute_classes([(r[0], r[1]) for r in rows])
+
+
 def test_keep_one_keeps_whole_rows(spark):
     rows = awkward() + [row(100 + k, prose(200, 3)) for k in range(5)]
     docs = clashing(documents(spark, rows), ["_node", "_check"])
