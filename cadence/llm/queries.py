@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.llm import ann, bpe, lines, minhash, oracle, packing, quality_rules, secrets_scan, sharding, substring, token_files
+from cadence.llm import ann, bpe, lines, minhash, oracle, packing, quality_rules, runs, secrets_scan, sharding, substring, token_files
 from cadence.llm.common import materialise, scratch_path
 
 
@@ -97,9 +97,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", ids_crc32("ids").alias("ids_crc32"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), stretch=True, whole=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (op1_chunk_reuse_bpe, op2_hilbert_curves, op3_prob_minhash, op4_blob_ledger_secrets, op5_weak_supervision,
-            op6_chunk_passages, op7_best_two_fit, op8_site_lines, op9_minimax_shards, op10_token_files)
+            op6_chunk_passages, op7_best_two_fit, op8_site_lines, op9_minimax_shards, op10_token_files, op13_periodic_runs)
     return {f.__name__: f for f in made}
 
 
