@@ -52,4 +52,34 @@ FROM l LEFT JOIN b ON l.host = b.host AND l.line = b.line
 GROUP BY l.rn, l.page_id, l.host
 """
 
-SQL = {"op4_blob_ledger_secrets": OP4, "op8_site_lines": OP8}
+OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+f AS (
+  SELECT doc_id, part,
+    (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+  FROM w),
+g AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM f LEFT JOIN g USING (doc_id) GROUP BY part, mask),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+p AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+s AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+        coalesce(list_sum(list_transform(range(1, step), lambda k: 1 << (ascii(filter_order[k]) - 65))), 0)::INT AS earlier
+      FROM p, (SELECT unnest(range(1, 6))::INT AS step)),
+r AS (
+  SELECT part, filter_order, step, bit,
+    sum(n) FILTER (WHERE mask & bit = 0 AND mask & earlier = 0) AS kept, sum(n) FILTER (WHERE mask & bit <> 0 AND mask & earlier = 0) AS removed,
+    sum(n) FILTER (WHERE mask & bit <> 0 AND mask & earlier <> 0) AS redundant, sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+    sum(good) FILTER (WHERE mask & bit <> 0 AND mask & earlier = 0) AS good_lost, sum(toxic) FILTER (WHERE mask & bit <> 0 AND mask & earlier = 0) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM r
+"""
+
+SQL = {"op4_blob_ledger_secrets": OP4, "op8_site_lines": OP8, "op12_filter_orders": OP12}
