@@ -116,10 +116,9 @@ def failures(docs: DataFrame, part: Column, text: str = "text", key: str = "doc_
                 repeat &= (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(bool)
             raw = data.tobytes()
             digest = [hashlib.sha256(raw[a:b]).digest() if r else None for a, b, r in zip(ends[:-1].tolist(), ends[1:].tolist(), repeat.tolist(), strict=True)]
-            shown = pa.array(repeat)
-            text_left = pa.compute.if_else(shown, batch.column("text"), pa.scalar(None, batch.column("text").type))
+            text_left = batch.column("text").take(pa.array(np.arange(batch.num_rows), mask=~repeat))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), pa.array(text_failures(data, ends, limits), pa.int32()),
-                                              pa.array(digest, pa.binary()), text_left.cast(pa.string())], names=["doc_id", "part", "mask", "digest", "text"])
+                                              pa.array(digest, pa.binary()), text_left], names=["doc_id", "part", "mask", "digest", "text"])
 
     return materialise(kept.mapInArrow(judge, "doc_id bigint, part string, mask int, digest binary, text string"), "filter-masks")
 
