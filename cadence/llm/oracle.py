@@ -52,6 +52,44 @@ FROM l LEFT JOIN b ON l.host = b.host AND l.line = b.line
 GROUP BY l.rn, l.page_id, l.host
 """
 
+def _number(text: str) -> str:
+    """60 bits of an MD5 digest."""
+    return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
+
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rn, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number FROM d GROUP BY source),
+s1 AS (SELECT *, [3.0, 1.0, 2.0][number % 3 + 1]::DOUBLE AS weight, sum(source_size) OVER () * 1.5::DOUBLE AS share FROM s0),
+-- Level of words per weight when the k sources with least room per weight have stopped.
+s2 AS (SELECT *, sum(2 * source_size) OVER o - 2 * source_size AS stopped, sum(weight) OVER () - sum(weight) OVER o + weight AS left_weight, row_number() OVER o AS place
+       FROM s1 WINDOW o AS (ORDER BY 2 * source_size / weight, number ROWS UNBOUNDED PRECEDING)),
+s3 AS (SELECT arg_min((share - stopped) / left_weight, place) FILTER (WHERE 2 * source_size >= weight * ((share - stopped) / left_weight)) AS level FROM s2),
+s4 AS (SELECT number, source, source_size, least(2.0::DOUBLE * source_size, weight * coalesce(level, 0)) AS target FROM s1, s3),
+s5 AS (SELECT *, least(floor(target + 0.5)::BIGINT, 2 * source_size) AS words, source_size // 512 AS "full", (source_size + 511) // 512 AS blocks FROM s4),
+s6 AS (SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS rounds FROM s5),
+s7 AS (SELECT *, words - rounds * source_size AS rest FROM s6),
+s8 AS (SELECT *, rounds * blocks + (rest + 511) // 512 AS quota FROM s7),
+s AS (SELECT *, sum(quota) OVER (ORDER BY number) - quota AS low, sum(quota) OVER () AS n FROM s8),
+-- Every source has the indexes below its quota, whichever shards they went to.
+j AS (SELECT number, unnest(range(quota::BIGINT)) AS idx FROM s),
+k AS (SELECT number, "full", rounds, rest, source_size, idx // blocks AS turn, idx % blocks AS at_ FROM j JOIN s USING (number)),
+y AS (SELECT number, e, list({_number("'key:' || number || ':' || e || ':' || r")} ORDER BY r) AS keys
+      FROM s, (SELECT unnest(range(3)) AS e), (SELECT unnest(range(1, 25)) AS r) GROUP BY number, e),
+b AS (SELECT k.number, rounds, rest, turn, at_, CASE WHEN at_ < "full" THEN 512 ELSE source_size - "full" * 512 END AS own,
+        CASE WHEN at_ < "full" THEN list_reduce(list_concat([at_], keys), lambda x, key:
+          CASE WHEN ascii(md5(key || ':' || greatest(x, ((key - x) % "full" + "full") % "full"))) % 2 = 1 THEN ((key - x) % "full" + "full") % "full" ELSE x END) ELSE "full" END AS block
+      FROM k JOIN y ON k.number = y.number AND k.turn = y.e),
+v AS (SELECT number, block, CASE WHEN turn < rounds THEN own ELSE least(own, rest - at_ * 512) END AS words FROM b),
+p AS (SELECT rn, d.doc_id, size, number, source_size, target,
+        sum(size) OVER (PARTITION BY number ORDER BY {_number("'doc:' || coalesce(doc_id::VARCHAR, '')")}, doc_id, size, rn) - size AS start
+      FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source)
+SELECT p.doc_id, size, p.source_size, target,
+  coalesce(sum(greatest(0, least(start + size, block * 512 + words) - greatest(start, block * 512))), 0)::BIGINT AS taken
+FROM p LEFT JOIN v ON v.number = p.number AND block BETWEEN start // 512 AND (start + size - 1) // 512 AND size > 0
+GROUP BY rn, p.doc_id, size, p.source_size, target
+"""
+
 OP12 = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
@@ -82,4 +120,4 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
 FROM r
 """
 
-SQL = {"op4_blob_ledger_secrets": OP4, "op8_site_lines": OP8, "op12_filter_orders": OP12}
+SQL = {"op4_blob_ledger_secrets": OP4, "op8_site_lines": OP8, "op11_multinomial_mix": OP11, "op12_filter_orders": OP12}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cadence.llm import ann, bpe, filter_audit, lines, minhash, oracle, packing, quality_rules, runs, secrets_scan, sharding, substring, token_files
+from cadence.llm import ann, bpe, filter_audit, lines, minhash, mixing, oracle, packing, quality_rules, runs, secrets_scan, sharding, substring, token_files
 from cadence.llm.common import materialise, scratch_path
 
 
@@ -97,6 +97,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", ids_crc32("ids").alias("ids_crc32"))
 
 
+def op11_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents"), F.col("source")))
+
+
 def op12_filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"))
 
@@ -107,7 +111,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (op1_chunk_reuse_bpe, op2_hilbert_curves, op3_prob_minhash, op4_blob_ledger_secrets, op5_weak_supervision,
-            op6_chunk_passages, op7_best_two_fit, op8_site_lines, op9_minimax_shards, op10_token_files, op12_filter_orders, op13_periodic_runs)
+            op6_chunk_passages, op7_best_two_fit, op8_site_lines, op9_minimax_shards, op10_token_files, op11_multinomial_mix, op12_filter_orders, op13_periodic_runs)
     return {f.__name__: f for f in made}
 
 
