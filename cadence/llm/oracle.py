@@ -85,7 +85,7 @@ p AS (SELECT rn, d.doc_id, size, number, source_size, target,
         sum(size) OVER (PARTITION BY number ORDER BY {_number("'doc:' || coalesce(doc_id::VARCHAR, '')")}, doc_id, size, rn) - size AS start
       FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source)
 SELECT p.doc_id, size, p.source_size, target,
-  coalesce(sum(greatest(0, least(start + size, block * 512 + words) - greatest(start, block * 512))), 0)::BIGINT AS taken
+  coalesce(sum(greatest(0, least(start + size, block * 512 + words) - greatest(start, block * 512))) FILTER (WHERE words IS NOT NULL), 0)::BIGINT AS taken
 FROM p LEFT JOIN v ON v.number = p.number AND block BETWEEN start // 512 AND (start + size - 1) // 512 AND size > 0
 GROUP BY rn, p.doc_id, size, p.source_size, target
 """
