@@ -293,6 +293,101 @@ def load_merge_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_current(spark, table_dir).select(*columns, "_seq").withColumns(counts)
 
 
+def load_merge_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders of the last order day come in a second batch, some
+    new and some changed; ``carried`` says whether the new version refers to
+    the very folders of all buckets that no key of the batch falls into."""
+    cfg = run_config(spark, "load_merge_touched_buckets")
+    orders = raw_tables(spark, sf_dir)["orders"]
+    table_dir = cfg.dataset_dir("raw", "bucketed_orders")
+    last = orders.agg(F.max("order_date")).first()[0]
+    new = (F.col("order_date") == last) & (F.col("order_id") % 2 == 0)
+    before = orders.where(~new | new.isNull()).withColumn(
+        "order_status", F.when(F.col("order_date") == last, F.lit(9).cast("bigint")).otherwise(F.col("order_status")))
+    first, _ = ingest.merge_load(before, table_dir, ["order_id"], "day-1", buckets=64)
+    batch = orders.where(F.col("order_date") == last)
+    second, _ = ingest.merge_load(batch, table_dir, ["order_id"], "day-2")
+    old, now = (store.folders(spark, table_dir, v) for v in (first, second))
+    touched = {r[0] for r in batch.select(store.bucket_of(["order_id"], 64)).distinct().collect()}
+    carried = all((old.get(b) == now[b]) != (b in touched) for b in now) and set(old) <= set(now)
+    return store.read_current(spark, table_dir).drop(*ingest.TRACE).withColumn("carried", F.lit(carried))
+
+
+def load_merge_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads start from one version, each with half of the changed
+    orders; the one that publishes second is refused and loads again."""
+    cfg = run_config(spark, "load_merge_conflict")
+    orders = raw_tables(spark, sf_dir)["orders"]
+    table_dir = cfg.dataset_dir("raw", "contested_orders")
+    changed = F.coalesce(F.col("order_date") >= F.lit(str(FIRST_LOAD_DAY)), F.lit(False))
+    ingest.merge_load(orders.where(~changed), table_dir, ["order_id"], "day-1")
+    base, _ = store.current(spark, table_dir)
+    mine = orders.where(changed & (F.col("order_id") % 2 == 0))
+    stored = store.read_current(spark, table_dir)
+    stale = store.write_version(ingest.upsert(stored, ingest.add_lineage(mine, ["order_id"], "mine"), ["order_id"]), table_dir)
+    ingest.merge_load(orders.where(changed & (F.col("order_id") % 2 == 1)), table_dir, ["order_id"], "theirs")
+    refused = 0
+    try:
+        store.publish(spark, table_dir, stale, base)
+    except store.Conflict:
+        refused += 1
+        ingest.merge_load(mine, table_dir, ["order_id"], "mine")
+    return store.read_current(spark, table_dir).drop(*ingest.TRACE).withColumn("refused", F.lit(refused).cast("bigint"))
+
+
+def load_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables loaded twice under one load id: one log row and one
+    version each, with the rows that the first run emitted."""
+    cfg = run_config(spark, "load_replayed")
+    src = raw_tables(spark, sf_dir)
+    for _ in range(2):
+        results = ingest.ingest(spark, src, cfg, load_id=FIXED_LOAD_ID)
+    versions = spark.createDataFrame(
+        [(r.table, store.current(spark, cfg.dataset_dir("raw", r.table))[0]) for r in results], "table_name string, versions bigint")
+    log = ingest.read_load_log(spark, cfg).groupBy("table_name", "load_id").agg(
+        F.count("*").alias("log_rows"), F.sum("emitted_rows").alias("emitted_rows"))
+    return log.join(versions, "table_name")
+
+
+def load_schema_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load brings long customer ids, a third one statuses as
+    text; stored buckets keep their files, rows are read with the common types."""
+    cfg = run_config(spark, "load_schema_widened")
+    orders = raw_tables(spark, sf_dir)["orders"].select("order_id", "customer_id", "order_status")
+    table_dir = cfg.dataset_dir("raw", "widened_orders")
+    short = [F.col(c).cast("int").alias(c) for c in orders.columns]
+    ingest.merge_load(orders.select(*short), table_dir, ["order_id"], "day-1")
+    longer = F.when(F.col("order_id") % 3 == 0, F.col("customer_id") + 10_000_000_000).alias("customer_id")
+    ingest.merge_load(orders.where("order_id % 3 = 0").select("order_id", longer, "order_status"), table_dir, ["order_id"], "day-2")
+    text = F.concat(F.lit("S"), F.col("order_status")).alias("order_status")
+    ingest.merge_load(orders.where("order_id % 3 = 1").select("order_id", "customer_id", text), table_dir, ["order_id"], "day-3")
+    return store.read_current(spark, table_dir).drop(*ingest.TRACE)
+
+
+def store_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four versions of the customers, the second of them pinned by a
+    reader; expiry keeps it and the latest. One row per version: whether it is
+    still there, and its rows; those left come from its own folders and carried-over ones."""
+    cfg = run_config(spark, "store_expired")
+    customers = raw_tables(spark, sf_dir)["customers"]
+    table_dir = cfg.dataset_dir("raw", "expiring_customers")
+    versions = []
+    for k in range(4):
+        batch = customers.withColumn("phone", F.lit(str(k))).where(F.lit(True) if k == 0 else F.col("customer_id") % 97 == k)
+        versions.append(ingest.merge_load(batch, table_dir, ["customer_id"], f"day-{k}", buckets=32)[0])
+    store.pin(spark, table_dir, versions[1])
+    gone = store.expire(spark, table_dir, keep=1)
+    rows = [(k, v not in gone) for k, v in enumerate(versions)]
+    parts = [store.read_version(spark, table_dir, versions[k]).groupBy().agg(
+        F.lit(k).cast("bigint").alias("version"), F.lit(True).alias("kept"), F.count("*").alias("n_rows"),
+        F.count(F.when(F.col("phone") != "0", 1)).alias("changed")) for k, kept in rows if kept]
+    parts += [spark.createDataFrame([(k, False, None, None) for k, kept in rows if not kept], "version bigint, kept boolean, n_rows bigint, changed bigint")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def recon_checks_diverged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I9-I12 where counts differ: customers are loaded with those of ASIA
     sent twice, then those of EUROPE are deleted at the source; the other
@@ -570,6 +665,11 @@ OPERATOR_QUERIES: dict[str, QueryFn] = {
     "load_selected": load_selected,
     "load_merge_null_key": load_merge_null_key,
     "load_merge_late_rows": load_merge_late_rows,
+    "load_merge_touched_buckets": load_merge_touched_buckets,
+    "load_merge_conflict": load_merge_conflict,
+    "load_replayed": load_replayed,
+    "load_schema_widened": load_schema_widened,
+    "store_expired": store_expired,
     "recon_checks_diverged": recon_checks_diverged,
     "dq_report_singular": dq_report_singular,
     "build_materialized": build_materialized,

@@ -9,7 +9,14 @@
   change does not overwrite a newer one. A NULL key part is a value like
   any other: it equals NULL, so loads repeat without adding rows.
   Rows missing from the batch stay: source deletions are not propagated.
-  Columns new in the batch are added, NULL in older rows (I7).
+  The table lies in hash buckets of its key; only buckets that a key of the
+  batch falls into are read and written, the new version refers to the
+  folders of the others.
+  Columns new in the batch are added, NULL in older rows, and types widen
+  (I7, ``cadence.sources.evolution``).
+* both publish over the version that was current when they began, or raise
+  ``store.Conflict``; a load whose id the table's ledger has is not done
+  again: it returns the version and rows of the first time.
 * every raw row carries ``_load_id`` and a deterministic ``_row_id`` (I6).
 * the rows a load emits are those of the extracted batch, counted by
   ``observe`` as they are landed, before any de-duplication (I9).
@@ -23,6 +30,8 @@ afterwards, so the anti join cannot be skewed.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -30,11 +39,14 @@ from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cadence.catalog import MERGE, SourceTable, select_tables
 from cadence.config import Config
 from cadence.plans.concurrent import run_all
 from cadence.sources import store
+from cadence.sources.evolution import conform, merged_schema, whole_number
+from cadence.sources.files import Files
 
 LOAD_ID = "_load_id"
 ROW_ID = "_row_id"
@@ -42,6 +54,8 @@ SEQ = "_seq"
 LINEAGE = (LOAD_ID, ROW_ID)
 # Load-trace columns, dropped when the raw layer is read by staging.
 TRACE = (LOAD_ID, ROW_ID, SEQ)
+# Rows of a bucket when a table is made, and the number of buckets.
+BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 1_000_000, 8, 8192
 
 
 @dataclass(frozen=True)
@@ -114,30 +128,77 @@ def replace_load(df: DataFrame, table_dir: str, key: Sequence[str], load_id: str
                  name: str = "table") -> tuple[str, int]:
     """Full refresh: the new version holds exactly ``df``."""
     spark = df.sparkSession
+    if done := store.finished(spark, table_dir, load_id):
+        return done
+    base, _ = store.current(spark, table_dir)
     version, emitted = store.write_counted(add_lineage(df, key, load_id), table_dir, name)
-    store.publish(spark, table_dir, version)
-    return version, emitted
+    store.write_manifest(spark, table_dir, version, store.Manifest(load=store.Load(load_id, emitted)))
+    return _publish(spark, table_dir, version, base, load_id) or (version, emitted)
+
+
+def _publish(spark: SparkSession, table_dir: str, version: str, base: int, load_id: str) -> tuple[str, int] | None:
+    """Publish; a result only where another attempt of the same load was first."""
+    try:
+        store.publish(spark, table_dir, version, base)
+    except store.Conflict:
+        if done := store.finished(spark, table_dir, load_id):
+            return done
+        raise
+    return None
+
+
+def bucket_count(rows: int, per_bucket: int = BUCKET_ROWS) -> int:
+    """Buckets of a new table: a power of two, about ``per_bucket`` rows each."""
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << max(0, rows // per_bucket).bit_length()))
 
 
 def merge_load(batch: DataFrame, table_dir: str, key: Sequence[str], load_id: str,
-               name: str = "table", seq: str | None = SEQ) -> tuple[str, int]:
-    """Upsert ``batch`` into the table's current version, written as the
-    next version. Returns the version and the number of rows the batch
-    emitted. Raises ``store.Conflict`` when another load was published since
-    the current version was read."""
+               name: str = "table", seq: str | None = SEQ, buckets: int | None = None) -> tuple[str, int]:
+    """Upsert ``batch`` into the table's current version; the buckets that its
+    keys fall into are written as the next version. ``buckets`` of a new table
+    default to its first batch's size. Returns the version and the number of
+    rows the batch emitted. Raises ``store.Conflict`` when another load was
+    published since the current version was read."""
     spark = batch.sparkSession
+    if done := store.finished(spark, table_dir, load_id):
+        return done
     number, base = store.current(spark, table_dir)
-    fresh = add_lineage(batch, key, load_id).withColumn("_from_batch", F.lit(1))
+    fresh = add_lineage(batch, key, load_id)
     landing = f"{table_dir.rstrip('/')}/_landed"
     landed_version, emitted = store.write_counted(fresh, landing, name)
     landed = store.read_version(spark, landing, landed_version)
-    current = None
+    old, current, count = None, None, buckets or bucket_count(emitted)
+    if base is not None:
+        stored = store.read_version(spark, table_dir, base).schema
+        schema, renamed = merged_schema(stored, landed.schema, key)
+        landed = conform(landed, schema, renamed)
+        old = store.manifest(spark, table_dir, base)
+        if old and old.folders is not None and old.key == tuple(key) and _same_place(stored, schema, key):
+            count = old.buckets
+        else:
+            old = None  # another key, or a plain version: all of it is dealt anew
+    touched = _buckets_of(landed, key, count)
     if base is not None:
-        current = store.read_version(spark, table_dir, base).withColumn("_from_batch", F.lit(0))
-    merged = upsert(current, landed, key, seq, tiebreak=["_from_batch"]).drop("_from_batch")
-    version = store.write_version(merged, table_dir)
-    store.publish(spark, table_dir, version, number)
-    return version, emitted
+        current = store.read_version(spark, table_dir, base, touched if old else None)
+        current = conform(current, landed.schema).withColumn("_from_batch", F.lit(0))
+        if not old:
+            touched |= _buckets_of(current, key, count)
+    merged = upsert(current, landed.withColumn("_from_batch", F.lit(1)), key, seq, tiebreak=["_from_batch"])
+    version = store.write_buckets(merged.drop("_from_batch"), table_dir, key, sorted(touched), old, count, store.Load(load_id, emitted))
+    done = _publish(spark, table_dir, version, number, load_id) or (version, emitted)
+    # The batch is in the table; a load that fails before this leaves it for inspection.
+    Files(spark, landing).remove(store.version_path(landing, landed_version))
+    return done
+
+
+def _buckets_of(rows: DataFrame, key: Sequence[str], count: int) -> set[int]:
+    """Buckets that have rows: at most one number each comes to the driver."""
+    return {r[0] for r in rows.select(store.bucket_of(key, count)).distinct().collect()}
+
+
+def _same_place(stored: StructType, now: StructType, key: Sequence[str]) -> bool:
+    """Whether stored keys stay in their buckets: the text of a key must not change with its type."""
+    return all(stored[k].dataType == now[k].dataType or (whole_number(stored[k].dataType) and whole_number(now[k].dataType)) for k in key)
 
 
 LOADS_TABLE = "_loads"
@@ -168,16 +229,20 @@ def ingest(spark: SparkSession, source: Mapping[str, DataFrame], cfg: Config,
 
 
 def log_loads(spark: SparkSession, cfg: Config, results: Sequence[LoadResult]) -> None:
-    """Append the loads to ``<raw>/_loads`` (one row per loaded table)."""
-    stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = [(r.load_id, r.table, r.source_table, r.mode, r.version, int(r.emitted_rows), stamp)
-            for r in results]
-    log = spark.createDataFrame(rows, LOADS_SCHEMA).coalesce(1)
-    log.write.mode("append").parquet(cfg.dataset_dir("raw", LOADS_TABLE))
+    """Enter the loads in ``<raw>/_loads``: one row per table and load id,
+    however often the load is repeated."""
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3]
+    log = cfg.dataset_dir("raw", LOADS_TABLE)
+    files = Files(spark, log)
+    for r in results:
+        row = {"load_id": r.load_id, "table_name": r.table, "source_table": r.source_table, "load_mode": r.mode,
+               "version": r.version, "emitted_rows": int(r.emitted_rows), "loaded_at": stamp}
+        entry = hashlib.sha256(f"{r.table} {r.load_id}".encode()).hexdigest()[:32]
+        files.put(log, f"{entry}.json", json.dumps(row) + "\n")
 
 
 def read_load_log(spark: SparkSession, cfg: Config) -> DataFrame:
-    return spark.read.schema(LOADS_SCHEMA).parquet(cfg.dataset_dir("raw", LOADS_TABLE))
+    return spark.read.schema(LOADS_SCHEMA).json(cfg.dataset_dir("raw", LOADS_TABLE))
 
 
 def load_table(spark: SparkSession, df: DataFrame, table: SourceTable, cfg: Config,

@@ -5,19 +5,22 @@ since its checkpoint, and each micro-batch is upserted into the raw table
 with ``merge_load`` (I5). Run with ``availableNow`` it processes what has
 arrived and stops, the streaming form of the daily refresh.
 
-Exactly-once: the checkpoint records which files each epoch read; an epoch
-retried after a failure upserts the same rows again, which changes nothing
-(the upsert is idempotent) and writes a new version of equal content.
+Exactly-once: the checkpoint records which files each epoch read, and names
+the query; an epoch's load id is made of both, so an epoch retried after a
+failure finds itself in the table's ledger and adds neither rows nor a
+version. A query with a new checkpoint is another query with loads of its own.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from cadence.sources.files import Files
 from cadence.sources.ingest import SEQ, merge_load
 
 
@@ -42,7 +45,9 @@ def start_upsert_stream(
     """Upsert every micro-batch of ``changes`` into ``table_dir`` on ``key``."""
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        merge_load(batch, table_dir, key, load_id=f"{name}-epoch-{epoch_id}", name=name,
+        # Spark writes the query's id into the checkpoint before the first epoch.
+        query = json.loads(Files(batch.sparkSession, checkpoint_dir).read(f"{checkpoint_dir.rstrip('/')}/metadata"))["id"]
+        merge_load(batch, table_dir, key, load_id=f"{name}-{query}-epoch-{epoch_id}", name=name,
                    seq=seq)
 
     writer = (

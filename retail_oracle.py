@@ -520,6 +520,25 @@ LOAD_SQL: dict[str, str] = {
         select distinct case when quantity > 0 then store_id end as store_id, product_id,
                case when quantity > 0 then quantity else 0 end as quantity
         from raw_stocks"""),
+    "load_merge_touched_buckets": statement("select *, true as carried from raw_orders"),
+    "load_merge_conflict": statement("select *, cast(1 as bigint) as refused from raw_orders"),
+    "load_replayed": statement(f"""
+        select c.table_name, 'load-0001' as load_id, cast(1 as bigint) as log_rows,
+               c.n as emitted_rows, cast(1 as bigint) as versions
+        from ({_COUNTS}) c"""),
+    "load_schema_widened": statement("""
+        select order_id,
+               case when order_id % 3 = 0 then customer_id + 10000000000 else customer_id end
+                   as customer_id,
+               case when order_id % 3 = 1 then null else order_status end as order_status,
+               case when order_id % 3 = 1 then 'S' || order_status end as order_status__string
+        from raw_orders"""),
+    "store_expired": statement("""
+        select cast(v.k as bigint) as version, v.kept,
+               case when v.kept then (select count(*) from raw_customers) end as n_rows,
+               case when v.kept then (select count(*) from raw_customers
+                   where customer_id % 97 between 1 and v.k) end as changed
+        from (values (0, false), (1, true), (2, false), (3, true)) v(k, kept)"""),
     "load_merge_late_rows": statement("""
         select order_id, customer_id, order_status,
                cast(2 as integer) as _seq,
