@@ -4,21 +4,24 @@ Each shingle of a text sends arrivals of a Poisson process, at a rate that is
 its weight, to random registers; a register keeps the shingle that arrives
 first. A text's shingles stop when their next arrival is later than the last
 register's, so that few are drawn. Two texts agree in a register with
-probability equal to their probability Jaccard similarity: with weight 1 for
-each different shingle, the Jaccard similarity of their sets, by which pairs
-are decided, however often a passage stands in a text. Texts that agree in
-all registers of a band are candidates, and the exact Jaccard similarity of
-their sets of five-word shingles decides. Classes are connected components.
+probability equal to their probability Jaccard similarity. A text is sketched
+twice: with weights that grow with the number of times a shingle stands in it,
+and with weight 1 for each different shingle, where the similarity is that of
+the sets of shingles. Where no shingle is repeated both are the same sketch.
+Texts that agree in all registers of a band of either sketch are candidates,
+and one measure decides: the exact Jaccard similarity of their sets of
+five-word shingles. Classes are connected components.
 
 Equal texts are one node. In a bucket, nodes are tested against the bucket's
 smallest node, and where that leaves several classes, against the node with
-most links so far: the original, in a group of edited copies. Where a bucket
-then still holds several classes, its nodes outside the largest meet all its
-nodes of other classes, in blocks, by their registers: pairs that agree in
-66 % of them (of those with similarity 0.8 all but 1 in 18 million do,
-against 1 in 14,000 that shares no band) are tested, each in the first bucket that its nodes share. So no candidate pair is left out unless its nodes are already in one
-class, and a bucket of thousands of copies costs as many tests, not their
-square.
+most links so far: the original, in a group of edited copies. Buckets that
+still hold several classes are dealt into blocks, each bucket in its own way,
+and all nodes of a block are compared with one another where they lie, with
+their shingle sets. Nodes that are then still outside their bucket's largest
+class meet all its nodes, in blocks again. A block compares whole sets, by
+products of incidence matrices, and returns not pairs but which classes are
+connected: a row for each class at most. So no candidate pair is left out
+unless its nodes are already in one class, and no pair is a row.
 """
 
 from __future__ import annotations
@@ -36,11 +39,10 @@ from cadence.llm.tokens import _mix
 
 #: Bands, and registers in each: of pairs with similarity 0.8, 1 in 14,000 shares no band.
 BANDS, ROWS = 24, 5
-#: Registers of a sketch: those of the bands come first, all serve to estimate a similarity.
-REGISTERS = 256
+REGISTERS = BANDS * ROWS
 THRESHOLD = 0.8
-#: Share of equal registers from which a pair across classes is tested, and nodes of a block.
-LIKELY, BLOCK_NODES = 0.66, 2048
+#: Nodes of a block, bytes of their sets, and shingles that are compared together.
+BLOCK_NODES, BLOCK_BYTES, COLUMNS = 1024, 32 << 20, 2048
 
 
 def sketch(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int, registers: int) -> np.ndarray:
@@ -72,18 +74,34 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return _mix(keys + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _sketch_rows(text: str):
+def weights(count: np.ndarray) -> np.ndarray:
+    """Weight of a shingle that stands so many times in its text."""
+    return 1 + np.log(count)
+
+
+def text_bands(owner: np.ndarray, shingle: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The texts that have shingles, and the band keys of each: of its sets' sketch, and of the weighted one if that differs."""
+    have = np.unique(owner)
+    number = np.searchsorted(have, owner)
+    keys = band_keys(sketch(number, shingle, np.ones(len(shingle)), len(have), REGISTERS))
+    found = list(keys)
+    repeats = np.unique(number[count > 1])
+    if len(repeats):
+        own = np.isin(number, repeats)
+        again = sketch(np.searchsorted(repeats, number[own]), shingle[own], weights(count[own]), len(repeats), REGISTERS)
+        for k, more in zip(repeats.tolist(), band_keys(again), strict=True):
+            found[k] = np.unique(np.concatenate([keys[k], more]))
+    return have, found
+
+
+def _band_rows(text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            owner, shingle, _ = shingles(*text_buffer(batch.column(text)))
-            have = np.unique(owner)
-            number = np.searchsorted(have, owner)
-            signature = sketch(number, shingle, np.ones(len(shingle)), len(have), REGISTERS)
-            keys = band_keys(signature).view(np.int64)
-            short = (_mix(signature) >> np.uint64(56)).astype(np.uint8)  # a byte a register
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(have) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
-            signs = pa.array([x.tobytes() + k.tobytes() for x, k in zip(short, keys, strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("_node").take(pa.array(have)), lists, signs], names=["_node", "_bands", "_sign"])
+            have, keys = text_bands(*shingles(*text_buffer(batch.column(text))))
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys], dtype=np.int64)]).astype(np.int32)
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("_node").take(pa.array(have)), lists], names=["_node", "_bands"])
 
     return run
 
@@ -142,106 +160,146 @@ def components(edges: DataFrame) -> DataFrame:
             return classes
 
 
-def _likely(sizes: int):
-    """Pairs across classes that agree in enough registers, from blocks that come one after another.
-
-    A block's rows are members, and nodes from outside the bucket's largest
-    class; ``_sign`` is a node's registers, a byte each, and its buckets.
-    """
-
-    def parts(rows: list[tuple]) -> tuple[np.ndarray, ...]:
-        node, group = (np.array([r[k] for r in rows], np.int64) for k in (2, 3))
-        sign = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
-        return node, group, sign[:, :sizes], np.ascontiguousarray(sign[:, sizes:]).view("<i8")
-
-    def pairs(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        bucket, member = rows[0][5], [r for r in rows if not r[1]]
-        outside = [r for r in rows if r[1]]
-        found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if not member:
-            return found[0][0], found[1][0]
-        node, group, sign, keys = parts(member)
-        for k in range(0, len(outside), 64):
-            own, theirs, other, buckets = parts(outside[k : k + 64])
-            if len(own) * len(member) < 10_000:
-                same = (other[:, None, :] == sign[None, :, :]).sum(2)
-            else:
-                same = np.zeros((len(own), len(member)), np.int16)
-                for r in range(sizes):
-                    same += other[:, r, None] == sign[None, :, r]
-            a, b = np.nonzero((same >= LIKELY * sizes) & (theirs[:, None] != group[None, :]))
-            shared = buckets[a] == keys[b]
-            first = buckets[a, shared.argmax(1)] == bucket
-            found[0].append(own[a[first]])
-            found[1].append(node[b[first]])
-        return np.concatenate(found[0]), np.concatenate(found[1])
-
+def common(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Number of common elements of each set of ``left`` with each of ``right`` (default: with each other one of ``left``)."""
+    both = left if right is None else left + right
+    size = np.fromiter(map(len, both), np.int64, len(both))
+    owner = np.repeat(np.arange(len(both)), size)
+    _, column, holders = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    shared = holders[column] > 1
+    number = np.cumsum(holders > 1) - 1
+    owner, column = owner[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    counts = np.zeros((len(left), len(both) - len(left) if right is not None else len(left)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [first, first + COLUMNS]))
+        held = np.zeros((len(both), COLUMNS), np.float32)
+        held[owner[part], column[part] - first] = 1
+        counts += held[: len(left)] @ (held if right is None else held[len(left) :]).T
+    return counts.astype(np.int64)
+
+
+def _joined(classes: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes, and the smallest class that the links between classes ``a`` and ``b`` connect each with, where that is another."""
+    names, place = np.unique(np.concatenate([classes, a, b]), return_inverse=True)
+    a, b = place[len(classes) : len(classes) + len(a)], place[len(classes) + len(a) :]
+    top = np.arange(len(names))
+    while True:
+        new = top.copy()
+        np.minimum.at(new, a, top[b])
+        np.minimum.at(new, b, top[a])
+        new = new[new]
+        if (new == top).all():
+            moved = top != np.arange(len(names))
+            return names[moved], names[top[moved]]
+        top = new
+
+
+def _links_of(rows: list[tuple], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Classes that the similar pairs of a block connect: of all its nodes, or of those from outside the
+    bucket's largest class with its members."""
+    member, outside = [r for r in rows if not r[1]], [r for r in rows if r[1]]
+    none = np.zeros(0, np.int64)
+    if not member:
+        return none, none
+    sets = [np.frombuffer(r[4], "<u4") for r in member]
+    group, size = np.array([r[3] for r in member], np.int64), np.fromiter(map(len, sets), np.int64, len(sets))
+    if not outside:
+        if (group == group[0]).all():
+            return none, none
+        both = common(sets)
+        similar = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-9
+        a, b = np.nonzero(np.triu(similar & (group[:, None] != group[None, :]), 1))
+        return _joined(group, group[a], group[b])
+    others = [np.frombuffer(r[4], "<u4") for r in outside]
+    theirs, length = np.array([r[3] for r in outside], np.int64), np.fromiter(map(len, others), np.int64, len(others))
+    both = common(others, sets)
+    similar = both >= threshold * (length[:, None] + size[None, :] - both) - 1e-9
+    a, b = np.nonzero(similar & (theirs[:, None] != group[None, :]))
+    return _joined(np.concatenate([theirs, group]), theirs[a], group[b])
+
+
+def _block_rows(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows, left, right, held = None, [], [], [], 0
+        def result(rows: list[tuple]) -> pa.RecordBatch:
+            a, b = _links_of(rows, threshold)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["_a", "_b"])
+
+        key, rows = None, []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("_block", "_outside", "_node", "_class", "_sign", "_bucket")]
+            columns = [batch.column(c).to_pylist() for c in ("_block", "_outside", "_node", "_class", "_set")]
             for row in zip(*columns, strict=True):
                 if row[0] != key:
                     if rows:
-                        a, b = pairs(rows)
-                        left.append(a)
-                        right.append(b)
-                        held += len(a)
+                        yield result(rows)
                     key, rows = row[0], []
-                if held > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["_node", "_other"])
-                    left, right, held = [], [], 0
                 rows.append(row)
         if rows:
-            a, b = pairs(rows)
-            left.append(a)
-            right.append(b)
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["_node", "_other"])
+            yield result(rows)
 
     return run
 
 
-def _across(members: DataFrame, classes: DataFrame, signs: DataFrame) -> DataFrame:
-    """Likely pairs of different classes that share a bucket.
+def _open(members: DataFrame, classes: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their classes, and the buckets of several classes: the largest class, and how many
+    blocks the members, and those outside that class, make."""
+    own = members.join(classes, "_node", "left").withColumn("_class", F.coalesce("_class", "_node")).join(sets.select("_node", "_size"), "_node")
+    within = own.groupBy("_bucket", "_class").agg(F.count("*").alias("_n"), F.sum("_size").alias("_bytes"))
+    mixed = within.groupBy("_bucket").agg(F.max(F.struct("_n", "_class", "_bytes")).alias("_largest"), F.sum("_n").alias("_n"), F.sum("_bytes").alias("_bytes"))
+    mixed = mixed.filter("_largest._n < _n")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK_NODES), F.ceil(size / BLOCK_BYTES))
+    return own.drop("_size"), materialise(mixed.select("_bucket", F.col("_largest._class").alias("_most"), blocks(F.col("_n"), F.col("_bytes")).alias("_ms"),
+                                          blocks(F.col("_n") - F.col("_largest._n"), F.col("_bytes") - F.col("_largest._bytes")).alias("_os")), "near-open")
 
-    Members and outside nodes of a bucket are dealt to blocks of about
-    BLOCK_NODES each; every block of one meets every block of the other.
-    """
-    own = members.join(classes, "_node", "left").withColumn("_class", F.coalesce("_class", "_node"))
-    within = own.groupBy("_bucket", "_class").agg(F.count("*").alias("_n"))
-    mixed = within.groupBy("_bucket").agg(F.max(F.struct("_n", "_class")).alias("_largest"), F.sum("_n").alias("_total")).filter("_largest._n < _total")
-    mixed = materialise(mixed.select("_bucket", F.col("_largest._class").alias("_most"), F.ceil(F.col("_total") / BLOCK_NODES).alias("_ms"),
-                                     F.ceil((F.col("_total") - F.col("_largest._n")) / BLOCK_NODES).alias("_os")), "near-open")
-    signed = own.join(mixed, "_bucket").join(signs, "_node")
+
+def _compared(dealt: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between classes, found in blocks; ``dealt`` has ``_block``, ``_outside``, ``_node``, ``_class``."""
+    rows = dealt.join(sets.select("_node", "_set"), "_node").repartition("_block").sortWithinPartitions("_block")
+    return materialise(rows.mapInArrow(_block_rows(threshold), "_a bigint, _b bigint"), "near-links")
+
+
+def _within_blocks(own: DataFrame, mixed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between classes of one block of a bucket; every node is in one block of each of its buckets."""
+    part = F.pmod(F.xxhash64("_bucket", "_node"), F.col("_ms"))
+    dealt = own.join(mixed, "_bucket").select(F.xxhash64("_bucket", part).alias("_block"), F.lit(False).alias("_outside"), "_node", "_class")
+    return _compared(dealt, sets, threshold)
+
+
+def _across_blocks(own: DataFrame, mixed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links of all nodes outside the largest class of a bucket with all its nodes: every block of one meets every block of the other."""
     at = lambda n: F.pmod(F.xxhash64("_node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    held = own.join(mixed, "_bucket")
     rows = [
-        signed.withColumn("_m", at("_ms")).withColumn("_o", every("_os")).withColumn("_outside", F.lit(False)),
-        signed.filter("_class <> _most").withColumn("_o", at("_os")).withColumn("_m", every("_ms")).withColumn("_outside", F.lit(True)),
+        held.withColumn("_m", at("_ms")).withColumn("_o", every("_os")).withColumn("_outside", F.lit(False)),
+        held.filter("_class <> _most").withColumn("_o", at("_os")).withColumn("_m", every("_ms")).withColumn("_outside", F.lit(True)),
     ]
-    fields = [F.xxhash64("_bucket", "_m", "_o").alias("_block"), "_outside", "_node", "_class", "_sign", "_bucket"]
-    dealt = rows[0].select(*fields).union(rows[1].select(*fields))
-    return (dealt.repartition("_block").sortWithinPartitions("_block")
-            .mapInArrow(_likely(REGISTERS), "_node bigint, _other bigint"))
+    fields = [F.xxhash64("_bucket", "_m", "_o").alias("_block"), "_outside", "_node", "_class"]
+    return _compared(rows[0].select(*fields).union(rows[1].select(*fields)), sets, threshold)
 
 
 def classes_of(texts: DataFrame, sets_of, threshold: float = THRESHOLD) -> DataFrame:
     """Classes of the nodes that have a link: ``_node``, ``_class``.
 
-    ``texts`` has ``_node``, ``_bands``, ``_sign``; ``sets_of(nodes)`` gives the shingle sets of some nodes.
+    ``texts`` has ``_node`` and ``_bands``; ``sets_of(nodes)`` gives the shingle sets of some nodes.
     """
     buckets = texts.select("_node", F.explode("_bands").alias("_bucket"))
     shared = buckets.groupBy("_bucket").agg(F.min("_node").alias("_least"), F.max("_node").alias("_most")).filter("_least < _most")
     members = materialise(buckets.join(shared.select("_bucket", "_least"), "_bucket"), "near-buckets")
-    sets = materialise(sets_of(members.select("_node").distinct()), "near-sets")
+    sets = materialise(sets_of(members.select("_node").distinct()).withColumn("_size", F.octet_length("_set")), "near-sets")
     tested = materialise(members.filter("_node <> _least").select(F.col("_node").alias("_a"), F.col("_least").alias("_b")).distinct(), "near-pairs")
     links = _verify(tested, sets, threshold)
     members = members.select("_bucket", "_node")
-    fresh = _fresh(_to_hubs(members, components(links), links), tested)
-    tested, links = tested.union(fresh), links.union(_verify(fresh, sets, threshold))
-    fresh = _fresh(_across(members, components(links), texts.select("_node", "_sign")), tested)
-    return components(links.union(_verify(fresh, sets, threshold)))
+    classes = components(links)
+    links = links.union(_verify(_fresh(_to_hubs(members, classes, links), tested), sets, threshold))
+    for compare in (_within_blocks, _across_blocks):
+        classes = components(links)
+        own, mixed = _open(members, classes, sets)
+        if mixed.isEmpty():
+            return classes
+        links = links.union(compare(own, mixed, sets, threshold))
+    return components(links)
 
 
 def _to_hubs(members: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -273,8 +331,8 @@ def _classified(docs: DataFrame, text: str, doc_id: str, threshold: float) -> Da
     """
     node, check = _digest(F.col(text))
     keyed = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), node.alias("_node"), check.alias("_check"), F.col(text).alias("_text"))
-    bands = materialise(keyed.select("_node", "_text").mapInArrow(_sketch_rows("_text"), "_node bigint, _bands array<bigint>, _sign binary"), "near-sketches")
-    once = bands.groupBy("_node").agg(F.first("_bands").alias("_bands"), F.first("_sign").alias("_sign"))
+    bands = materialise(keyed.select("_node", "_text").mapInArrow(_band_rows("_text"), "_node bigint, _bands array<bigint>"), "near-sketches")
+    once = bands.groupBy("_node").agg(F.first("_bands").alias("_bands"))
     rows = materialise(keyed.drop("_text"), "near-rows")
 
     def sets_of(nodes: DataFrame) -> DataFrame:

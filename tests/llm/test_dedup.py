@@ -84,6 +84,48 @@ def test_near_copies_with_passages_repeated_often(spark):
     assert by_id(got, "class_id") == brute_classes([(r[0], r[1]) for r in rows])
 
 
+def test_weights_change_the_bands_of_texts_with_repeats():
+    plain, often = prose(80, 7000), prose(80, 7000) + (" " + prose(9, 7001)) * 30
+    data = np.frombuffer((plain + often).encode(), np.uint8)
+    owner, shingle, count = shingles(data, np.array([0, len(plain.encode()), len(data)]))
+    have, keys = minhash.text_bands(owner, shingle, count)
+    unit = minhash.band_keys(minhash.sketch(owner, shingle, np.ones(len(owner)), 2, minhash.REGISTERS))
+    assert have.tolist() == [0, 1] and keys[0].tolist() == unit[0].tolist()
+    assert set(unit[1]) < set(keys[1]) and len(keys[1]) > 1.3 * minhash.BANDS
+
+
+def test_common_elements_are_counted_exactly(monkeypatch):
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    rng = np.random.default_rng(4)
+    a, b = ([np.unique(rng.integers(0, 90, n)).astype("<u4") for n in (1, 5, 40, 200, 17)] for _ in range(2))
+    want = lambda x, y: [[len(set(p) & set(q)) for q in y] for p in x]
+    off = ~np.eye(5, dtype=bool)
+    assert minhash.common(a, b).tolist() == want(a, b) and (minhash.common(a)[off] == np.array(want(a, a))[off]).all()
+
+
+def test_edited_copies_without_the_original(spark, monkeypatch):
+    """Pairs near the threshold: all-pairs classes, in blocks too, and rows in proportion to the copies."""
+    base = prose(150, 8000)
+    made = {n: [row(k, edited(base, 3, 9000 + k)) for k in range(n)] for n in (200, 800)}
+    rows, counted = {}, minhash.materialise
+
+    def noted(df, label):
+        out = counted(df, label)
+        rows[n][label] = rows[n].get(label, 0) + out.count()
+        return out
+
+    for n in made:
+        rows[n] = {}
+        with monkeypatch.context() as m:
+            m.setattr(minhash, "materialise", noted)
+            got = minhash.near_duplicates(documents(spark, made[n])).collect()
+        assert by_id(got, "class_id") == brute_classes([(r[0], r[1]) for r in made[n]])
+    assert all(rows[800][k] <= 4.4 * rows[200][k] + 50 for k in rows[800]), rows
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 64)
+    got = minhash.near_duplicates(documents(spark, made[200])).collect()
+    assert by_id(got, "class_id") == brute_classes([(r[0], r[1]) for r in made[200]])
+
+
 def test_keep_one_keeps_whole_rows(spark):
     rows = awkward() + [row(100 + k, prose(200, 3)) for k in range(5)]
     docs = clashing(documents(spark, rows), ["_node", "_check"])
