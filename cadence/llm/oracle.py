@@ -41,9 +41,20 @@ WITH p AS (
 l AS (SELECT rn, page_id, host, i, trim(s[i], ' ') AS line, s[i] AS raw
       FROM (SELECT rn, page_id, host, string_split(text, chr(10)) AS s FROM p), unnest(range(1, len(s) + 1)) u(i)),
 o AS (SELECT host, text, min(rn) AS rn FROM p GROUP BY host, text),
-f AS (SELECT host, line, count(DISTINCT rn) AS n FROM l WHERE line <> '' AND rn IN (SELECT rn FROM o) GROUP BY host, line),
+q AS (SELECT host, rn, line, length(line) AS n, min(i) AS i FROM l WHERE line <> '' AND rn IN (SELECT rn FROM o) GROUP BY host, rn, line),
+f AS (SELECT host, line, count(*) AS n FROM q GROUP BY host, line),
 t AS (SELECT host, count(*) AS pages FROM o GROUP BY host),
-b AS (SELECT f.host, f.line FROM f JOIN t USING (host) WHERE n >= 5 AND n > 0.05 * pages)
+c AS (SELECT f.host, f.line FROM f JOIN t USING (host) WHERE n >= 2 AND n > 0.05 * pages),
+-- Near copies: 80 % of the characters in common lines; a group goes by its longest common line.
+m AS (SELECT q.host, rn, arg_max(c.line, (n, -i)) FILTER (WHERE c.line IS NOT NULL) AS head, max(n) FILTER (WHERE c.line IS NOT NULL) AS longest
+      FROM q LEFT JOIN c ON q.host = c.host AND q.line = c.line GROUP BY q.host, rn
+      HAVING coalesce(sum(n) FILTER (WHERE c.line IS NOT NULL), 0) >= 0.8 * sum(n) AND count(c.line) > 0),
+g AS (SELECT q.host, q.line, max(m.longest) AS grp FROM q JOIN c ON q.host = c.host AND q.line = c.line JOIN m ON q.rn = m.rn GROUP BY q.host, q.line),
+u AS (SELECT o.host, o.rn, coalesce('copies ' || g.grp, 'page ' || o.rn) AS unit
+      FROM o LEFT JOIN m ON o.rn = m.rn LEFT JOIN g ON m.host = g.host AND m.head = g.line),
+f2 AS (SELECT q.host, q.line, count(DISTINCT u.unit) AS n FROM q JOIN u ON q.rn = u.rn GROUP BY q.host, q.line),
+t2 AS (SELECT host, count(DISTINCT unit) AS pages FROM u GROUP BY host),
+b AS (SELECT f2.host, f2.line FROM f2 JOIN t2 USING (host) WHERE n >= 2 AND n > 0.05 * pages)
 SELECT l.page_id, l.host,
   CASE WHEN bool_or(b.line IS NULL AND l.line <> '') THEN count(b.line) ELSE 0 END AS n_dropped,
   coalesce(CASE WHEN bool_or(b.line IS NULL AND l.line <> '') THEN string_agg(l.raw, chr(10) ORDER BY l.i) FILTER (WHERE b.line IS NULL)

@@ -14,10 +14,6 @@ from cadence.llm.common import free_name, scratch_path
 from cadence.llm.queries import vocabulary
 
 
-#: Texts of which more than this share is in lines common to their source are edited copies to line_dedup.
-COPIED = 0.5
-
-
 def _counted(docs: DataFrame) -> DataFrame:
     """``n_chars``, where there is one, counts the text as it is now."""
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
@@ -31,8 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on too many documents of a source go from its texts, but not what only edited copies share."""
-    return _counted(lines.drop_boilerplate(docs, F.col("source"), copied=COPIED))
+    """Lines on too many documents of a source go from its texts; near copies of a text count once."""
+    return _counted(lines.drop_boilerplate(docs, F.col("source")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,13 +243,14 @@ def test_op6_takes_out_every_word_of_planted_passages(spark):
 
 
 def test_lines_over_the_ratio_go(spark):
-    rows = [row(k, f"Menu\n\n{prose(20, k)}\n  Menu \nfooter {k % 3}", "hot" if k % 3 else "other") for k in range(60)]
+    flat = lambda seed: "\n".join(" ".join(prose(12, 50 * seed + j).split()) for j in range(3))  # noqa: E731  lines of one page each
+    rows = [row(k, f"Menu\n\n{flat(k)}\n  Menu \nfooter {k % 3}", "hot" if k % 3 else "other") for k in range(60)]
     rows += [row(90, "Menu", "hot"), row(91, None, "hot"), row(92, "", "hot"), row(93, "Menu\nown line", None)] + [row(94, "copy\nof a page", "copies")] * 30
     docs = clashing(documents(spark, rows), ["_site", "_boilerplate"])
     got = {r.doc_id: r.text for r in lines.drop_boilerplate(docs, F.col("source")).collect()}
     assert got[90] == "Menu" and got[91] is None and got[92] == "" and got[93] == "Menu\nown line" and got[94] == "copy\nof a page"
     for k in range(60):
-        assert got[k] == "\n" + "\n".join(x for x in prose(20, k).split("\n"))
+        assert got[k] == "\n" + flat(k)
     assert lines.drop_boilerplate(documents(spark, []), F.col("source")).count() == 0
     plan = lines.drop_boilerplate(docs, F.col("source"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -274,6 +275,16 @@ def test_pipeline_keeps_the_text_of_edited_copies(spark):
     assert all(texts[d] == t.split("\n", 1)[1] for d, t, *_ in rows if d in texts)
 
 
+def test_sites_of_long_shared_lines_and_of_few_pages(spark):
+    """Three shared lines longer than the body go from all pages, and from a host of four."""
+    flat = lambda words, seed: " ".join(prose(words, seed).split())
+    shared = [flat(25, 3500 + k) for k in range(3)]
+    rows = [row(k, "\n".join([*shared, flat(30, 3600 + k)]), "large") for k in range(200)]
+    rows += [row(500 + k, "\n".join([*shared, flat(30, 3900 + k)]), "small") for k in range(4)]
+    got = lines.drop_boilerplate(documents(spark, rows), F.col("source"), dropped="gone").collect()
+    assert sum(r.gone for r in got if r.source == "large") == 600 and sum(r.gone for r in got if r.source == "small") == 12
+
+
 @pytest.mark.parametrize("html, want", [
     (None, ""), ("", ""), ("<p>a<b>b</b></p><div class='x'> c  d </div>", "\nab\nc d\n"),
     ("<script>var t='</p>';</script>x<!-- <p> -->y<br/>z", " x y\nz"),

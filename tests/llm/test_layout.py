@@ -1,6 +1,7 @@
 """Sharding, the pipeline, and what keeps the subpackage apart."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -109,18 +110,24 @@ def test_stage_quality(spark, staged):
     assert all(kept[r.doc_id] == r.text for r in before.collect() if r.doc_id in kept and r.doc_id != 10**6 + 6)
 
 
-def brute_lines(rows, ratio=0.05, least=5):
-    """doc_id -> text without the lines over the ratio."""
-    sites = {}
+def brute_lines(rows, ratio=0.05):
+    """doc_id -> text without the lines over the ratio, near copies of a text counted once."""
+    sites, gone, bare = {}, {}, " \t\r\f\x0b"
     for r in rows:
         sites.setdefault(r.source, set()).add(r.text)
-    gone = {}
     for site, texts in sites.items():
-        count = {}
-        for t in texts:
-            for x in {x.strip(" \t\r\f\x0b") for x in (t or "").split("\n")} - {""}:
-                count[x] = count.get(x, 0) + 1
-        gone[site] = {x for x, n in count.items() if n >= least and n > ratio * len(texts)}
+        own = {t: [x for x in dict.fromkeys(x.strip(bare) for x in (t or "").split("\n")) if x] for t in texts}
+
+        def frequent(unit, own=own):
+            held = {(unit(t), x) for t in own for x in own[t]}
+            count = Counter(x for _, x in held)
+            return {x for x, n in count.items() if n >= 2 and n > ratio * len({unit(t) for t in own})}
+
+        common = frequent(lambda t: t)
+        copies = {t: max((x for x in xs if x in common), key=len) for t, xs in own.items()
+                  if xs and any(x in common for x in xs) and sum(len(x) for x in xs if x in common) >= 0.8 * sum(map(len, xs))}
+        longest = {x: max(len(copies[t]) for t in copies if x in own[t]) for x in {x for t in copies for x in own[t]}}
+        gone[site] = frequent(lambda t: longest[copies[t]] if t in copies else (t,))
     out = []
     for r in rows:
         left = [x for x in (r.text or "").split("\n") if x.strip(" \t\r\f\x0b") not in gone[r.source]]
