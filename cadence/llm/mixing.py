@@ -132,8 +132,9 @@ def _slots(sources: DataFrame, shard: int) -> DataFrame:
                                 spare=F.greatest(-F.col("balance"), F.lit(0)), want=F.greatest(F.col("balance"), F.lit(0)))
     before = Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     dealt = drawn.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0))).join(totals.select("number", "quota", "spare"), "number")
-    # Dealt by shard again: the slots of a hot source are listed and mapped in many tasks.
-    dealt = dealt.repartition("shard")
+    # Dealt by shard again: the slots of a hot source are listed and mapped in many tasks. The rows are small
+    # and their slots are not, so the number of tasks is given and Spark does not join them into one.
+    dealt = dealt.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard")
     end = F.col("first") + F.col("drawn")
     kept = dealt.filter("first < quota").select("shard", "number", F.explode(F.sequence("first", F.least(end, F.col("quota")) - 1)).alias("index"))
     over = dealt.filter(end > F.col("quota")).select(
