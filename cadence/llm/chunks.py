@@ -1,4 +1,4 @@
-"""Content-defined chunking with a gear rolling hash, on UTF-8 bytes."""
+"""Content-defined chunking with a gear rolling hash, on UTF-8 bytes or on words."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ import numpy as np
 
 #: Bytes that a hash value depends on: a shift of one bit per byte in 32 bits.
 WINDOW = 32
+#: Of so many boundaries of words in a row, the one of smallest hash is a cut.
+SPREAD = 3
 
 
 def _gear_table() -> np.ndarray:
@@ -64,3 +66,37 @@ def chunk_ends(data: np.ndarray, ends: np.ndarray, bits: int, low: int, high: in
             found.append(at)
         upto.append(len(found))
     return found, upto
+
+
+def word_cuts(word: np.ndarray) -> np.ndarray:
+    """Boundaries at which chunks of words begin: i stands between words i and i + 1.
+
+    The gear hash rolls over words, whose own 64-bit hashes are the gear table;
+    a shift by half the bits per word leaves the two words at a boundary. A cut
+    has the smallest hash (all of them, if equal) of some ``SPREAD`` boundaries
+    in a row, so that no so many are without one, and words further away decide
+    nothing.
+    """
+    if len(word) <= SPREAD:
+        return np.zeros(0, np.int64)
+    gear = (word[:-1] << np.uint64(32)) + word[1:]
+    n = len(gear) - SPREAD + 1
+    smallest = np.minimum.reduce([gear[j : j + n] for j in range(SPREAD)])
+    cut = np.zeros(len(gear), bool)
+    for j in range(SPREAD):
+        cut[j : j + n] |= gear[j : j + n] == smallest
+    return np.flatnonzero(cut)
+
+
+def word_chunks(word: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray]:
+    """The boundary before each chunk, and its number of words.
+
+    From each cut a chunk runs to the first cut that is ``low`` words away or
+    more, which is less than ``low + SPREAD``. Chunks overlap, so that some
+    chunk of any ``low + 4 * SPREAD - 2`` words is the same whatever stands
+    around them.
+    """
+    cuts = word_cuts(word)
+    end = np.searchsorted(cuts, cuts + low)
+    whole = end < len(cuts)
+    return cuts[whole], cuts[end[whole]] - cuts[whole]

@@ -1,13 +1,15 @@
-"""Substring dedup by anchors that the text itself chooses.
-
-Where so many words as make a passage stand in two documents, both hold the
-same shorter gram of words: the one of smallest hash among those inside the
-passage, whatever stands around it. These anchors are counted first; only
-passages whose anchor stands in two documents are compared, by the hash of all
-their words. A sample of them, chosen by that hash, comes first and settles
-the inner words of long repeats; passages with a word that it leaves open, at
-the edges above all, are then looked up in all documents. So each word of a
-document that is in a passage of an earlier one is found, up to both edges.
+"""Substring dedup by content-defined chunks, extended to whole passages.
+
+A gear hash that rolls over words cuts texts where their content says so, so
+that an insertion moves only the chunks beside it. Chunks are told apart by
+digest, and counted first. They are short and dense enough that words which
+make a passage hold one that is cut the same way in every document. Only
+around a chunk that two documents hold are passages compared, by a 128-bit
+hash of all their words. A sample of them, chosen by that hash, comes first
+and settles the inner words of long repeats; passages with a word that it
+leaves open, at the edges above all, are then looked up in all documents. So
+each word of a document that is in a passage of an earlier one is found, up to
+both edges.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadence.llm.chunks import SPREAD, word_chunks
 from cadence.llm.common import arrow_schema, materialise, slices, text_buffer
 from cadence.llm.shingles import _STEP, hash_words, words_of
 from cadence.llm.tokens import _mix
@@ -28,29 +31,55 @@ from cadence.llm.tokens import _mix
 LEAST_WORDS = 20
 #: Slots of the bit arrays, as a power of 2: 4 MB each. One in so many passages is of the sample.
 FILTER_BITS, SAMPLE = 25, 6
+#: Step of the second half of a passage's hash: any odd number but that of the first.
+_CHECK = np.uint64(0x9E3779B97F4A7C15)
 #: Stands for a null document number: it comes first.
 _NULL = -(2**63)
 
 
-def _grams(word: np.ndarray, size: int) -> np.ndarray:
+def _grams(word: np.ndarray, size: int, step: np.uint64 = _STEP) -> np.ndarray:
     """A hash of each ``size`` words in a row, wherever texts end."""
     out = np.zeros(max(0, len(word) - size + 1), np.uint64)
     for j in range(size if len(out) else 0):
-        out = out * _STEP + word[j : j + len(out)]
+        out = out * step + word[j : j + len(out)]
     return _mix(out)
 
 
-def passages(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, place (a word's number), hash and anchor of each ``least`` words in a row of each text."""
+def chunk_words(least: int) -> int:
+    """Words that a chunk has at least, so that a passage of ``least`` words holds a whole one."""
+    if least < 4 * SPREAD - 1:
+        raise ValueError(f"a passage has {4 * SPREAD - 1} words or more")
+    return min(max(1, (least - 2 * SPREAD) // 2), least - 4 * SPREAD + 2)
+
+
+def chunk_digests(word: np.ndarray, low: int) -> np.ndarray:
+    """For each boundary of words the digest of the chunk that begins there; the largest number where none does."""
+    begin, size = word_chunks(word, low)
+    out = np.full(max(0, len(word) - 1), ~np.uint64(0))
+    for n in range(low, low + SPREAD):
+        of_size = begin[size == n]
+        if len(of_size):
+            out[of_size] = _grams(word, n)[of_size + 1]
+    return out
+
+
+def passages(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place (a word's number), both halves of the hash and anchor of each ``least`` words in a row of each text.
+
+    The anchor is the smallest digest of the chunks that the passage's words
+    alone decide: those that begin and end ``SPREAD`` boundaries from its edges.
+    """
     starts, stops, text = words_of(data, ends)
     word = hash_words(data, starts, stops)
-    whole, part = _grams(word, least), _grams(word, max(1, least // 2))
-    anchor, n = part[: len(whole)].copy(), len(whole)
-    for j in range(1, least - max(1, least // 2) + 1):
-        np.minimum(anchor, part[j : j + n], out=anchor)
+    whole, check = _grams(word, least), _grams(word, least, _CHECK)
+    n, low = len(whole), chunk_words(least)
+    digest = chunk_digests(word, low)
+    anchor = np.full(n, ~np.uint64(0))
+    for j in range(SPREAD - 1, least - 2 * SPREAD - low + 1 if n else 0):
+        np.minimum(anchor, digest[j : j + n], out=anchor)
     inside = text[:n] == text[least - 1 :] if n else np.zeros(0, bool)
     owner = text[:n][inside]
-    return owner, np.flatnonzero(inside) - np.searchsorted(text, owner), whole[inside], anchor[inside]
+    return owner, np.flatnonzero(inside) - np.searchsorted(text, owner), whole[inside], check[inside], anchor[inside]
 
 
 def _anchor_rows(text: str, least: int):
@@ -58,7 +87,7 @@ def _anchor_rows(text: str, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            owner, _, _, anchor = passages(*text_buffer(batch.column(text)), least)
+            owner, _, _, _, anchor = passages(*text_buffer(batch.column(text)), least)
             new = np.ones(len(owner), bool)
             new[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
             yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), batch.column("_doc").take(pa.array(owner[new]))], names=["_anchor", "_doc"])
@@ -90,17 +119,18 @@ def _sampled(digest: np.ndarray) -> np.ndarray:
 
 
 def _passage_rows(text: str, least: int, chosen, columns: tuple[str, ...]):
-    """A row per passage that ``chosen(batch, owner, place, digest, anchor)`` marks: digest, columns of the batch, place."""
+    """A row per passage that ``chosen(batch, owner, place, digest, anchor)`` marks: its hash, columns of the batch, place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             found = passages(*text_buffer(batch.column(text)), least)
-            hit = chosen(batch, *found)
-            owner, place, digest, _ = (x[hit] for x in found)
+            owner, place, digest, _, anchor = found
+            hit = chosen(batch, owner, place, digest, anchor)
+            owner, place, digest, check, _ = (x[hit] for x in found)
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest.view(np.int64)), *(batch.column(c).take(rows) for c in columns), pa.array(place.astype(np.int32))],
-                names=["_digest", *columns, "_seq"])
+                [pa.array(digest.view(np.int64)), pa.array(check.view(np.int64)), *(batch.column(c).take(rows) for c in columns), pa.array(place.astype(np.int32))],
+                names=["_digest", "_check", *columns, "_seq"])
 
     return run
 
@@ -127,7 +157,8 @@ def _open(least: int, shared):
 
 def _listed(hits: DataFrame) -> DataFrame:
     """``_row`` and ``_repeats``: place and first document of each repeated passage, one after the other."""
-    lists = hits.groupBy("_row").agg(F.collect_list(F.array(F.col("_seq").cast("bigint"), "_first")).alias("_list"))
+    # A set: equal rows of one document find the same passages, and add nothing to each other's list.
+    lists = hits.groupBy("_row").agg(F.collect_set(F.array(F.col("_seq").cast("bigint"), "_first")).alias("_list"))
     return lists.select("_row", F.flatten("_list").alias("_repeats"))
 
 
@@ -137,17 +168,18 @@ def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
     anchors = keyed.select("_doc", text).mapInArrow(_anchor_rows(text, least), "_anchor bigint, _doc bigint")
     both = anchors.groupBy("_anchor").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last")
     shared = context.broadcast(_bits(both, "_anchor"))
-    schema = "_digest bigint, _doc bigint, _row bigint, _seq int"
+    key, both_halves = ["_digest", "_check"], "_digest bigint, _check bigint"
+    schema = f"{both_halves}, _doc bigint, _row bigint, _seq int"
 
     def sampled(batch, owner, place, digest, anchor):
         return _sampled(digest) & _held(anchor, shared.value)
 
     found = materialise(keyed.select("_doc", "_row", text).mapInArrow(_passage_rows(text, least, sampled, ("_doc", "_row")), schema), "substring-sample")
     # Summed within each task first: a passage in a third of all documents is one row a task.
-    firsts = found.groupBy("_digest").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
+    firsts = found.groupBy(*key).agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
     # As a table: Spark can then split the rows of such a passage in the join.
     firsts = materialise(firsts, "substring-firsts")
-    hits = materialise(found.join(firsts, "_digest").filter("_doc > _first").select("_row", "_seq", "_first"), "substring-hits")
+    hits = materialise(found.join(firsts, key).filter("_doc > _first").select("_row", "_seq", "_first"), "substring-hits")
 
     known = keyed.select("_doc", "_row", text).join(_listed(hits), "_row", "left")
     left = materialise(known.mapInArrow(_passage_rows(text, least, _open(least, shared), ("_doc", "_row")), schema), "substring-open")
@@ -156,10 +188,10 @@ def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
     def asked(batch, owner, place, digest, anchor):
         return _held(digest, wanted.value) & _held(anchor, shared.value) & ~_sampled(digest)
 
-    holders = keyed.select("_doc", text).mapInArrow(_passage_rows(text, least, asked, ("_doc",)), "_digest bigint, _doc bigint, _seq int")
-    firsts = holders.groupBy("_digest").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
+    holders = keyed.select("_doc", text).mapInArrow(_passage_rows(text, least, asked, ("_doc",)), f"{both_halves}, _doc bigint, _seq int")
+    firsts = holders.groupBy(*key).agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
     firsts = materialise(firsts, "substring-firsts")
-    return hits.union(left.join(firsts, "_digest").filter("_doc > _first").select("_row", "_seq", "_first"))
+    return hits.union(left.join(firsts, key).filter("_doc > _first").select("_row", "_seq", "_first"))
 
 
 def _cut(raw: bytes, starts: np.ndarray, stops: np.ndarray, places: np.ndarray, least: int) -> tuple[str, list[dict]]:
@@ -217,8 +249,8 @@ def _cut_repeats(text: str, kept: list[str], least: int):
 def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: tuple[str, ...] = ("doc_id",), least_words: int = LEAST_WORDS) -> DataFrame:
     """Carried columns, ``text`` without repeated passages, ``removed`` spans, ``repeats_of``.
 
-    A passage is ``least_words`` words in a row or more, whatever ASCII white
-    space parts them; it is repeated if an earlier document holds it. Every
+    A passage is ``least_words`` words in a row or more (11 at least), whatever
+    ASCII white space parts them; it is repeated if an earlier document holds it. Every
     word of such a passage goes. Spans are code points of the text as it was,
     ends exclusive; ``repeats_of`` lists the documents that hold the first
     occurrences of passages that together cover what goes. The first occurrence is in the document with the smallest

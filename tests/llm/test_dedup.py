@@ -312,3 +312,40 @@ def test_empty_tables(spark, tmp_root):
     for name in ("op3_prob_minhash", "op6_chunk_passages", "op8_site_lines", "op4_blob_ledger_secrets"):
         assert queries.queries()[name](spark, tmp_root).count() == 0, name
     assert SCHEMA
+
+
+def test_every_passage_holds_a_chunk_that_its_words_decide():
+    """The anchor of a passage is one of its own chunks and the same in any context, also among equal words."""
+    from cadence.llm.shingles import hash_words, words_of
+
+    for passage in (prose(20, 77), "one two " * 10, "same " * 20):
+        seen = set()
+        for k in range(40):
+            text = " ".join([prose(3 + k % 30, 100 + k), passage.strip(), prose(2 + k % 17, 200 + k)]).encode()
+            data, ends = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+            at = len(prose(3 + k % 30, 100 + k).split())
+            _, place, digest, check, anchor = substring.passages(data, ends, 20)
+            here = int(np.flatnonzero(place == at)[0])
+            starts, stops, _ = words_of(data, ends)
+            own = substring.chunk_digests(hash_words(data, starts, stops), substring.chunk_words(20))[at : at + 13]
+            assert anchor[here] in own[own != ~np.uint64(0)]
+            seen.add((int(digest[here]), int(check[here]), int(anchor[here])))
+        assert len(seen) == 1
+    word = np.random.default_rng(5).integers(0, 1 << 63, 20_000).astype(np.uint64)
+    begin, size = chunks.word_chunks(word, 7)
+    assert set(size.tolist()) == {7, 8, 9} and np.diff(begin).max() <= chunks.SPREAD
+    again, _ = chunks.word_chunks(np.concatenate([word[:9000], word[:5], word[9000:]]), 7)
+    assert len({*begin.tolist()} - {*again[again < 9000].tolist(), *(again[again >= 9005] - 5).tolist()}) < 15
+    with pytest.raises(ValueError):
+        substring.chunk_words(10)
+
+
+def test_lists_of_repeats_grow_with_the_rows_of_a_document(spark):
+    """Equal rows of one document: each lists its passages once."""
+    shared = prose(60, 3)
+    rows = [row(1, shared)] + [row(2, prose(40, 4) + " " + shared)] * 50
+    keyed = documents(spark, rows).selectExpr("text", "CAST(doc_id AS BIGINT) AS _doc", "xxhash64(doc_id, text) AS _row")
+    listed = substring._listed(substring._repeated(keyed, "text", 20)).collect()
+    assert len(listed) == 1 and len(listed[0]._repeats) <= 2 * 41
+    got = substring.drop_repeated_passages(documents(spark, rows)).collect()
+    assert len(got) == 51 and all(r.text.split() == prose(40, 4).split() for r in got if r.doc_id == 2)
