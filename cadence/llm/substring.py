@@ -4,7 +4,7 @@ A gear hash that rolls over words cuts texts where their content says so, so
 that an insertion moves only the chunks beside it. Chunks are told apart by
 digest, and counted first. They are short and dense enough that words which
 make a passage hold one that is cut the same way in every document. Only
-around a chunk that two documents hold are passages compared, by a 128-bit
+around a chunk that two documents hold are passages compared, by a 96-bit
 hash of all their words. A sample of them, chosen by that hash, comes first
 and settles the inner words of long repeats; passages with a word that it
 leaves open, at the edges above all, are then looked up in all documents. So
@@ -31,7 +31,7 @@ from cadence.llm.tokens import _mix
 LEAST_WORDS = 20
 #: Slots of the bit arrays, as a power of 2: 4 MB each. One in so many passages is of the sample.
 FILTER_BITS, SAMPLE = 25, 6
-#: Step of the second half of a passage's hash: any odd number but that of the first.
+#: Step of the check, a further 32 bits of the hash: any odd number but that of the first.
 _CHECK = np.uint64(0x9E3779B97F4A7C15)
 #: Stands for a null document number: it comes first.
 _NULL = -(2**63)
@@ -49,7 +49,7 @@ def chunk_words(least: int) -> int:
     """Words that a chunk has at least, so that a passage of ``least`` words holds a whole one."""
     if least < 4 * SPREAD - 1:
         raise ValueError(f"a passage has {4 * SPREAD - 1} words or more")
-    return min(max(1, (least - 2 * SPREAD) // 2), least - 4 * SPREAD + 2)
+    return min(max(1, (least - SPREAD) // 3), least - 4 * SPREAD + 2)
 
 
 def chunk_digests(word: np.ndarray, low: int) -> np.ndarray:
@@ -64,7 +64,7 @@ def chunk_digests(word: np.ndarray, low: int) -> np.ndarray:
 
 
 def passages(data: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, place (a word's number), both halves of the hash and anchor of each ``least`` words in a row of each text.
+    """Text, place (a word's number), hash, its check and anchor of each ``least`` words in a row of each text.
 
     The anchor is the smallest digest of the chunks that the passage's words
     alone decide: those that begin and end ``SPREAD`` boundaries from its edges.
@@ -129,7 +129,7 @@ def _passage_rows(text: str, least: int, chosen, columns: tuple[str, ...]):
             owner, place, digest, check, _ = (x[hit] for x in found)
             rows = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest.view(np.int64)), pa.array(check.view(np.int64)), *(batch.column(c).take(rows) for c in columns), pa.array(place.astype(np.int32))],
+                [pa.array(digest.view(np.int64)), pa.array((check >> np.uint64(32)).astype(np.uint32).view(np.int32)), *(batch.column(c).take(rows) for c in columns), pa.array(place.astype(np.int32))],
                 names=["_digest", "_check", *columns, "_seq"])
 
     return run
@@ -168,8 +168,8 @@ def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
     anchors = keyed.select("_doc", text).mapInArrow(_anchor_rows(text, least), "_anchor bigint, _doc bigint")
     both = anchors.groupBy("_anchor").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last")
     shared = context.broadcast(_bits(both, "_anchor"))
-    key, both_halves = ["_digest", "_check"], "_digest bigint, _check bigint"
-    schema = f"{both_halves}, _doc bigint, _row bigint, _seq int"
+    key, hash_columns = ["_digest", "_check"], "_digest bigint, _check int"
+    schema = f"{hash_columns}, _doc bigint, _row bigint, _seq int"
 
     def sampled(batch, owner, place, digest, anchor):
         return _sampled(digest) & _held(anchor, shared.value)
@@ -188,7 +188,7 @@ def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
     def asked(batch, owner, place, digest, anchor):
         return _held(digest, wanted.value) & _held(anchor, shared.value) & ~_sampled(digest)
 
-    holders = keyed.select("_doc", text).mapInArrow(_passage_rows(text, least, asked, ("_doc",)), f"{both_halves}, _doc bigint, _seq int")
+    holders = keyed.select("_doc", text).mapInArrow(_passage_rows(text, least, asked, ("_doc",)), f"{hash_columns}, _doc bigint, _seq int")
     firsts = holders.groupBy(*key).agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
     firsts = materialise(firsts, "substring-firsts")
     return hits.union(left.join(firsts, key).filter("_doc > _first").select("_row", "_seq", "_first"))
