@@ -33,6 +33,8 @@ LEAST_WORDS = 20
 FILTER_BITS, SAMPLE = 25, 6
 #: Step of the check, a further 32 bits of the hash: any odd number but that of the first.
 _CHECK = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a chunk's digest that are counted; a chance match only compares passages in vain.
+_ANCHOR = np.uint64((1 << 48) - 1)
 #: Stands for a null document number: it comes first.
 _NULL = -(2**63)
 
@@ -49,7 +51,7 @@ def chunk_words(least: int) -> int:
     """Words that a chunk has at least, so that a passage of ``least`` words holds a whole one."""
     if least < 4 * SPREAD - 1:
         raise ValueError(f"a passage has {4 * SPREAD - 1} words or more")
-    return min(max(1, (least - SPREAD) // 3), least - 4 * SPREAD + 2)
+    return min(max(1, (least - 2 * SPREAD) // 3), least - 4 * SPREAD + 2)
 
 
 def chunk_digests(word: np.ndarray, low: int) -> np.ndarray:
@@ -90,7 +92,7 @@ def _anchor_rows(text: str, least: int):
             owner, _, _, _, anchor = passages(*text_buffer(batch.column(text)), least)
             new = np.ones(len(owner), bool)
             new[1:] = (owner[1:] != owner[:-1]) | (anchor[1:] != anchor[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), batch.column("_doc").take(pa.array(owner[new]))], names=["_anchor", "_doc"])
+            yield pa.RecordBatch.from_arrays([pa.array((anchor[new] & _ANCHOR).view(np.int64)), batch.column("_doc").take(pa.array(owner[new]))], names=["_anchor", "_doc"])
 
     return run
 
