@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.llm.common import free_name, materialise
@@ -48,28 +48,39 @@ def _prefilter(rule: Rule, text: Column) -> Column:
     return text.rlike("[:=]") & text.rlike(rule.pattern)
 
 
-def spans(rule: Rule, text: Column) -> Column:
-    """Spans (code points, end exclusive) of the matches that are long enough.
+def matches(rule: Rule, text: Column) -> Column:
+    """The matches in order, as ``before`` (characters since the match before), ``n`` and ``shown`` (characters of the group).
 
     Matches are leftmost and do not overlap, as a plain scan finds them; the
-    text between them, from the same pattern, gives their places.
+    text between them, from the same pattern, tells how far they are apart.
     """
     # Runs of the hex class shorter than the least length neither count nor
     # stand in for longer ones, so only long runs need be matched.
     pattern = "[0-9a-f]{%d,}" % rule.least if rule.name == "hex" else rule.pattern
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     shown = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)) if rule.group else whole
-    between = F.split(text, pattern, -1)
-    lengths = F.zip_with(F.zip_with(whole, shown, lambda w, g: F.struct(F.length(w).alias("n"), F.length(g).alias("g"))), F.slice(between, F.lit(1), F.size(whole)),
-                         lambda m, b: F.struct(F.length(b).alias("b"), m.n.alias("n"), m.g.alias("g")))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    found = F.aggregate(
-        lengths, F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda acc, m: F.struct(
-            (acc.at + m.b + m.n).alias("at"),
-            F.when(m.g >= rule.least, F.concat(acc.spans, F.array(F.struct((acc.at + m.b).alias("start"), (acc.at + m.b + m.n).alias("end"))))).otherwise(acc.spans).alias("spans")),
-        lambda acc: acc.spans)
-    return F.when(_prefilter(rule, text), found).otherwise(none)
+    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
+    found = F.zip_with(F.zip_with(whole, shown, lambda w, g: F.struct(F.length(w).alias("n"), F.length(g).alias("shown"))), between,
+                       lambda m, b: F.struct(F.length(b).alias("before"), m.n.alias("n"), m.shown.alias("shown")))
+    return F.when(_prefilter(rule, text), found).otherwise(F.array().cast("array<struct<before:int,n:int,shown:int>>"))
+
+
+def with_spans(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """``blob``, ``rule``, ``version``, ``spans`` (code points, end exclusive) of the rules in ``lacking``.
+
+    The places are running sums over a blob's matches, a row for each match, so
+    that work and memory are in proportion to the matches of a text. ``texts``
+    has one row per blob; its partitioning by ``blob`` serves all steps.
+    """
+    found = texts.select("blob", F.explode(F.filter(F.array(*[
+        F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"), F.lit(r.least).alias("least"),
+                 F.when(F.array_contains("lacking", r.name), matches(r, F.col("text"))).alias("found"))
+        for r in rules]), lambda x: x.found.isNotNull())).alias("f")).select("blob", "f.*")
+    each = found.select("blob", "rule", "version", "least", F.posexplode_outer("found").alias("at", "m"))
+    so_far = Window.partitionBy("blob", "rule", "version").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = each.withColumn("end", F.sum(F.col("m.before") + F.col("m.n")).over(so_far).cast("int"))
+    span = F.struct((F.col("end") - F.col("m.n")).alias("start"), F.col("end").alias("end"))
+    return ended.groupBy("blob", "rule", "version").agg(F.array_sort(F.collect_list(F.when(F.col("m.shown") >= F.col("least"), span))).alias("spans"))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
@@ -103,9 +114,7 @@ def scan(versions: DataFrame, ledger_path: str, text: str = "text", rules: tuple
     else:
         todo = blobs.withColumn("lacking", F.array(*[F.lit(r.name) for r in rules]))
     once = todo.groupBy("blob").agg(F.first("text").alias("text"), F.first("lacking").alias("lacking"))
-    found = once.select("blob", F.explode(F.filter(F.array(*[
-        F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"), F.when(F.array_contains("lacking", r.name), spans(r, F.col("text"))).alias("spans"))
-        for r in rules]), lambda x: x.spans.isNotNull())).alias("f")).select("blob", "f.*")
+    found = with_spans(once, rules)
     found.write.mode("append").option("compression", "zstd").parquet(ledger_path)
     return current(spark, ledger_path, rules)
 
@@ -147,17 +156,17 @@ def redact(versions: DataFrame, ledger_path: str, text: str = "text", mark: str
     has findings; null texts stay null, all other columns stay as they are.
     """
     rows = scan(versions, ledger_path, text, rules)
-    blob, spans_ = free_name(versions, "_blob"), free_name(versions, "_spans")
-    every = F.array_sort(F.concat(*[F.coalesce(F.col(r.name), F.array()) for r in rules]))
-    hit = rows.select(F.col("blob").alias(blob), every.alias(spans_)).filter(F.size(spans_) > 0)
+    blob, gaps = free_name(versions, "_blob"), free_name(versions, "_gaps")
+    # Text that stays lies between the furthest end so far and the next span's start.
+    each = rows.select("blob", F.explode(F.concat(*[F.coalesce(F.col(r.name), F.array()) for r in rules])).alias("s"))
+    earlier = Window.partitionBy("blob").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ended = each.withColumn("since", F.coalesce(F.max("s.end").over(earlier), F.lit(0)))
+    gap = F.struct(F.col("since").alias("since"), F.col("s.start").alias("start"))
+    hit = ended.groupBy(F.col("blob").alias(blob)).agg(
+        F.struct(F.array_sort(F.collect_list(F.when(F.col("s.start") >= F.col("since"), gap))).alias("kept"), F.max("s.end").alias("end")).alias(gaps))
     hit = materialise(hit, "secret-findings")  # as a table: Spark broadcasts it if small, or splits a blob of very many paths
-    empty = F.array().cast("array<string>")
-    pieces = F.aggregate(
-        F.col(spans_), F.struct(F.lit(0).alias("at"), empty.alias("parts")),
-        lambda acc, s: F.struct(
-            F.greatest(acc.at, s.end).alias("at"),
-            F.when(s.start >= acc.at, F.concat(acc.parts, F.array(F.substring(F.col(text), acc.at + 1, s.start - acc.at), F.lit(mark)))).otherwise(acc.parts).alias("parts")),
-        lambda acc: F.concat(F.array_join(acc.parts, ""), F.substr(F.col(text), acc.at + 1)))
+    pieces = F.transform(F.col(gaps)["kept"], lambda g: F.concat(F.substring(F.col(text), g.since + 1, g.start - g.since), F.lit(mark)))
+    whole = F.concat(F.array_join(pieces, ""), F.substr(F.col(text), F.col(gaps)["end"] + 1))
     joined = versions.withColumn(blob, blob_id(F.col(text))).join(hit, blob, "left")
-    clean = F.when(F.col(spans_).isNull(), F.col(text)).otherwise(pieces)
+    clean = F.when(F.col(gaps).isNull(), F.col(text)).otherwise(whole)
     return joined.select(*[clean.alias(text) if c == text else F.col(c) for c in versions.columns])

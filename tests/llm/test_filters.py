@@ -55,6 +55,26 @@ def test_ledger_scans_only_unseen_pairs(spark, tmp_root):
     assert len(hexes) == 1 and hexes[0].hex[0].end - hexes[0].hex[0].start == 40
 
 
+def test_time_in_proportion_to_the_matches_of_a_text(spark, tmp_root):
+    """Four times the matches in one text take about four times as long, and all places are right."""
+    import time
+
+    def timed(n):
+        text = "é token=abcdef12 " * n
+        docs = documents(spark, [row(1, text)])
+        start = time.monotonic()
+        (found,) = secrets_scan.findings(docs, f"{tmp_root}/ledger-{n}").collect()
+        took = time.monotonic() - start
+        assert [(s.start, s.end) for s in found.assign] == [(17 * i + 2, 17 * i + 16) for i in range(n)]
+        return took
+
+    timed(100)
+    assert timed(64_000) <= 4.5 * timed(16_000)
+    text = "é token=abcdef12 " * 8000
+    (clean,) = secrets_scan.redact(documents(spark, [row(1, text)]), f"{tmp_root}/redact").collect()
+    assert clean.text == "é [SECRET] " * 8000
+
+
 def test_plan_is_native(spark, tmp_root):
     plan = secrets_scan.findings(documents(spark), f"{tmp_root}/l")
     assert not re.search("Python|Arrow|Pandas", plan.drop("doc_id")._jdf.queryExecution().optimizedPlan().toString())
