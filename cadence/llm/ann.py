@@ -112,6 +112,47 @@ def taking_part(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.filter(F.size("embedding") == (lengths[0].n if lengths else 0))
 
 
+def _thinned(rows: DataFrame, limit: int) -> DataFrame:
+    """``limit`` rows by the hash of their number; a bound on the hash first, so that few more reach the task that sorts them."""
+    n = rows.count()
+    hashed = F.xxhash64("vec_id")
+    if n > 4 * limit:
+        rows = rows.filter(F.shiftrightunsigned(hashed, 1) < int(4 * limit / n * 2.0**63))
+    return rows.orderBy(hashed, "vec_id").limit(limit)
+
+
+def _classes(rows: DataFrame, is_query: Column) -> tuple[DataFrame, DataFrame]:
+    """Different vectors, and the members of each.
+
+    Classes have ``vec_id`` (a number of the class, in the order of the smallest
+    numbers that they hold), ``embedding``, ``asked`` (holds a query); members
+    ``cls``, ``vec_id``, ``is_query``. Vectors are told apart by 128 bits.
+    """
+    e = F.col("embedding")
+    named = rows.select("vec_id", "embedding", F.xxhash64(e).alias("_h"), F.xxhash64(F.lit(1), e).alias("_g"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    once = named.groupBy("_h", "_g").agg(F.min("vec_id").alias("_low"), F.first("embedding").alias("embedding"), F.max("is_query").alias("asked"))
+    classes = materialise(once.orderBy("_low", "_h", "_g").withColumn("cls", row_id()), "ann-classes")
+    members = named.drop("embedding").join(classes.select("_h", "_g", "cls"), ["_h", "_g"]).select("cls", "vec_id", "is_query")
+    return classes.select(F.col("cls").alias("vec_id"), "embedding", "asked"), materialise(members, "ann-members")
+
+
+def _expanded(found: DataFrame, classes: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """Numbers for classes: each query's candidates, at most k + 1 (its own among them or not), from its class's nearest classes."""
+    own = classes.filter("asked").select(F.col("vec_id").alias("query_id"), "vec_id", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")).alias("score"))
+    near = found.select("query_id", "vec_id", "score").unionByName(own)
+    # Spark drops what is beyond the k + 1 smallest numbers of a class before it shuffles them.
+    smallest = Window.partitionBy("cls").orderBy("vec_id")
+    few = members.select("cls", "vec_id").distinct().withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= k + 1)
+    numbers = near.join(few.select("cls", F.col("vec_id").alias("member")), near.vec_id == F.col("cls")).select(F.col("query_id"), F.col("member").alias("vec_id"), "score")
+    wanted = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    once = numbers.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("_n", F.row_number().over(wanted)).filter(F.col("_n") <= k + 1)
+    # A list of at most k + 1 per class; a class that very many queries share is a hot key of a join, which Spark can split.
+    lists = materialise(once.groupBy("query_id").agg(F.collect_list(F.struct("vec_id", "score")).alias("near")), "ann-lists")
+    asked = members.filter("is_query").select("cls", F.col("vec_id").alias("query_id"))
+    each = asked.join(lists.select(F.col("query_id").alias("cls"), "near"), "cls").select("query_id", F.explode("near").alias("n"))
+    return each.select("query_id", "n.vec_id", "n.score").filter(F.col("vec_id") != F.col("query_id"))
+
+
 def _top(scored: DataFrame, k: int) -> DataFrame:
     """Each query's k best: largest score, ties to the smaller number; a vector counts once."""
     once = scored.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -141,17 +182,18 @@ def brute_force(rows: DataFrame, queries: list[tuple[int, np.ndarray]], k: int)
 
 
 def _on_curves(rows: DataFrame, projection: Projection) -> DataFrame:
-    """Every vector at its place on each curve: curve, at (0, 1, ...), vec_id, embedding."""
+    """Every vector at its place on each curve: curve, at (0, 1, ...), vec_id, embedding, asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 for curve, keys in enumerate(projection.keys(_matrix(batch.column("embedding")))):
                     number = pa.array(np.full(batch.num_rows, curve, np.int32))
-                    yield pa.RecordBatch.from_arrays([number, pa.array(keys), batch.column("vec_id"), batch.column("embedding")], names=["curve", "key", "vec_id", "embedding"])
+                    yield pa.RecordBatch.from_arrays([number, pa.array(keys), batch.column("vec_id"), batch.column("embedding"), batch.column("asked")],
+                                                          names=["curve", "key", "vec_id", "embedding", "asked"])
 
     kind = dict(rows.dtypes)["embedding"]
-    keyed = rows.mapInArrow(run, f"curve int, key bigint, vec_id bigint, embedding {kind}")
+    keyed = rows.mapInArrow(run, f"curve int, key bigint, vec_id bigint, embedding {kind}, asked boolean")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["curve", "key", "vec_id"]
     placed = materialise(keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_row", row_id()), "ann-curves")
@@ -160,12 +202,12 @@ def _on_curves(rows: DataFrame, projection: Projection) -> DataFrame:
     before = Window.partitionBy("curve").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = materialise(counts.select("curve", "_part", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")), "ann-parts")
     return placed.withColumn("_part", part).join(firsts, ["curve", "_part"]).select(
-        "curve", (F.col("_first") + F.col("_row") - F.col("_low")).alias("at"), "vec_id", "embedding")
+        "curve", (F.col("_first") + F.col("_row") - F.col("_low")).alias("at"), "vec_id", "embedding", "asked")
 
 
 def _fit_window(placed: DataFrame, rows: DataFrame, queries: DataFrame, k: int, recall: float) -> int:
     """Rows to each side of a query that hold ``recall`` of the sample's true neighbours on some curve."""
-    sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_QUERIES).collect()
+    sample = _thinned(queries, FIT_QUERIES).collect()
     if not sample:
         return LEAST_WINDOW * k
     true = brute_force(rows, [(r.vec_id, np.array(r.embedding, np.float64)) for r in sample], k)
@@ -207,17 +249,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec
     one vector, scored by the nearest. Other columns are not read.
     """
     rows = taking_part(vectors, vec_id, embedding)
-    spark, schema = vectors.sparkSession, "query_id bigint, rank int, vec_id bigint, score double"
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("embedding").toArrow()
+    classes, members = _classes(rows, is_query)
+    sample = _thinned(classes, FIT_ROWS).select("embedding").toArrow()
     if not sample.num_rows:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    placed = _on_curves(rows, Projection(_matrix(sample.column("embedding")), curves, DIMENSIONS, BITS))
-    window = _fit_window(placed, rows, rows.filter(is_query), k, recall)
+    placed = _on_curves(classes, Projection(_matrix(sample.column("embedding")), curves, DIMENSIONS, BITS))
+    window = _fit_window(placed, classes, classes.filter("asked"), k, recall)
     block = min(BLOCK_HIGH, max(BLOCK_LOW, window))
     held = placed.withColumn("block", F.floor(F.col("at") / block))
     first, last = F.greatest(F.floor((F.col("at") - window) / block), F.lit(0)), F.floor((F.col("at") + window) / block)
-    asked = placed.filter(is_query).withColumn("block", F.explode(F.sequence(first, last)))
+    asked = placed.filter("asked").withColumn("block", F.explode(F.sequence(first, last)))
     asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns])
     scored = held.groupBy("curve", "block").cogroup(asked.groupBy("q_curve", "q_block")).applyInArrow(
         _score_block(k, window), "query_id bigint, vec_id bigint, score double")
-    return _top(scored, k).select("query_id", "rank", "vec_id", "score")
+    best = materialise(_top(scored, k), "ann-best")
+    return _top(_expanded(best, classes, members, k), k).select("query_id", "rank", "vec_id", "score")

@@ -56,10 +56,28 @@ def test_awkward_vectors(spark):
     docs = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).withColumns({c: F.lit("clash") for c in ("score", "rank", "curve", "at", "key")})
     got = results(ann.search(docs, F.col("vec_id") % 20 == 0, k=20))
     assert {q: [v for v, _ in w] for q, w in got.items()} == {0: [1, 2, 20, 10], 20: [0, 1, 2, 10]}
+    # Different vectors of one number, some equal to those of other numbers: the nearest counts.
+    twice = spark.createDataFrame([(0, [1.0, 0.0], 0), (0, [0.0, 1.0], 0), (1, [0.0, 1.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 2.0], 0), (3, [0.5, 0.0], 0)], VECTORS)
+    assert results(ann.search(twice, F.col("vec_id") == 0, k=20)) == {0: [(2, 2.0), (1, 1.0), (3, 0.5)]}
     assert ann.search(spark.createDataFrame([], VECTORS), F.col("vec_id") % 20 == 0).count() == 0
     assert ann.search(spark.createDataFrame([(0, [1.0], 0)], VECTORS), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_runs_of_equal_vectors_longer_than_the_window(spark):
+    """Ties go to the smallest numbers, as by brute force, in runs of 1,200 and of 3 equal vectors."""
+    rng = np.random.default_rng(11)
+    middle = rng.normal(size=(40, 8))
+    x = (middle[rng.integers(0, 40, 6000)] + 0.05 * rng.normal(size=(6000, 8))).astype(np.float32)
+    hot = rng.permutation(6000)[:1800]
+    x[hot[:1200]] = x[hot[0]] * 3
+    x[hot[1200:]] = x[hot[1200:]][np.arange(600) // 3 * 3]
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS)
+    got, want = results(ann.search(rows, F.col("vec_id") % 50 == 0, k=10)), brute(np.arange(6000), x.astype(np.float64), 10, 50)
+    assert recall(got, want) >= 0.9
+    equal = [q for q in want if q in set(hot[:1200].tolist())]
+    assert len(equal) > 10 and all([v for v, _ in got[q]] == [v for v, _ in want[q]] for q in equal)
+
+
 def test_hilbert_curve_visits_neighbours():
     """All cells of a grid get different keys, and cells next in order are next to each other."""
     for dimensions, bits in ((2, 4), (3, 3), (4, 2)):
