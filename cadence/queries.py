@@ -20,7 +20,7 @@ from cadence.operators import kpi, quality
 from cadence.operators.marts import calendar, order_calendar
 from cadence.plans.build import build
 from cadence.plans.datasets import Workspace
-from cadence.sources import fixtures, ingest, reconcile, store
+from cadence.sources import bucketed, fixtures, ingest, reconcile, store
 from cadence.sources.fixtures import raw_tables
 from cadence.sources.testdata import TestData
 
@@ -634,7 +634,30 @@ def sql_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(workspace(spark, sf_dir), DASHBOARD_SQL, ["rpt_sales", "rpt_orders"])
 
 
+def co_located_workspace(spark: SparkSession, sf_dir: str, tag: str) -> Workspace:
+    """Orders and their lines in the same buckets of the order key."""
+    ws = workspace(spark, sf_dir)
+    root = f"{run_config(spark, tag).root.rstrip('/')}/bucketed"
+    frames = {name: ws[name] for name in ("stg_orders", "order_lines")}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, df in bucketed.co_located(frames, root, "order_id", buckets).items():
+        ws.put(name, df)
+    return ws
+
+
+def fct_orders_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line totals and their join with the headers, bucket by bucket."""
+    return co_located_workspace(spark, sf_dir, "fct-orders")["fct_orders"]
+
+
+def fct_order_items_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and headers joined bucket by bucket."""
+    return co_located_workspace(spark, sf_dir, "fct-order-items")["fct_order_items"]
+
+
 OPERATOR_QUERIES: dict[str, QueryFn] = {
+    "fct_orders_bucketed": fct_orders_bucketed,
+    "fct_order_items_bucketed": fct_order_items_bucketed,
     "load_replace": load_replace,
     "load_merge_single_pk": load_merge_single_pk,
     "load_merge_composite_pk": load_merge_composite_pk,

@@ -919,6 +919,8 @@ def all_sql_full() -> dict[str, str]:
     out.update(DQ_SQL)
     out.update(SCALAR_SQL)
     out.update(BUILD_SQL)
+    out["fct_orders_bucketed"] = dataset_sql("fct_orders")
+    out["fct_order_items_bucketed"] = dataset_sql("fct_order_items")
     out["dq_report"] = dq_report_sql()
     out["dq_report_singular"] = dq_report_singular_sql()
     out["build_report"] = build_report_sql()
