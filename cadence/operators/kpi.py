@@ -45,8 +45,10 @@ def _n_orders() -> Column:
     return F.countDistinct("order_id").cast("bigint").alias("n_orders")
 
 
-def _n_lines() -> Column:
-    return F.count(F.lit(1)).cast("bigint").alias("n_lines")
+def _n_lines(sales: DataFrame) -> Column:
+    """Lines; a rollup of them carries their number (``operators/rollup.py``)."""
+    lines = F.sum("n_lines") if "n_lines" in sales.columns else F.count(F.lit(1))
+    return lines.cast("bigint").alias("n_lines")
 
 
 def _quantity() -> Column:
@@ -68,21 +70,21 @@ def revenue_store_month(rpt_sales: DataFrame, filters: dict | None = None) -> Da
     """K1: revenue by store and year-month."""
     sales = apply_filters(rpt_sales, filters)
     return sales.groupBy("store_id", "store_name", "order_year_month").agg(
-        _revenue(), _quantity(), _n_lines()
+        _revenue(), _quantity(), _n_lines(sales)
     )
 
 
 def revenue_state(rpt_sales: DataFrame, filters: dict | None = None) -> DataFrame:
     """K2: revenue by the store's state."""
     sales = apply_filters(rpt_sales, filters)
-    return sales.groupBy("store_state").agg(_revenue(), _n_orders(), _n_lines())
+    return sales.groupBy("store_state").agg(_revenue(), _n_orders(), _n_lines(sales))
 
 
 def revenue_period(rpt_sales: DataFrame, filters: dict | None = None) -> DataFrame:
     """K3: revenue time series by year, quarter and month."""
     sales = apply_filters(rpt_sales, filters)
     return sales.groupBy("order_year", "order_quarter", "order_month").agg(
-        _revenue(), _n_orders(), _n_lines()
+        _revenue(), _n_orders(), _n_lines(sales)
     )
 
 
@@ -139,7 +141,7 @@ def sales_staff(rpt_sales: DataFrame, filters: dict | None = None) -> DataFrame:
     """K9: sales by staff member and store."""
     sales = apply_filters(rpt_sales, filters)
     return sales.groupBy("staff_id", "staff_name", "store_id", "store_name").agg(
-        _revenue(), _n_orders(), _n_lines(), _quantity()
+        _revenue(), _n_orders(), _n_lines(sales), _quantity()
     )
 
 
@@ -147,7 +149,7 @@ def weekday_sales(rpt_sales: DataFrame, filters: dict | None = None) -> DataFram
     """Sales by day name, with the weekend flag."""
     sales = apply_filters(rpt_sales, filters)
     return sales.groupBy("order_is_weekend", "order_day_name").agg(
-        _revenue(), _n_orders(), _n_lines()
+        _revenue(), _n_orders(), _n_lines(sales)
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cadence.catalog import TABLES_BY_NAME
 from cadence.config import DEFAULT_CALENDAR_END, DEFAULT_CALENDAR_START, Config, default_config
 from cadence.functions import calendar_columns, columns as fn
-from cadence.operators import kpi, quality
+from cadence.operators import kpi, quality, rollup
 from cadence.operators.marts import calendar, order_calendar
 from cadence.plans.build import build
 from cadence.plans.datasets import Workspace
@@ -655,7 +655,15 @@ def fct_order_items_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return co_located_workspace(spark, sf_dir, "fct-order-items")["fct_order_items"]
 
 
+def kpi_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1-K9, K18 from the stored rollup of the lines."""
+    table = run_config(spark, "kpi-rollup").dataset_dir("reporting", "rpt_sales_rollup")
+    stored = store.write_and_publish(rollup.sales_rollup(workspace(spark, sf_dir)["rpt_sales"]), table, [rollup.GRAIN])
+    return rollup.report(stored)
+
+
 OPERATOR_QUERIES: dict[str, QueryFn] = {
+    "kpi_from_rollup": kpi_from_rollup,
     "fct_orders_bucketed": fct_orders_bucketed,
     "fct_order_items_bucketed": fct_order_items_bucketed,
     "load_replace": load_replace,

@@ -913,12 +913,46 @@ BUILD_SQL: dict[str, str] = {
 }
 
 
+def _answers(question: str, keys: str, measures: tuple[str, ...], top: bool = False) -> str:
+    """One question straight from the lines, in the common columns of all questions."""
+    by = keys.split(", ")
+    key = " || '|' || ".join(f"coalesce(cast({k} as varchar), '')" for k in by)
+    known = {"revenue": "cast(sum(revenue) as decimal(38,2))", "n_orders": "cast(count(distinct order_id) as bigint)",
+             "n_lines": "cast(count(*) as bigint)", "total_quantity": "cast(sum(quantity) as bigint)",
+             "n_customers": "cast(count(distinct customer_id) as bigint)",
+             "avg_basket": "cast(sum(revenue) as double) / nullif(count(distinct order_id), 0)"}
+    shown = ", ".join(f"{e if m in measures else 'null'} as {m}" for m, e in known.items())
+    place = f"row_number() over (order by sum(revenue) desc, {by[0]})"
+    rank = f"cast({place} as bigint)" if top else "cast(null as bigint)"
+    return (f"select '{question}' as question, {key} as answer_key, {shown}, {rank} as rank "
+            f"from rpt_sales group by {keys}" + (f" qualify {place} <= 10" if top else ""))
+
+
+def kpi_from_rollup_sql() -> str:
+    per_line, per_order = ("revenue", "n_lines", "total_quantity"), ("revenue", "n_orders", "n_lines")
+    basket, product = ("revenue", "n_orders", "avg_basket"), ("revenue", "total_quantity")
+    return statement(" union all ".join([
+        _answers("kpi_revenue_store_month", "store_id, store_name, order_year_month", per_line),
+        _answers("kpi_revenue_state", "store_state", per_order),
+        _answers("kpi_revenue_period", "order_year, order_quarter, order_month", per_order),
+        _answers("kpi_customer_value", "customer_id, customer_name", basket),
+        _answers("kpi_top_customers", "customer_id, customer_name", basket, top=True),
+        _answers("kpi_customer_geo", "customer_state, customer_city", ("revenue", "n_orders", "n_customers")),
+        _answers("kpi_sales_staff", "staff_id, staff_name, store_id, store_name", per_order + ("total_quantity",)),
+        _answers("kpi_weekday", "order_is_weekend, order_day_name", per_order),
+        _answers("kpi_top_products", "product_id, product_name", product, top=True),
+        _answers("kpi_top_categories", "category_name", product, top=True),
+        _answers("kpi_top_brands", "brand_name", product, top=True),
+    ]), True)
+
+
 def all_sql_full() -> dict[str, str]:
     out = all_sql()
     out.update(LOAD_SQL)
     out.update(DQ_SQL)
     out.update(SCALAR_SQL)
     out.update(BUILD_SQL)
+    out["kpi_from_rollup"] = kpi_from_rollup_sql()
     out["fct_orders_bucketed"] = dataset_sql("fct_orders")
     out["fct_order_items_bucketed"] = dataset_sql("fct_order_items")
     out["dq_report"] = dq_report_sql()
