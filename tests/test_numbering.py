@@ -48,3 +48,16 @@ def test_no_job_runs_and_the_hot_key_is_spread(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "SinglePartition" not in plan
     assert "_stretch" in plan and "hashpartitioning(k" in plan
+
+
+def test_rows_are_shuffled_once(spark):
+    conf = ("spark.sql.autoBroadcastJoinThreshold", "-1")
+    old = spark.conf.get(conf[0])
+    spark.conf.set(*conf)
+    try:
+        got = number_within_key(_frame(spark), "k", ["o", "t"], "n")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(conf[0], old)
+    # The rows, the counts per stretch, their running sum, and the first numbers.
+    assert plan.count("Exchange hashpartitioning") == 4
