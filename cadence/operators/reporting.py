@@ -69,17 +69,18 @@ def rpt_sales(
         F.col("day_name").alias("order_day_name"),
         F.col("is_weekend").alias("order_is_weekend"),
     )
-    # Customer, store, staff and date belong to the order: they are joined once
-    # per order, and the lines join the result on the key they are shuffled on.
+    # Customer and staff belong to the order: they are joined once per order, and
+    # the lines join the result on the key they are shuffled on. Stores and
+    # dates come last: where they are broadcast, their text is in no shuffle.
     orders = fct_order_items.select(
         "order_id", "customer_id", "store_id", "staff_id", "order_date"
     ).distinct()
-    orders = orders.join(_store_cols(dim_stores), "store_id", "left")
     orders = orders.join(_customer_cols(dim_customers), "customer_id", "left")
     orders = orders.join(_staff_cols(dim_staffs), "staff_id", "left")
-    orders = lookup_join(orders, dates, "order_date", known_rows=env.cfg.calendar_days)
     orders = orders.drop("customer_id", "store_id", "staff_id", "order_date")
     flat = fct_order_items.join(orders, "order_id", "left").join(products, "product_id", "left")
+    flat = flat.join(_store_cols(dim_stores), "store_id", "left")
+    flat = lookup_join(flat, dates, "order_date", known_rows=env.cfg.calendar_days)
     return flat.select(
         "order_item_key",
         "order_id",

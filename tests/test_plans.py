@@ -120,3 +120,9 @@ def test_one_pass_suite_reads_once_and_agrees(built):
                        r"public_order_items",
                        plan_of(quality.evaluate(built, tests, [], one_pass=True)))
     assert len(scans) == 1
+
+
+def test_store_and_date_text_joins_the_lines_last(built):
+    """Broadcast after the shuffles on the order and the product, not carried through them."""
+    plan = built["rpt_sales"]._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"Join LeftOuter, \((\w+)#", plan)[:3] == ["order_date", "store_id", "product_id"]
