@@ -141,3 +141,45 @@ def test_second_writer_from_one_version_is_refused(spark, tmp_root):
     with pytest.raises(store.Conflict):
         store.publish(spark, d, mine, number)
     assert sorted_rows(store.read_current(spark, d), "id", "v") == [(1, "theirs")]
+
+
+def _dealt(monkeypatch):
+    """The rows that merge loads give to the shuffle into buckets."""
+    seen, write = [], store.write_buckets
+    monkeypatch.setattr(store, "write_buckets", lambda df, *a, **k: seen.append(df) or write(df, *a, **k))
+    return seen
+
+
+def test_row_ids_are_made_after_the_shuffle(spark, tmp_root, monkeypatch):
+    import hashlib
+
+    seen, d = _dealt(monkeypatch), f"{tmp_root}/ids"
+    kinds = "a bigint, b bigint, v string"
+    ingest.merge_load(spark.createDataFrame([(1, None, "x"), (2, 2, "y")], kinds), d, ["a", "b"], "L1")
+    ingest.merge_load(spark.createDataFrame([(1, None, "z"), (3, 3, "n")], kinds), d, ["a", "b"], "L2")
+    assert all("_row_id" not in df.columns for df in seen)
+    got = store.read_current(spark, d)
+    assert got.columns == ["a", "b", "v", "_load_id", "_row_id"]
+    expected = {(v, hashlib.sha256(t).hexdigest()) for v, t in (("z", b"1||L2"), ("y", b"2|2|L1"), ("n", b"3|3|L2"))}
+    assert {(r.v, r._row_id) for r in got.collect()} == expected
+
+
+def test_row_ids_keep_the_text_that_a_key_had(spark, tmp_root):
+    import hashlib
+
+    d = f"{tmp_root}/text"
+    ingest.merge_load(spark.createDataFrame([(1, "a")], "id bigint, v string"), d, ["id"], "L1")
+    cents = spark.createDataFrame([("2.50", "b")], "id string, v string").selectExpr("cast(id as decimal(10,2)) as id", "v")
+    ingest.merge_load(cents, d, ["id"], "L2")
+    ids = {r.v: r._row_id for r in store.read_current(spark, d).collect()}
+    assert ids == {"a": hashlib.sha256(b"1|L1").hexdigest(), "b": hashlib.sha256(b"2.50|L2").hexdigest()}
+
+
+def test_only_batches_with_a_key_twice_are_deduplicated(spark, tmp_root, monkeypatch):
+    seen, d = _dealt(monkeypatch), f"{tmp_root}/once"
+    ingest.merge_load(_table(spark, [(1, "a"), (2, "b")]), d, ["id"], "L1")
+    ingest.merge_load(_table(spark, [(2, "c"), (2, "d"), (3, "e")]), d, ["id"], "L2")
+    ingest.merge_load(_table(spark, []), d, ["id"], "L3")
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in seen]
+    assert ["Aggregate" in p for p in plans] == [False, True, False]
+    assert sorted_rows(store.read_current(spark, d), "id", "v") == [(1, "a"), (2, "d"), (3, "e")]

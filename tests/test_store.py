@@ -209,3 +209,11 @@ def test_expiry_keeps_pins_and_shared_buckets(spark, tmp_root):
     assert store.expire(spark, d, keep=1) == [versions[3], versions[1]]
     assert got(store.read_current(spark, d), "id", "v") == want[versions[4]]
     assert store.expire(spark, d, keep=1) == []
+
+
+def test_versions_are_written_with_an_entropy_coder(spark, tmp_root):
+    import glob
+
+    store.write_version(spark.range(10).selectExpr("id", "md5(string(id)) as h"), f"{tmp_root}/z")
+    names = glob.glob(f"{tmp_root}/z/*/*.parquet")
+    assert names and all(".zstd." in n for n in names)
