@@ -47,8 +47,9 @@ def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO) ->
     on a third of all pages is no hot key. A site has at most (lines per page
     / ratio) boilerplate lines: a short array.
     """
-    worded = F.filter(F.split(F.col(text), "\n", -1), _worded)
-    sized = F.array_distinct(F.transform(worded, lambda x: F.struct(F.length(_bare(x)).alias("n"), line_key(x).alias("key"))))
+    # Each line is trimmed once, and strings, not structs, are made distinct: Spark hashes those.
+    bare = F.array_distinct(F.filter(F.transform(F.split(F.col(text), "\n", -1), _bare), lambda x: F.length(x) > 0))
+    sized = F.transform(bare, lambda x: F.struct(F.length(x).alias("n"), F.xxhash64(x).alias("key")))
     once = materialise(pages.groupBy(site, F.xxhash64(text).alias("_page")).agg(F.first(sized).alias("_lines")), "page-lines")
     counted = once.select(site, F.explode("_lines.key").alias("_line")).groupBy(site, "_line").agg(F.count("*").alias("_holding"))
     common = materialise(_over(counted, once.groupBy(site).agg(F.count("*").alias("_pages")), site, ratio), "common-lines")
@@ -87,27 +88,31 @@ def drop_boilerplate(pages: DataFrame, site: Column, text: str = "text", ratio:
     columns and the order of the lines left stay as they are. ``dropped``
     names a column for the number of lines taken out.
     """
-    name, gone = free_name(pages, "_site"), free_name(pages, "_boilerplate")
+    name, gone, lines, left = (free_name(pages, x) for x in ("_site", "_boilerplate", "_lines", "_left"))
     keyed = pages.withColumn(name, F.coalesce(site.cast("string"), F.lit("\u0000")))
     # As a written table the list has a known size: Spark broadcasts it only where it is small.
     found = materialise(boilerplate(keyed.select(name, text), name, text, ratio), "boilerplate").withColumnRenamed("boilerplate", gone)
     joined = keyed.join(found, name, "left")
-    lines = F.split(F.col(text), "\n", -1)
-    left = F.filter(lines, lambda x: ~_worded(x) | ~F.array_contains(F.col(gone), line_key(x)))
-    same = F.col(gone).isNull() | F.col(text).isNull() | ~F.exists(left, _worded)
-    clean = F.when(same, F.col(text)).otherwise(F.array_join(left, "\n"))
+    # As columns, the lines of a page are split, hashed and looked up once, whatever reads them; null where none goes.
+    joined = joined.withColumn(lines, F.when(F.col(gone).isNotNull(), F.split(F.col(text), "\n", -1)))
+    joined = joined.withColumn(left, F.filter(lines, lambda x: ~_worded(x) | ~F.array_contains(F.col(gone), line_key(x))))
+    joined = joined.withColumn(left, F.when(F.exists(left, _worded), F.col(left)))
+    clean = F.when(F.col(left).isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     out = {c: clean.alias(c) if c == text else F.col(c) for c in pages.columns}
     if dropped:
-        out[dropped] = F.when(same, 0).otherwise(F.size(lines) - F.size(left)).alias(dropped)
+        out[dropped] = F.when(F.col(left).isNull(), 0).otherwise(F.size(lines) - F.size(left)).alias(dropped)
     return joined.select(*out.values())
 
 
 def page_lines(html: Column) -> Column:
-    """The text of a page's block elements, one to a line, without markup."""
-    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>|<!--.*?-->", " ")
+    """The text of a page's block elements, one to a line, without markup.
+
+    White space is matched only where it changes: a space alone and a line feed alone are most of it, and stay.
+    """
+    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(?:(?:script|style)[^>]*>.*?</(?:script|style)>|!--.*?-->)", " ")
     blocks = F.regexp_replace(bare, r"(?i)</?(?:p|div|li|ul|ol|br|h[1-6]|tr|td|table|nav|article|section|header|footer|title|body|head|html)(?:\s[^>]*)?/?>", "\n")
     plain = F.regexp_replace(blocks, r"<[^>]*>", "")
-    return F.regexp_replace(F.regexp_replace(plain, r"[ \t\r\f]+", " "), r" ?\n[ \n]*", "\n")
+    return F.regexp_replace(F.regexp_replace(plain, r"[ \t\r\f]{2,}|[\t\r\f]", " "), r" \n[ \n]*|\n[ \n]+", "\n")
 
 
 def host(url: Column) -> Column:

@@ -1,6 +1,7 @@
 """Near duplicates, repeated passages and boilerplate lines against brute force."""
 
 import random
+import re
 from collections import Counter
 
 import duckdb
@@ -294,6 +295,28 @@ def test_page_lines(spark, html, want):
     assert one.select(lines.page_lines(F.col("html")).alias("t")).first().t == want
 
 
+def test_page_lines_equal_the_plain_patterns(spark):
+    """White space that stays as it is need not be matched; the text is that of the patterns which match all of it."""
+    rnd = random.Random(8)
+    pieces = [" ", "  ", "\n", "\t", "\r", "\f", " \n ", "a", "é b", "<p>", "</DIV >", "<br/>", "<b>", "<", "<script>x <p> y</script>", "<STYLE a>\n</style>", "<!-- <li>\n -->", "<!--"]
+    pages = ["".join(rnd.choices(pieces, k=rnd.randint(1, 14))) for _ in range(400)]
+
+    def plain(html):
+        html = re.sub(r"(?is)<(?:script|style)[^>]*>.*?</(?:script|style)>|<!--.*?-->", " ", html)
+        html = re.sub(r"(?ia)</?(?:p|div|li|ul|ol|br|h[1-6]|tr|td|table|nav|article|section|header|footer|title|body|head|html)(?:\s[^>]*)?/?>", "\n", html)
+        return re.sub(r" ?\n[ \n]*", "\n", re.sub(r"[ \t\r\f]+", " ", re.sub(r"<[^>]*>", "", html)))
+
+    got = spark.createDataFrame(list(enumerate(pages)), "i bigint, html string").select("i", lines.page_lines(F.col("html")).alias("t")).collect()
+    assert {r.i: r.t for r in got} == {i: plain(x) for i, x in enumerate(pages)}
+
+
+def test_lines_are_hashed_once_when_boilerplate_goes(spark):
+    docs = documents(spark, [row(i, f"{prose(20, i)}\nshared line here") for i in range(6)])
+    found = lines.drop_boilerplate(docs, F.col("source"), dropped="gone")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") == 1
+    assert all(r.gone == 1 and "shared" not in r.text for r in found.collect())
+
+
 @pytest.mark.parametrize("name", ["op4", "op8"])
 def test_queries_with_sql(spark, name):
     con = duckdb.connect()
