@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.chunks import SPREAD, word_chunks
-from cadence.llm.common import arrow_schema, materialise, slices, text_buffer
+from cadence.llm.common import arrow_schema, free_name, materialise, slices, text_buffer
 from cadence.llm.shingles import _STEP, hash_words, words_of
 from cadence.llm.tokens import _mix
 
@@ -97,20 +97,32 @@ def _anchor_rows(text: str, least: int):
     return run
 
 
-def _bits(hashes: DataFrame, name: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bit array of fixed size, set at each hash.
+def _words(hashes: DataFrame, name: str, bits: int = FILTER_BITS) -> DataFrame:
+    """A bit array of fixed size, set at each hash: at most 2^(bits - 6) rows of a ``_word``'s number and its 64 bits ``_set``.
 
     A passage that meets a set bit by chance is compared in vain: a small array
     costs time and changes no result.
     """
     slot = F.col(name).bitwiseAND((1 << bits) - 1)
-    words = hashes.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({name} & 63 AS INT))")).alias("set"))
+    return hashes.groupBy(F.shiftright(slot, 6).alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({name} & 63 AS INT))")).alias("_set"))
+
+
+def _bits(words: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """The bit array of ``_words`` as an array."""
     rows = words.toArrow()  # at most 2^(bits - 6) rows
     out = np.zeros(1 << (bits - 6), np.int64)
-    out[rows.column("word").to_numpy()] = rows.column("set").to_numpy()
+    out[rows.column("_word").to_numpy()] = rows.column("_set").to_numpy()
     return out.view(np.uint64)
 
 
+def _likely(rows: DataFrame, name: str, words: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose hash has its bit set in ``_words``; the array has a fixed size, and each task gets it."""
+    number, flags = free_name(rows, "_word"), free_name(rows, "_set")
+    word = F.shiftright(F.col(name).bitwiseAND((1 << bits) - 1), 6)
+    met = rows.join(F.broadcast(words.toDF(number, flags)), word == F.col(number))
+    return met.filter(F.expr(f"getbit({flags}, CAST({name} & 63 AS INT)) = 1")).select(*rows.columns)
+
+
 def _held(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     slot = hashes & np.uint64(64 * len(bits) - 1)
     return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
@@ -164,12 +176,32 @@ def _listed(hits: DataFrame) -> DataFrame:
     return lists.select("_row", F.flatten("_list").alias("_repeats"))
 
 
+def _mapped(keyed: DataFrame, hits: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` over the batches of ``keyed`` with ``_repeats``, null where ``hits`` has nothing of a row.
+
+    Most texts repeat nothing. Only rows whose bit is set are shuffled with
+    their texts to meet the lists; the others are read where they stand. A bit
+    that is set by chance sends a row the longer way.
+    """
+    words = materialise(_words(hits, "_row"), "substring-rows")
+    bits = keyed.sparkSession.sparkContext.broadcast(_bits(words))
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("_row").to_numpy(zero_copy_only=False).view(np.uint64)
+            batch = batch.filter(pa.array(~_held(row, bits.value)))
+            yield batch.append_column("_repeats", pa.nulls(batch.num_rows, pa.list_(pa.int64())))
+
+    met = _likely(keyed, "_row", words).join(_listed(hits), "_row", "left").select(*keyed.columns, "_repeats")
+    return met.mapInArrow(run, schema).union(keyed.mapInArrow(lambda batches: run(others(batches)), schema))
+
+
 def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
     """``_row``, ``_seq`` and ``_first`` of passages that, all together, cover each repeated word."""
     context = keyed.sparkSession.sparkContext
     anchors = keyed.select("_doc", text).mapInArrow(_anchor_rows(text, least), "_anchor bigint, _doc bigint")
     both = anchors.groupBy("_anchor").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last")
-    shared = context.broadcast(_bits(both, "_anchor"))
+    shared = context.broadcast(_bits(_words(both, "_anchor")))
     key, hash_columns = ["_digest", "_check"], "_digest bigint, _check int"
     schema = f"{hash_columns}, _doc bigint, _row bigint, _seq int"
 
@@ -183,9 +215,9 @@ def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
     firsts = materialise(firsts, "substring-firsts")
     hits = materialise(found.join(firsts, key).filter("_doc > _first").select("_row", "_seq", "_first"), "substring-hits")
 
-    known = keyed.select("_doc", "_row", text).join(_listed(hits), "_row", "left")
-    left = materialise(known.mapInArrow(_passage_rows(text, least, _open(least, shared), ("_doc", "_row")), schema), "substring-open")
-    wanted = context.broadcast(_bits(left, "_digest"))
+    opened = _passage_rows(text, least, _open(least, shared), ("_doc", "_row"))
+    left = materialise(_mapped(keyed.select("_doc", "_row", text), hits, opened, schema), "substring-open")
+    wanted = context.broadcast(_bits(_words(left, "_digest")))
 
     def asked(batch, owner, place, digest, anchor):
         return _held(digest, wanted.value) & _held(anchor, shared.value) & ~_sampled(digest)
@@ -193,7 +225,8 @@ def _repeated(keyed: DataFrame, text: str, least: int) -> DataFrame:
     holders = keyed.select("_doc", text).mapInArrow(_passage_rows(text, least, asked, ("_doc",)), f"{hash_columns}, _doc bigint, _seq int")
     firsts = holders.groupBy(*key).agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last")).filter("_first < _last").drop("_last")
     firsts = materialise(firsts, "substring-firsts")
-    return hits.union(left.join(firsts, key).filter("_doc > _first").select("_row", "_seq", "_first"))
+    more = _likely(left, "_digest", _words(firsts, "_digest")).join(firsts, key).filter("_doc > _first").select("_row", "_seq", "_first")
+    return hits.union(materialise(more, "substring-hits"))
 
 
 def _cut(raw: bytes, starts: np.ndarray, stops: np.ndarray, places: np.ndarray, least: int) -> tuple[str, list[dict]]:
@@ -266,9 +299,8 @@ def drop_repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "d
     names = [c for c in dict.fromkeys(carry) if c not in own]
     number = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL))
     keyed = docs.select(*names, text, number.alias("_doc"), F.xxhash64(number, F.col(text)).alias("_row"))
-    repeats = _listed(_repeated(keyed, text, least_words))
-    joined = keyed.join(repeats, "_row", "left")
+    repeats = _repeated(keyed, text, least_words)
     order = [c for c in keyed.columns if c in names]
     kept = arrow_schema(keyed, order)
     schema = f"{kept}{', ' if kept else ''}`{text}` string, removed array<struct<start:int,end:int>>, repeats_of array<bigint>"
-    return joined.select(*order, text, "_repeats").mapInArrow(_cut_repeats(text, order, least_words), schema)
+    return _mapped(keyed.select(*order, text, "_row"), repeats, _cut_repeats(text, order, least_words), schema)

@@ -372,3 +372,17 @@ def test_lists_of_repeats_grow_with_the_rows_of_a_document(spark):
     assert len(listed) == 1 and len(listed[0]._repeats) <= 2 * 41
     got = substring.drop_repeated_passages(documents(spark, rows)).collect()
     assert len(got) == 51 and all(r.text.split() == prose(40, 4).split() for r in got if r.doc_id == 2)
+
+
+def test_texts_that_repeat_nothing_are_not_shuffled(spark):
+    """Rows whose bit is unset go past the join; carried columns may have any name."""
+    hashes = spark.range(3000).select("id", F.xxhash64("id").alias("h"), F.lit("x").alias("_word"), F.lit("y").alias("_SET"))
+    some = hashes.filter("id % 100 = 7")
+    got = {r.id for r in substring._likely(hashes, "h", substring._words(some, "h")).collect()}
+    assert {r.id for r in some.collect()} <= got and len(got) < 40
+    passage = prose(40, 900)
+    docs = documents(spark, [row(i, f"{prose(60, 1000 + i)} {passage if i < 3 else ''} {prose(30, 1100 + i)}") for i in range(30)])
+    found = substring.drop_repeated_passages(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.count("LeftOuter") == 1
+    assert {r.doc_id: (len(r.removed), r.repeats_of) for r in found.collect()} == {i: (1, [0]) if i in (1, 2) else (0, []) for i in range(30)}
