@@ -16,7 +16,7 @@ import numpy as np
 #: Words that a worker remembers (beyond it the table starts anew) and its slots.
 MEMO_WORDS, SLOT_BITS = 1_500_000, 22
 #: Bytes of text whose words are hashed together.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 13, 32]] = True

@@ -1,6 +1,7 @@
 """Encoding, token files and packing against the library, one text at a time."""
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -52,6 +53,17 @@ def test_encoder_with_small_blocks_and_memory(path, monkeypatch):
     tokens._powers.cache_clear()
 
 
+def test_encoder_takes_memory_for_a_block_at_a_time():
+    """Long batches are encoded in blocks; their arrays and the powers of a block stay below 100 MB together."""
+    enc, text = tokens.Encoder(WORD), np.frombuffer(("some words of a text. " * 400).encode(), np.uint8)
+    tokens._powers.cache_clear()
+    tracemalloc.start()
+    enc.encode_buffer(np.tile(text, 800), np.arange(801) * len(text))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 << 20
+
+
 def test_chunk_reuse_round_trip(spark):
     docs = clashing(documents(spark), ["n_tokens", "ids", "decoded", "_row", "_seq", "_digest", "_text"])
     got = bpe.encode_documents(docs, WORD, carry=("doc_id", "source", "_row")).collect()
