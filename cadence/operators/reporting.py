@@ -5,14 +5,19 @@ Each is a fact with its dimensions left-joined. The calendar is broadcast
 dimensions grow with the data and are left to the planner, which broadcasts
 them only under the size threshold and otherwise shuffles (sort-merge join,
 skewed partitions split by AQE).
+
+The monthly tables are made in two halves: the rows with what the large
+dimensions add, then the text of stores and dates, which are small and
+broadcast. A build deals the rows to their months between the two, by the
+month of the order date, so that this text is not shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.columns import status_label
+from cadence.functions.columns import hex_packed, hex_unpacked, status_label
 from cadence.plans.datasets import TABLE, Env, dataset
 from cadence.plans.joins import lookup_join
 
@@ -39,26 +44,37 @@ def _staff_cols(dim_staffs: DataFrame) -> DataFrame:
     return dim_staffs.select("staff_id", F.col("full_name").alias("staff_name"))
 
 
-@dataset(
-    "rpt_sales",
-    "reporting",
-    ["fct_order_items", "dim_products", "dim_stores", "dim_customers", "dim_staffs", "dim_date"],
-    ["order_id", "item_id"],
-    TABLE,
-    partition_by=["order_year_month"],
-)
-def rpt_sales(
-    env: Env,
-    fct_order_items: DataFrame,
-    dim_products: DataFrame,
-    dim_stores: DataFrame,
-    dim_customers: DataFrame,
-    dim_staffs: DataFrame,
-    dim_date: DataFrame,
-) -> DataFrame:
+# Month of the order date: what rows are dealt by before a write.
+MONTH = "_month"
+
+
+def _dealing_month() -> Column:
+    return F.trunc("order_date", "month").alias(MONTH)
+
+
+def sales_rows(fct_order_items: DataFrame, dim_products: DataFrame, dim_customers: DataFrame,
+               dim_staffs: DataFrame) -> DataFrame:
+    """Lines with the text of their customer, staff member and product; their key packed."""
     products = dim_products.select(
         "product_id", "product_name", "brand_name", "category_name", "model_year"
     )
+    # Customer and staff belong to the order: they are joined once per order, and
+    # the lines join the result on the key they are shuffled on. Stores and
+    # dates come last: where they are broadcast, their text is in no shuffle.
+    orders = fct_order_items.select(
+        "order_id", "customer_id", "store_id", "staff_id", "order_date"
+    ).distinct()
+    orders = orders.join(_customer_cols(dim_customers), "customer_id", "left")
+    orders = orders.join(_staff_cols(dim_staffs), "staff_id", "left")
+    orders = orders.drop("customer_id", "store_id", "staff_id", "order_date")
+    lines = fct_order_items.select(
+        *[c for c in fct_order_items.columns if c != "order_item_key"], *hex_packed("order_item_key"))
+    flat = lines.join(orders, "order_id", "left").join(products, "product_id", "left")
+    return flat.withColumn(MONTH, _dealing_month())
+
+
+def sales_text(rows: DataFrame, env: Env, dim_stores: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The whole of ``rpt_sales`` from its rows: store and date text, labels."""
     dates = dim_date.select(
         F.col("date_day").alias("order_date"),
         F.col("year").alias("order_year"),
@@ -69,20 +85,10 @@ def rpt_sales(
         F.col("day_name").alias("order_day_name"),
         F.col("is_weekend").alias("order_is_weekend"),
     )
-    # Customer and staff belong to the order: they are joined once per order, and
-    # the lines join the result on the key they are shuffled on. Stores and
-    # dates come last: where they are broadcast, their text is in no shuffle.
-    orders = fct_order_items.select(
-        "order_id", "customer_id", "store_id", "staff_id", "order_date"
-    ).distinct()
-    orders = orders.join(_customer_cols(dim_customers), "customer_id", "left")
-    orders = orders.join(_staff_cols(dim_staffs), "staff_id", "left")
-    orders = orders.drop("customer_id", "store_id", "staff_id", "order_date")
-    flat = fct_order_items.join(orders, "order_id", "left").join(products, "product_id", "left")
-    flat = flat.join(_store_cols(dim_stores), "store_id", "left")
+    flat = rows.join(_store_cols(dim_stores), "store_id", "left")
     flat = lookup_join(flat, dates, "order_date", known_rows=env.cfg.calendar_days)
     return flat.select(
-        "order_item_key",
+        hex_unpacked("order_item_key"),
         "order_id",
         "item_id",
         "order_date",
@@ -118,21 +124,36 @@ def rpt_sales(
 
 
 @dataset(
-    "rpt_orders",
+    "rpt_sales",
     "reporting",
-    ["fct_orders", "dim_stores", "dim_customers", "dim_staffs", "dim_date"],
-    ["order_id"],
+    ["fct_order_items", "dim_products", "dim_stores", "dim_customers", "dim_staffs", "dim_date"],
+    ["order_id", "item_id"],
     TABLE,
     partition_by=["order_year_month"],
+    halves=(sales_rows, sales_text, MONTH),
 )
-def rpt_orders(
+def rpt_sales(
     env: Env,
-    fct_orders: DataFrame,
+    fct_order_items: DataFrame,
+    dim_products: DataFrame,
     dim_stores: DataFrame,
     dim_customers: DataFrame,
     dim_staffs: DataFrame,
     dim_date: DataFrame,
 ) -> DataFrame:
+    rows = sales_rows(fct_order_items, dim_products, dim_customers, dim_staffs)
+    return sales_text(rows, env, dim_stores, dim_date)
+
+
+def order_rows(fct_orders: DataFrame, dim_customers: DataFrame, dim_staffs: DataFrame) -> DataFrame:
+    """Orders with the text of their customer and staff member."""
+    flat = fct_orders.join(_customer_cols(dim_customers), "customer_id", "left")
+    flat = flat.join(_staff_cols(dim_staffs), "staff_id", "left")
+    return flat.withColumn(MONTH, _dealing_month())
+
+
+def order_text(rows: DataFrame, env: Env, dim_stores: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The whole of ``rpt_orders`` from its rows: store and date text."""
     dates = dim_date.select(
         F.col("date_day").alias("order_date"),
         F.col("year").alias("order_year"),
@@ -140,9 +161,7 @@ def rpt_orders(
         F.col("month").alias("order_month"),
         F.col("year_month").alias("order_year_month"),
     )
-    flat = fct_orders.join(_store_cols(dim_stores), "store_id", "left")
-    flat = flat.join(_customer_cols(dim_customers), "customer_id", "left")
-    flat = flat.join(_staff_cols(dim_staffs), "staff_id", "left")
+    flat = rows.join(_store_cols(dim_stores), "store_id", "left")
     flat = lookup_join(flat, dates, "order_date", known_rows=env.cfg.calendar_days)
     return flat.select(
         "order_id",
@@ -175,6 +194,27 @@ def rpt_orders(
     )
 
 
+@dataset(
+    "rpt_orders",
+    "reporting",
+    ["fct_orders", "dim_stores", "dim_customers", "dim_staffs", "dim_date"],
+    ["order_id"],
+    TABLE,
+    partition_by=["order_year_month"],
+    halves=(order_rows, order_text, MONTH),
+)
+def rpt_orders(
+    env: Env,
+    fct_orders: DataFrame,
+    dim_stores: DataFrame,
+    dim_customers: DataFrame,
+    dim_staffs: DataFrame,
+    dim_date: DataFrame,
+) -> DataFrame:
+    rows = order_rows(fct_orders, dim_customers, dim_staffs)
+    return order_text(rows, env, dim_stores, dim_date)
+
+
 @dataset(
     "rpt_stocks",
     "reporting",
@@ -186,10 +226,12 @@ def rpt_stocks(fct_stocks: DataFrame, dim_stores: DataFrame, dim_products: DataF
     products = dim_products.select(
         "product_id", "product_name", "brand_name", "category_name", "model_year", "list_price"
     )
-    flat = fct_stocks.join(_store_cols(dim_stores), "store_id", "left")
+    # Stores last: where they are broadcast, their text is in no shuffle.
+    flat = fct_stocks.select(*[c for c in fct_stocks.columns if c != "stock_key"], *hex_packed("stock_key"))
     flat = flat.join(products, "product_id", "left")
+    flat = flat.join(_store_cols(dim_stores), "store_id", "left")
     return flat.select(
-        "stock_key",
+        hex_unpacked("stock_key"),
         "store_id",
         "store_name",
         "store_city",

@@ -84,3 +84,15 @@ def test_day_diff_and_ratio(spark):
                                "a date, b date, n bigint, z bigint")
     r = df.select(fn.day_diff("a", "b"), fn.ratio(F.col("n"), F.col("z"))).first()
     assert r[0] == 4 and r[1] is None
+
+
+def test_hex_keys_come_back_from_packing_as_they_were(spark):
+    from cadence.functions.columns import hex_packed, hex_unpacked
+
+    texts = ["00ff", "d41d8cd98f00b204e9800998ecf8427e", "D41D", "abc", "", "no hex", "é", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, k string")
+    packed = df.select("i", *hex_packed("k"))
+    got = {r["i"]: r["k"] for r in packed.select("i", hex_unpacked("k")).collect()}
+    assert [got[i] for i in range(len(texts))] == texts
+    assert packed.where("_k_bytes is not null and _k_text is not null").count() == 0
+    assert packed.where("i = 1").first()["_k_bytes"] == bytes.fromhex(texts[1])

@@ -183,3 +183,15 @@ def test_only_batches_with_a_key_twice_are_deduplicated(spark, tmp_root, monkeyp
     plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in seen]
     assert ["Aggregate" in p for p in plans] == [False, True, False]
     assert sorted_rows(store.read_current(spark, d), "id", "v") == [(1, "a"), (2, "d"), (3, "e")]
+
+
+def test_a_first_load_adds_its_load_id_after_the_rows_are_dealt(spark, tmp_root, monkeypatch):
+    dealt, write = [], store.write_buckets
+    monkeypatch.setattr(store, "write_buckets", lambda df, *a: (dealt.append(df.columns), write(df, *a))[1])
+    batch = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id bigint, v string")
+    for load_id in ("one", "two"):
+        version, emitted = ingest.merge_load(batch, f"{tmp_root}/t", ["id"], load_id)
+        table = store.read_version(spark, f"{tmp_root}/t", version)
+        assert table.columns == ["id", "v", "_load_id", "_row_id"] and emitted == 3
+        assert sorted((r["id"], r["_load_id"]) for r in table.collect()) == [(1, load_id), (2, load_id)]
+    assert "_load_id" not in dealt[0] and "_load_id" in dealt[1]

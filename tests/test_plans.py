@@ -126,3 +126,30 @@ def test_store_and_date_text_joins_the_lines_last(built):
     """Broadcast after the shuffles on the order and the product, not carried through them."""
     plan = built["rpt_sales"]._jdf.queryExecution().optimizedPlan().toString()
     assert re.findall(r"Join LeftOuter, \((\w+)#", plan)[:3] == ["order_date", "store_id", "product_id"]
+
+
+def test_monthly_tables_are_dealt_without_the_text_that_small_tables_add(spark, tmp_root):
+    from cadence.plans.build import SUCCESS, build
+    from cadence.sources import store
+
+    cfg = Config(root=tmp_root).with_fixture_calendar()
+    raw = raw_tables(spark, SF_SMALL)
+    names = ["rpt_sales", "rpt_orders"]
+    result = build(spark, raw, cfg, select=names, run_tests=False,
+                   adjust={"rpt_orders": lambda df: df.where("order_id % 2 = 0")})
+    lazy = Workspace(spark, raw, cfg)
+    for name in names:
+        assert result.status(name) == SUCCESS
+        rows, _, dealt_by = lazy.halves(name)
+        assert dealt_by in rows.columns
+        assert not {"store_name", "order_month_name", "order_year_month", "order_item_key"} & set(rows.columns)
+        written = store.read_current(spark, cfg.dataset_dir("reporting", name))
+        expected = lazy[name] if name == "rpt_sales" else lazy[name].where("order_id % 2 = 0")
+        written = written.select(*expected.columns)
+        assert next(d.n_rows for d in result.datasets if d.dataset == name) == expected.count() > 0
+        assert written.exceptAll(expected).isEmpty() and expected.exceptAll(written).isEmpty()
+
+
+def test_stock_text_of_stores_joins_last(built):
+    plan = built["rpt_stocks"]._jdf.queryExecution().optimizedPlan().toString()
+    assert re.findall(r"Join LeftOuter, \((\w+)#", plan)[:2] == ["store_id", "product_id"]
