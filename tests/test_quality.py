@@ -122,3 +122,20 @@ def test_folded_report_counts_each_test(spark):
         "relationships": (1, False),
         "unique_combination": (0, True),
     }
+
+
+def test_text_keys_are_settled_by_their_hashes_only_where_none_comes_twice(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), (None, "y", 3), (None, None, 3)],
+                               "k string, twice string, n bigint")
+    tests = [q.Expectation("t", "unique", (c,)) for c in ("k", "twice", "n")]
+    tests += [q.Expectation("t", "unique_combination", ("k", "n"))]
+    assert [e.columns for e in q._settled_by_hash(df, tests)] == [("k",)]
+    exact = q.evaluate({"t": df}, tests, []).collect()
+    hashed = q.evaluate({"t": df}, tests, [], hashed=True)
+    assert sorted(map(tuple, hashed.collect())) == sorted(map(tuple, exact))
+    assert {r["test_name"]: r["n_violations"] for r in exact} == {
+        "unique_t_k": 0, "unique_t_twice": 1, "unique_t_n": 1, "unique_combination_t_k_n": 1}
+    # Of a key that is settled, the text is in no shuffle any more.
+    plan = q.evaluate({"t": df}, tests[:1], [], hashed=True)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" not in plan
+    assert q.evaluate({"t": df.limit(0)}, tests, [], hashed=True).where("not passed").count() == 0
