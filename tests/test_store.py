@@ -217,3 +217,28 @@ def test_versions_are_written_with_an_entropy_coder(spark, tmp_root):
     store.write_version(spark.range(10).selectExpr("id", "md5(string(id)) as h"), f"{tmp_root}/z")
     names = glob.glob(f"{tmp_root}/z/*/*.parquet")
     assert names and all(".zstd." in n for n in names)
+
+
+def _shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_writes_and_loads_leave_no_shuffle_files(spark, tmp_root):
+    import time
+
+    from cadence.plans.concurrent import RELEASE, shuffles_released
+
+    before, setting = _shuffle_files(spark), spark.conf.get(RELEASE, None)
+    grouped = spark.range(5000).selectExpr("id % 100 as id", "id as n").groupBy("id").sum("n")
+    store.write_version(grouped, f"{tmp_root}/grouped", ["id"])
+    batch = spark.range(3000).selectExpr("id", "string(id) as v")
+    ingest.merge_load(batch, f"{tmp_root}/merged", ["id"], "L0")
+    ingest.merge_load(batch.where("id < 10"), f"{tmp_root}/merged", ["id"], "L1")
+    until = time.time() + 10
+    while _shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before
+    with shuffles_released(spark), shuffles_released(spark):
+        assert spark.conf.get(RELEASE) == "true"
+    assert spark.conf.get(RELEASE, None) == setting
