@@ -78,7 +78,10 @@ def number_within_key(df: DataFrame, key: str, order: Sequence[str], out: str) -
         .where(F.col("_before") > 0)
     )
     kinds = [starts.schema[c].dataType.simpleString() for c in (key, "_stretch")]
+    # One row per stretch either way; the aggregation tells Catalyst, which then drops
+    # the join, and the shuffle for it, from queries that do not read ``out``.
     starts = starts.select(*_group(F.col(key), F.col("_stretch"), kinds), "_before")
+    starts = starts.groupBy(*GROUP).agg(F.max("_before").alias("_before"))
     # The key travels once: as ``_key``, NULL again at the end.
     dealt = df.select(*[c for c in df.columns if c != key], *_group(F.col(key), stretch, kinds))
     within = Window.partitionBy(*GROUP).orderBy(*[c for c in order if c != key])

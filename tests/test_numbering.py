@@ -61,3 +61,9 @@ def test_rows_are_shuffled_once(spark):
         spark.conf.set(conf[0], old)
     # The rows, the counts per stretch, their running sum, and the first numbers.
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_queries_that_do_not_read_the_number_have_no_join(spark):
+    numbered = number_within_key(_frame(spark), "k", ["o", "t"], "n")
+    assert "Join" not in numbered.select("k", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in numbered._jdf.queryExecution().optimizedPlan().toString()

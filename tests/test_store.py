@@ -242,3 +242,16 @@ def test_writes_and_loads_leave_no_shuffle_files(spark, tmp_root):
     with shuffles_released(spark), shuffles_released(spark):
         assert spark.conf.get(RELEASE) == "true"
     assert spark.conf.get(RELEASE, None) == setting
+
+
+def test_dealt_rows_are_written_where_they_lie(spark, tmp_root):
+    import glob
+
+    rows = spark.range(0, 100, 1, 2).selectExpr("id % 2 as g", "99 - id as o")
+    for name, dealt, files in (("dealt", True, 4), ("not", False, 2)):
+        version = store.write_version(rows, f"{tmp_root}/{name}", ["g"], dealt=dealt, sort_by=["o"])
+        found = glob.glob(f"{tmp_root}/{name}/{version}/*/*.parquet")
+        assert len(found) == files
+        for path in found:
+            read = [r["o"] for r in spark.read.parquet(path).collect()]
+            assert read == sorted(read)
