@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions.calendar import calendar_columns
@@ -21,6 +21,8 @@ from cadence.functions.columns import (
     MONEY_TOTAL,
     day_diff,
     full_name,
+    known_packed,
+    known_unpacked,
     line_revenue,
     status_label,
     surrogate_key,
@@ -176,11 +178,17 @@ def dim_date(env: Env) -> DataFrame:
     ["order_id", "item_id"],
     TABLE,
 )
-def fct_order_items(order_lines: DataFrame, stg_orders: DataFrame) -> DataFrame:
+def fct_order_items(order_lines: DataFrame, stg_orders: DataFrame, env: Env | None = None) -> DataFrame:
     """One row per order line with the header's keys (M7)."""
     header = stg_orders.select(
         "order_id", "customer_id", "store_id", "staff_id", "order_date", "order_status"
     )
+    revenue = F.col("revenue")
+    if env and env.whole:
+        formula = line_revenue().try_cast(order_lines.schema["revenue"].dataType)
+        order_lines = order_lines.select(
+            *[c for c in order_lines.columns if c != "revenue"], *known_packed("revenue", formula))
+        revenue = known_unpacked("revenue", formula)
     joined = order_lines.join(header, "order_id", "left")
     return joined.select(
         surrogate_key(["order_id", "item_id"]).alias("order_item_key"),
@@ -195,7 +203,7 @@ def fct_order_items(order_lines: DataFrame, stg_orders: DataFrame) -> DataFrame:
         "quantity",
         "list_price",
         "discount",
-        "revenue",
+        revenue,
     )
 
 
@@ -210,12 +218,24 @@ def lines_per_order(order_lines: DataFrame) -> DataFrame:
     )
 
 
+def delivery_columns() -> dict[str, Column]:
+    """What follows from an order's status and dates."""
+    shipped = F.col("shipped_date")
+    return {
+        "order_status_label": status_label("order_status"),
+        "days_to_required": day_diff("required_date", "order_date"),
+        "shipping_days": day_diff("shipped_date", "order_date"),
+        "is_not_shipped": shipped.isNull(),
+        "is_late": F.coalesce(shipped > F.col("required_date"), F.lit(False)),
+    }
+
+
 @dataset("fct_orders", "marts", ["stg_orders", "order_lines"], ["order_id"], TABLE)
 def fct_orders(stg_orders: DataFrame, order_lines: DataFrame) -> DataFrame:
     """Order header with delivery measures and line totals (M8)."""
     totals = lines_per_order(order_lines)
     joined = stg_orders.join(totals, "order_id", "left")
-    shipped = F.col("shipped_date")
+    delivery = {name: c.alias(name) for name, c in delivery_columns().items()}
     return joined.select(
         "order_id",
         "customer_id",
@@ -223,13 +243,13 @@ def fct_orders(stg_orders: DataFrame, order_lines: DataFrame) -> DataFrame:
         "staff_id",
         "order_date",
         "order_status",
-        status_label("order_status").alias("order_status_label"),
+        delivery["order_status_label"],
         "required_date",
         "shipped_date",
-        day_diff("required_date", "order_date").alias("days_to_required"),
-        day_diff("shipped_date", "order_date").alias("shipping_days"),
-        shipped.isNull().alias("is_not_shipped"),
-        F.coalesce(shipped > F.col("required_date"), F.lit(False)).alias("is_late"),
+        delivery["days_to_required"],
+        delivery["shipping_days"],
+        delivery["is_not_shipped"],
+        delivery["is_late"],
         F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"),
         F.coalesce("total_quantity", F.lit(0).cast("bigint")).alias("total_quantity"),
         F.coalesce("total_revenue", F.lit(0).cast(MONEY_TOTAL)).alias("total_revenue"),

@@ -4,7 +4,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from cadence.config import Config
+from cadence.functions import columns as fn
 from cadence.operators import quality
 from cadence.plans.datasets import Workspace
 from cadence.sources import ingest
@@ -153,3 +156,77 @@ def test_monthly_tables_are_dealt_without_the_text_that_small_tables_add(spark,
 def test_stock_text_of_stores_joins_last(built):
     plan = built["rpt_stocks"]._jdf.queryExecution().optimizedPlan().toString()
     assert re.findall(r"Join LeftOuter, \((\w+)#", plan)[:2] == ["store_id", "product_id"]
+
+
+def test_whole_sales_leave_out_of_shuffles_what_follows_from_other_columns(spark, built):
+    from cadence.operators import reporting
+
+    whole = Workspace(spark, raw_tables(spark, SF_SMALL), built.env.cfg, whole=True)
+    lines = [whole[n] for n in ("fct_order_items", "dim_products", "dim_customers", "dim_staffs")]
+    rows = reporting.sales_rows(whole.env, *lines)
+    assert not {"order_item_key", "revenue"} & set(rows.columns)
+    # A query of some columns would have to carry all that revenue follows from.
+    assert "revenue" in reporting.sales_rows(built.env, *lines).columns
+    lazy = Workspace(spark, raw_tables(spark, SF_SMALL), built.env.cfg)
+    for name in ("rpt_sales", "rpt_orders", "fct_order_items"):
+        assert whole[name].dtypes == lazy[name].dtypes
+        assert whole[name].exceptAll(lazy[name]).isEmpty() and lazy[name].exceptAll(whole[name]).isEmpty()
+
+
+def test_item_numbers_need_no_ship_date(spark):
+    plan = raw_tables(spark, SF_SMALL)["order_items"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_suppkey" in plan.split("Relation")[0] and "l_shipdate" not in plan.split("Relation")[0]
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_sales_lines_dealt_to_months_meet_their_orders_as_in_a_join(spark, tmp_root, odd):
+    """Also lines of no order or date, an order with two headers, two products and
+    customers of one key, another key or revenue than that of the line."""
+    import datetime as dt
+    import decimal
+    import glob
+
+    from cadence.operators import reporting
+    from cadence.plans.datasets import Env
+    from cadence.sources import store
+
+    days = [dt.date(1996, 1 + k % 3, 1 + k % 28) for k in range(90)]
+    money = decimal.Decimal("1.50")
+    lines = [(f"k{i}", i // 4, i % 4 + (i == 8) * 9000, i % 7, i // 4 % 5, i // 4 % 3, i // 4 % 2, days[i // 4], i // 4 % 4, 2,
+              decimal.Decimal(1), decimal.Decimal("0.25"), money) for i in range(360)]
+    if odd:
+        lines += [("null", None, 1, 1, 1, 1, 1, days[0], 1, 2, decimal.Decimal(1), decimal.Decimal(0), money),
+                  ("date", 700, 1, 1, 1, 1, 1, None, 1, 2, decimal.Decimal(1), decimal.Decimal(0), None),
+                  ("two", 3, 9, 2, 4, 2, 1, dt.date(1999, 9, 9), 1, 2, decimal.Decimal(1), decimal.Decimal(0), money)]
+    sales = spark.createDataFrame(
+        lines, "order_item_key string, order_id bigint, item_id bigint, product_id bigint, customer_id bigint, store_id bigint, "
+        "staff_id bigint, order_date date, order_status bigint, quantity bigint, list_price decimal(16,6), discount decimal(9,8), "
+        "revenue decimal(18,2)")
+    sales = sales.withColumn("order_item_key", F.when(F.col("order_id") % 2 == 0, fn.surrogate_key(["order_id", "item_id"]))
+                             .otherwise(F.col("order_item_key")))
+    extra = [1] if odd else []
+    products = spark.createDataFrame([(i, f"p{i}", "b", "c", 2016) for i in [*range(6), *extra]],
+                                     "product_id bigint, product_name string, brand_name string, category_name string, model_year bigint")
+    customers = spark.createDataFrame([(i, f"c{i}", "city", "state") for i in [*range(4), *extra]],
+                                      "customer_id bigint, full_name string, city string, state string")
+    staffs = spark.createDataFrame([(0, "s0"), (1, "s1")], "staff_id bigint, full_name string")
+    stores = spark.createDataFrame([(0, "n", "c", "s")], "store_id bigint, store_name string, city string, state string")
+    cfg = Config(root=tmp_root).with_fixture_calendar()
+    env = Env(spark, cfg)
+    from cadence.operators.marts import dim_date
+
+    dates = dim_date(env)
+    want = reporting.rpt_sales(env, sales, products, stores, customers, staffs, dates)
+    assert reporting._one_header_each(sales) == (not odd)
+    rows = reporting.dealt_sales_rows(env, sales, products, customers, staffs)
+    got = reporting.sales_text(rows, env, stores, dates)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and want.count() >= 360
+    # The parts of a month are few files, without another shuffle of the rows.
+    version = store.write_version(rows, f"{tmp_root}/sales", ["order_year_month"], reporting.DEAL,
+                                  lambda dealt: reporting.sales_text(dealt, env, stores, dates), True)
+    months = glob.glob(f"{tmp_root}/sales/{version}/*/")
+    parts = reporting.DEALS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(glob.glob(f"{tmp_root}/sales/{version}/*/*.parquet")) <= parts + len(months)
+    plan = plan_of(rows)
+    assert len(re.findall(r"Exchange hashpartitioning\(_deal#\d+L, \d+\), REPARTITION_BY_COL", plan)) == 1
