@@ -187,7 +187,7 @@ def fct_order_items(order_lines: DataFrame, stg_orders: DataFrame, env: Env | No
     if env and env.whole:
         formula = line_revenue().try_cast(order_lines.schema["revenue"].dataType)
         order_lines = order_lines.select(
-            *[c for c in order_lines.columns if c != "revenue"], *known_packed("revenue", formula))
+            *[c for c in order_lines.columns if c != "revenue"], known_packed("revenue", formula))
         revenue = known_unpacked("revenue", formula)
     joined = order_lines.join(header, "order_id", "left")
     return joined.select(

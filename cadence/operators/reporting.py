@@ -101,17 +101,17 @@ def _sales_lines(fct_order_items: DataFrame, whole: bool) -> DataFrame:
     """Lines whose key is packed, and their revenue where they are read whole."""
     lines = fct_order_items.select(
         *[c for c in fct_order_items.columns if c != "order_item_key"],
-        *known_packed("order_item_key", surrogate_key(LINE_KEY)))
+        known_packed("order_item_key", surrogate_key(LINE_KEY)))
     if not whole:
         return lines
     revenue = known_packed("revenue", _revenue_of(fct_order_items.schema["revenue"].dataType))
-    return lines.select(*[c for c in lines.columns if c != "revenue"], *revenue)
+    return lines.select(*[c for c in lines.columns if c != "revenue"], revenue)
 
 
 def _sales_revenue(rows: DataFrame) -> Column:
     if "revenue" in rows.columns:
         return F.col("revenue")
-    return known_unpacked("revenue", _revenue_of(rows.schema["_revenue_other"].dataType))
+    return known_unpacked("revenue", _revenue_of(rows.schema["_revenue_other"].dataType["value"].dataType))
 
 
 def sales_rows(env: Env, fct_order_items: DataFrame, dim_products: DataFrame, dim_customers: DataFrame,
@@ -160,8 +160,11 @@ def dealt_sales_rows(env: Env, fct_order_items: DataFrame, dim_products: DataFra
     deal = F.shiftleft(F.col("_month").cast("bigint"), 32) + F.pmod(spread, F.col("_parts"))
     lines = lines.withColumn(DEAL, deal).drop("_month", "_parts")
     header = HEADER if _one_header_each(fct_order_items) else ()
-    orders = lines.select("order_id", DEAL).distinct().join(
-        _order_text(fct_order_items, dim_customers, dim_staffs, header), "order_id", "left")
+    if header:
+        orders = _order_text(lines, dim_customers, dim_staffs, (DEAL, *header))
+    else:
+        orders = lines.select("order_id", DEAL).distinct().join(
+            _order_text(fct_order_items, dim_customers, dim_staffs), "order_id", "left")
     flat = _sales_lines(lines, whole=True)
     if header:  # a line of no order keeps its own
         own = F.when(F.col("order_id").isNull(), F.struct(*header)).alias("_own")
@@ -258,17 +261,16 @@ def rpt_sales(
     return sales_text(rows, env, dim_stores, dim_date)
 
 
-def _delivery_of(orders: DataFrame, name: str) -> dict[str, Column]:
-    """What follows from status and dates, in the types of the columns ``name`` leads to."""
-    return {c: e.try_cast(orders.schema[name.format(c)].dataType) for c, e in delivery_columns().items()
-            if name.format(c) in orders.columns}
+def _delivery_of(types: dict[str, DataType]) -> dict[str, Column]:
+    """What follows from status and dates, of the columns and in the types given."""
+    return {c: e.try_cast(types[c]) for c, e in delivery_columns().items() if c in types}
 
 
 def order_rows(env: Env, fct_orders: DataFrame, dim_customers: DataFrame, dim_staffs: DataFrame) -> DataFrame:
     """Orders with the text of their customer and staff member; packed where they are read whole."""
     if env.whole:
-        known = _delivery_of(fct_orders, "{}")
-        packed = [part for c, expected in known.items() for part in known_packed(c, expected)]
+        known = _delivery_of({f.name: f.dataType for f in fct_orders.schema})
+        packed = [known_packed(c, expected) for c, expected in known.items()]
         fct_orders = fct_orders.select(*[c for c in fct_orders.columns if c not in known], *packed)
     flat = fct_orders.join(_customer_cols(dim_customers), "customer_id", "left")
     flat = flat.join(_staff_cols(dim_staffs), "staff_id", "left")
@@ -286,7 +288,8 @@ def order_text(rows: DataFrame, env: Env, dim_stores: DataFrame, dim_date: DataF
     )
     flat = rows.join(_store_cols(dim_stores), "store_id", "left")
     flat = lookup_join(flat, dates, "order_date", known_rows=env.cfg.calendar_days)
-    flat = flat.withColumns({c: known_unpacked(c, e) for c, e in _delivery_of(rows, "_{}_other").items()})
+    packed = {f.name[1:-len("_other")]: f.dataType["value"].dataType for f in rows.schema if f.name.endswith("_other")}
+    flat = flat.withColumns({c: known_unpacked(c, e) for c, e in _delivery_of(packed).items()})
     return flat.select(
         "order_id",
         "order_date",
@@ -352,7 +355,7 @@ def rpt_stocks(fct_stocks: DataFrame, dim_stores: DataFrame, dim_products: DataF
     )
     # Stores last: where they are broadcast, their text is in no shuffle.
     key = surrogate_key(["store_id", "product_id"])
-    flat = fct_stocks.select(*[c for c in fct_stocks.columns if c != "stock_key"], *known_packed("stock_key", key))
+    flat = fct_stocks.select(*[c for c in fct_stocks.columns if c != "stock_key"], known_packed("stock_key", key))
     flat = flat.join(products, "product_id", "left")
     flat = flat.join(_store_cols(dim_stores), "store_id", "left")
     return flat.select(

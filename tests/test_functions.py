@@ -104,7 +104,7 @@ def test_known_columns_come_back_from_packing_as_they_were(spark):
     rows = [(1, "1"), (2, "two"), (3, None), (None, "x"), (None, None)]
     df = spark.createDataFrame(rows, "a int, k string")
     expected = F.col("a").cast("string")
-    packed = df.select("a", *known_packed("k", expected))
+    packed = df.select("a", known_packed("k", expected))
     got = sorted(packed.select("a", known_unpacked("k", expected)).collect(), key=str)
     assert [tuple(r) for r in got] == sorted(rows, key=lambda r: f"Row(a={r[0]}, k={r[1]!r})")
     assert packed.where("_k_other is not null").count() == 2
